@@ -1,6 +1,7 @@
 """Registered queries: each operator on the supplied tables, and the SQL for the same result.
 
-Doubles are rounded on both sides, since the engines add in different orders.
+Doubles are rounded on both sides, since the engines add in different orders; both sides scale and round to even, so
+that equal inputs give equal results at ties too.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ ORACLE: dict[str, str] = {}
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = {f.name for f in df.schema if isinstance(f.dataType, DoubleType)}
-    return df.select([(F.round(c, digits) + 0.0).alias(c) if c in doubles else F.col(c) for c in df.columns])
+    scale = float(10**digits)
+    return df.select([(F.rint(F.col(c) * scale) / scale + 0.0).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 def query(name: str, select: str | None = None, needs: str = "", doubles: str = "", digits: int = 6):
@@ -78,8 +80,8 @@ def _gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Weekly rows scored with the benchmark rate in a model's place."""
-    rate = numbers.div_or_null(F.col("benchmark_payment"), F.col("visit_count"))
+    """Weekly rows scored with the benchmark rate, in whole dollars, in a model's place."""
+    rate = F.floor(numbers.div_or_null(F.col("benchmark_payment"), F.col("visit_count")) + 0.3).cast("double")
     table = _weekly(spark, folder).withColumn("ml_expected_rate_per_visit", rate)
     return ml_report.rate_gaps(table, "ml_expected_rate_per_visit")
 

@@ -38,7 +38,7 @@ def compose(select: str, *needs: str) -> str:
 
 def rounded(select: str, cols: str, digits: int = 6) -> str:
     """Round the named columns of ``select``; adding 0.0 turns a negative zero into zero."""
-    replaced = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in cols.replace(",", " ").split())
+    replaced = ", ".join(f'round_even("{c}" * 1e{digits}, 0) / 1e{digits} + 0.0 AS "{c}"' for c in cols.replace(",", " ").split())
     return f"SELECT * REPLACE ({replaced}) FROM ({select})"
 
 
@@ -414,7 +414,7 @@ SELECT *, actual_rate_per_visit - ml_expected_rate_per_visit AS ml_rate_gap,
   (actual_rate_per_visit - ml_expected_rate_per_visit) * visit_count AS ml_dollar_gap,
   CASE WHEN actual_rate_per_visit - ml_expected_rate_per_visit IS NOT NULL THEN
     CASE WHEN abs(actual_rate_per_visit - ml_expected_rate_per_visit) >= 10 THEN 1 ELSE 0 END END AS ml_material_gap_flag
-FROM (SELECT *, {div("benchmark_payment", "visit_count")} AS ml_expected_rate_per_visit FROM weekly)""",
+FROM (SELECT *, floor({div("benchmark_payment", "visit_count")} + 0.3) AS ml_expected_rate_per_visit FROM weekly)""",
     "weekly",
 )
 SCORE_DOUBLES = "ml_expected_rate_per_visit ml_rate_gap ml_dollar_gap"
