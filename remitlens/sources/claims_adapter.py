@@ -37,10 +37,10 @@ def invoice_lines(spark: SparkSession, folder: str, row_id: bool = False) -> Dat
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     part = spark.read.parquet(f"{folder}/part.parquet")
-    rows = (
-        item.join(orders, item.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    # Orders meet customers first, so that the long table takes part in two joins rather than three.
+    headers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = item.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part, F.col("l_partkey") == F.col("p_partkey")
     )
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     rows = rows.withColumns(

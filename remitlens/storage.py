@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by the cluster's nodes")
-    folder = tempfile.mkdtemp(prefix="remitlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_folder(application: str) -> str:
+    """One temporary folder per local session."""
+    return tempfile.mkdtemp(prefix=f"remitlens-{application}-")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
