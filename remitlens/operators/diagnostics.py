@@ -13,9 +13,14 @@ from remitlens.operators.weekly import baselines
 
 def expected_fallback(df: DataFrame) -> DataFrame:
     """Expected payment from rate and visits, when the column is absent or holds no value at all."""
-    derived = F.col("expected_amount_85_em_invoice_level") * F.col("visit_count")
+    derivable = {"expected_amount_85_em_invoice_level", "visit_count"} <= set(df.columns)
     if "expected_payment" not in df.columns:
-        return df.withColumn("expected_payment", derived)
+        if not derivable:
+            raise ValueError("expected_payment is absent and cannot be derived")
+        return df.withColumn("expected_payment", F.col("expected_amount_85_em_invoice_level") * F.col("visit_count"))
+    if not derivable:
+        return df
+    derived = F.col("expected_amount_85_em_invoice_level") * F.col("visit_count")
     # One uncorrelated subquery answers "does any row hold a value".
     held = df.agg(F.count("expected_payment")).scalar()
     return df.withColumn("expected_payment", F.when(held == 0, derived).otherwise(F.col("expected_payment")))
@@ -57,10 +62,16 @@ def attach_baselines(df: DataFrame, base: DataFrame) -> DataFrame:
     return null_safe_join(df, base, DIMS)
 
 
-def diagnostics_base(weekly: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Variances, labels and baseline averages on the weekly group table."""
+def diagnostics_base(
+    weekly: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS, fallback: bool = True
+) -> DataFrame:
+    """Variances, labels and baseline averages on the weekly group table.
+
+    ``fallback=False`` skips ``expected_fallback``, which reads the table once more; tables made by
+    ``weekly_aggregated`` do not need it.
+    """
     metrics = [m for m in BASELINE_METRICS if m in weekly.columns]
-    df = label_lenses(two_lens_variance(expected_fallback(weekly)), thresholds)
+    df = label_lenses(two_lens_variance(expected_fallback(weekly) if fallback else weekly), thresholds)
     return attach_baselines(df, baselines(weekly, metrics))
 
 

@@ -24,7 +24,7 @@ def full_model(
     lines = clean.drop_total_rows(lines)
     granular = stored(weekly.weekly_granular(lines), "weekly_granular")
     groups = stored(weekly.weekly_aggregated(lines), "weekly_aggregated")
-    base = diagnostics.diagnostics_base(groups, thresholds)
+    base = diagnostics.diagnostics_base(groups, thresholds, fallback=False)
     if fit is not None:
         base = ml.score(base, fit)
     base = stored(base, "diagnostics_base")

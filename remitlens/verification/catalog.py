@@ -513,7 +513,7 @@ def performance_label(spark, folder):
 
 @query("diagnostics_base", "SELECT * FROM diagnostics", "diagnostics", q.DIAGNOSTIC_DOUBLES)
 def diagnostics_base(spark, folder):
-    return diagnostics.diagnostics_base(_weekly(spark, folder))
+    return diagnostics.diagnostics_base(_weekly(spark, folder), fallback=False)
 
 
 _FLAGS = [f"{p}_{lens}" for lens in ("85em", "benchmark") for p in ("over_performed", "under_performed", "average_performance")]
@@ -703,7 +703,7 @@ def overall_narrative(spark, folder):
 
 # --- Narratives -------------------------------------------------------------------------------------------------------------
 def _diagnostics(spark, folder):
-    return stored(diagnostics.diagnostics_base(_weekly(spark, folder)), "diagnostics")
+    return stored(diagnostics.diagnostics_base(_weekly(spark, folder), fallback=False), "diagnostics")
 
 
 @query("narrative_top6", "SELECT year, week, side, CAST(rank AS INTEGER) AS rank, text FROM top_sentences", "top_sentences")
@@ -1105,7 +1105,7 @@ def dq_suite(spark, folder):
         "preprocess": {"lines": keyed},
         "enhance": {"lines": keyed},
         "weekly": {"granular": granular, "aggregated": groups},
-        "diag_base": {"diagnostics": diagnostics.diagnostics_base(groups)},
+        "diag_base": {"diagnostics": diagnostics.diagnostics_base(groups, fallback=False)},
         "ml_agg": {"scored": _scored(spark, folder)},
         "underpay": {"summary": underpayment_summary(spark, folder), "by_key": granular, "by_payer": by_payer},
     }
