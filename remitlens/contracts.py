@@ -132,6 +132,13 @@ MEAN_MEASURES = {
     "nrv_gap_percent": "nrv_gap_pct",
     "remaining_charges_percent": "remaining_charges_pct",
 }
+GAP_MEASURES = ["nrv_gap_dollar", "nrv_gap_pct", "nrv_gap_sum_dollar"]
+LINE_MEASURES = [
+    *dict.fromkeys([*SUM_MEASURES.values(), *MEAN_MEASURES.values()]),
+    "expected_85em",
+    "sp_balance",
+    "insurance_balance",
+]
 WEEKLY_MEASURES = ["visit_count", "group_size", *SUM_MEASURES, *MEAN_MEASURES]
 
 # Metrics with a baseline average; the narratives walk the same list.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from remitlens.contracts import DEFAULT_THRESHOLDS, Thresholds
 from remitlens.operators import clean, diagnostics, drivers, enhance, ml, narratives, weekly
+from remitlens.sources.columns import complete_lines
 from remitlens.storage import stored
 
 
@@ -21,7 +22,7 @@ def full_model(
     The weekly tables are far smaller than the lines and feed all later steps, so they are stored once; what remains is
     lazy. ``fit`` (for instance ``ml.fit_boosted``) adds model scores.
     """
-    lines = clean.drop_total_rows(lines)
+    lines = complete_lines(clean.drop_total_rows(lines))
     granular = stored(weekly.weekly_granular(lines), "weekly_granular")
     groups = stored(weekly.weekly_aggregated(lines), "weekly_aggregated")
     base = diagnostics.diagnostics_base(groups, thresholds, fallback=False)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.contracts import ALTERNATE_NAMES, DISPLAY_NAMES, PERCENT_COLUMNS, SOURCE_NAMES
+from remitlens.contracts import ALTERNATE_NAMES, DISPLAY_NAMES, GAP_MEASURES, LINE_MEASURES, PERCENT_COLUMNS, SOURCE_NAMES
 from remitlens.functions.numbers import parse_number, strip
 from remitlens.functions.text import percent_text
 
@@ -43,6 +43,11 @@ def ensure_columns(df: DataFrame, defaults: Mapping[str, object], dtype: str = "
     return df.withColumns(absent) if absent else df
 
 
+def complete_lines(df: DataFrame) -> DataFrame:
+    """Give invoice lines all measures: absent gap columns are 0, other absent measures missing."""
+    return ensure_columns(df, {c: 0.0 if c in GAP_MEASURES else None for c in LINE_MEASURES})
+
+
 def billed_balance(df: DataFrame) -> DataFrame:
     """Supply ``charge_billed_balance`` from the first column named like it when it is absent."""
     if "charge_billed_balance" in df.columns:
