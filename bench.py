@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up, then the median of three runs, as one JSON line."""
+"""Time the headline queries: one warm-up each, then the median of BENCH_RUNS runs, as one JSON line."""
 
 from __future__ import annotations
 
@@ -33,7 +33,7 @@ HEADLINE = [
     "ml_elasticnet",
     "ml_linear",
 ]
-RUNS = 3
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def run(spark, name: str, folder: str) -> float:

@@ -5,20 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spark casts also accept suffixes such as "1d"; this pattern admits only plain decimal and scientific notation
-# (with digit-group underscores) and the spelled-out infinities.
-_NUMBER = r"^[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+WHITE_SPACE = " \t\n\x0b\x0c\r"
+
+# Spark casts also accept suffixes such as "1d" and hexadecimal; the cheap first pattern keeps those out and settles
+# nearly every number, the other two admit digit groups such as "1_000" and spelled-out infinities.
+_PLAIN = r"^[0-9.eE+-]+$"
+_GROUPED = r"^[+-]?[0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+(_[0-9]+)*)?$"
 _INFINITY = r"(?i)^[+-]?inf(inity)?$"
-_OUTER_BLANKS = r"^\s+|\s+$"
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of any kind at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, _OUTER_BLANKS, "")
+    """Remove white space of any kind at both ends (``trim`` alone removes blanks only)."""
+    return F.when(c.rlike(r"^\s|\s$"), F.btrim(c, F.lit(WHITE_SPACE))).otherwise(c)
+
+
+def blank_as_null(c: Column) -> Column:
+    """NULL for text without any visible character, else the text as it is."""
+    return F.when(c.rlike(r"\S"), c)
 
 
 def _plain_number(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER) | text.rlike(_INFINITY), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    return (
+        F.when(text.rlike(_PLAIN), text.try_cast("double"))
+        .when(text.rlike(_GROUPED), F.translate(text, "_", "").try_cast("double"))
+        .when(text.rlike(_INFINITY), text.try_cast("double"))
+    )
 
 
 def nan_to_null(c: Column) -> Column:
@@ -28,8 +39,8 @@ def nan_to_null(c: Column) -> Column:
 
 def parse_number(c: Column) -> Column:
     """Text to double: commas dropped, ``"45%"`` becomes 0.45, anything unreadable becomes NULL."""
-    text = F.replace(strip(c.cast("string")), F.lit(","), F.lit(""))
-    body = strip(F.regexp_replace(text, "%$", ""))
+    text = strip(F.translate(c.cast("string"), ",", ""))
+    body = strip(F.substring(text, F.lit(1), F.length(text) - 1))
     return F.when(text.endswith("%"), _plain_number(body) / 100.0).otherwise(_plain_number(text))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from remitlens.contracts import HEADER_FIELDS, REQUIRED_FIELDS, TOTAL_ROW_FIELDS
-from remitlens.functions.numbers import div_or_zero, nan_to_null, parse_week, parse_year, strip, to_number
+from remitlens.functions.numbers import blank_as_null, div_or_zero, nan_to_null, parse_week, parse_year, strip, to_number
 from remitlens.operators.ordering import forward_fill
 from remitlens.sources.columns import billed_balance, drop_unnamed, ensure_columns, quoted, standardize_columns
 
@@ -28,7 +28,7 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     for field in df.schema:
         c = F.col(quoted(field.name))
         if isinstance(field.dataType, StringType):
-            c = F.when(strip(c) != "", c)
+            c = blank_as_null(c)
         elif field.dataType.typeName() in ("double", "float"):
             c = nan_to_null(c)
         out.append(c.alias(field.name))
