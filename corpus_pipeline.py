@@ -1 +1,8 @@
 """Corpus pipeline: quality rules, near duplicates, benchmark decontamination, personal data, mixing."""
+
+STAGES: list = []
+ORACLE_SQL = None
+
+
+def run(spark, sf_dir):
+    raise NotImplementedError
