@@ -7,14 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import quality_rules
-from remitlens.llm.common import table
+from remitlens.llm import decontaminate, mixing, quality_rules
+from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Words of the contracts in DuckDB, over the text ``t``.
+_SPACED = "regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')"
+_ALNUM = (
+    "regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Query) -> Query:
         QUERIES[name] = build
@@ -53,3 +61,54 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         quality_rules.rejected(quality_rules.BASE).alias("base_failed"),
         (~quality_rules.rejected(quality_rules.V1)).alias("kept"),
     )
+
+
+@query(
+    "op4_decontaminate",
+    f"""
+WITH d AS (SELECT r, doc_id, {_ALNUM} AS ws FROM (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)),
+b AS (SELECT item, {_ALNUM} AS ws FROM (SELECT item_id::VARCHAR AS item, text AS t FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)),
+bw AS (SELECT DISTINCT item, least(10, len(ws)) AS m, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+ms AS (SELECT DISTINCT m FROM bw),
+dw AS (SELECT r, i, m, array_to_string(ws[i:i + m - 1], ' ') AS s FROM (SELECT r, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, ms)),
+h AS (SELECT DISTINCT r, i, m, item FROM dw JOIN bw USING (m, s)),
+hw AS (SELECT r, count(DISTINCT i + k) AS n FROM h, (SELECT unnest(range(0, 10)) AS k) WHERE k < m GROUP BY r),
+hi AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hw.n, 0)::BIGINT AS n_hit, coalesce(hi.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
+""",
+)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    rows = decontaminate.with_hits(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        joined_sha256(F.col("items")).alias("items_sha256"),
+        (F.size("hit_runs") > 0).alias("contaminated"),
+    )
+
+
+@query(
+    "op8_mixing",
+    f"""
+WITH d AS (SELECT doc_id, source, len({_SPACED})::BIGINT AS size FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),
+l AS (SELECT *, row_number() OVER o AS pos, (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+  / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM w WINDOW o AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST)),
+g AS (SELECT source, source_size, least(cap::DOUBLE, weight * (SELECT arg_min(level, pos) FROM l WHERE level <= cap::DOUBLE / weight)) AS target,
+  ('0x' || substr(md5('7:' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift FROM l),
+p AS (SELECT doc_id, d.source, size, source_size, target, shift, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS e,
+  row_number() OVER (PARTITION BY d.source ORDER BY size DESC, doc_id NULLS LAST) - 1 AS nth
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, (size * (floor(e * (nth + 1) + shift) - floor(e * nth + shift)))::BIGINT AS taken FROM p
+""",
+)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.with_copies(table(spark, folder, "documents").select("doc_id", "source", mixing.size().alias("size")))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
