@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import decontaminate, mixing, quality_rules
+from remitlens.llm import decontaminate, license_scan, mixing, quality_rules
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,9 @@ SELECT doc_id, size, source_size, target, (size * (floor(e * (nth + 1) + shift)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.with_copies(table(spark, folder, "documents").select("doc_id", "source", mixing.size().alias("size")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    rows = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", *license_scan.ADDED)
