@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import decontaminate, license_scan, mixing, quality_rules
+from remitlens.llm import chat_format, decontaminate, license_scan, mixing, quality_rules, token_scan
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,23 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     rows = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
     return rows.select("doc_id", *license_scan.ADDED)
+
+
+@query("op1_chat_format")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.formatted(rows.unionByName(more)))
+
+
+def _rank_encoder():
+    import public_tokenizers
+
+    return token_scan.rank_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = token_scan.document_tokens(table(spark, folder, "documents").select("doc_id", "text"), _rank_encoder, separator=50256)
+    return rows.select("doc_id", "n_tokens")
