@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import chat_format, decontaminate, license_scan, mixing, quality_rules, token_scan
+from remitlens.llm import chat_format, decontaminate, license_scan, mixing, personal_data, quality_rules, token_scan
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +138,15 @@ def _rank_encoder():
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     rows = token_scan.document_tokens(table(spark, folder, "documents").select("doc_id", "text"), _rank_encoder, separator=50256)
     return rows.select("doc_id", "n_tokens")
+
+
+def _is(kind: str):
+    return lambda value: value == kind
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    rows = personal_data.entities(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    counts = [F.size(F.filter(F.col("base")["kind"], _is(kind))).cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]
+    base_sha256 = F.sha2(personal_data.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", *counts, base_sha256, personal_data.listed(F.col("found")).alias("spans"))
