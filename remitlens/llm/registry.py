@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import chat_format, decontaminate, license_scan, mixing, personal_data, quality_rules, token_scan
+from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, personal_data, quality_rules, token_scan
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(F.filter(F.col("base")["kind"], _is(kind))).cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]
     base_sha256 = F.sha2(personal_data.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
     return rows.select("doc_id", *counts, base_sha256, personal_data.listed(F.col("found")).alias("spans"))
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages").select("page_id", "url", "html"))
