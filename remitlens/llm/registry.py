@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, personal_data, quality_rules, token_scan
+from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, ngram_join, personal_data, quality_rules, token_scan
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +155,21 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_html_text")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extracted(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@query(
+    "op9_ngram_join",
+    """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+e AS (SELECT a, b FROM o JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT DISTINCT a AS r, a AS t FROM e UNION SELECT reach.r, e.b FROM reach JOIN e ON reach.t = e.a),
+c AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM d LEFT JOIN n USING (r) LEFT JOIN c USING (r)
+""",
+)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
