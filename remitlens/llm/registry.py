@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, ngram_join, personal_data, quality_rules, token_scan
+from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, ngram_join, personal_data, quality_rules, suffix_dedup, token_scan
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +173,8 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_
 )
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
