@@ -386,7 +386,7 @@ def links(docs: DataFrame, n_blocks: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every row of ``docs``."""
+    """(doc_id, n_shingles, node, comp, component_id) of every row of ``docs``; comp tells components apart."""
     rows = stored(with_nodes(docs.select("doc_id", "text")).drop("text"), "nodes")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     n_blocks = max(1, math.ceil(total / BLOCK_TOKENS))
@@ -394,5 +394,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = stored(nodes, "node-components")
     names = nodes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = nodes.join(names, "comp").select("node", "component_id")
-    return rows.join(named, "node", "left").select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = nodes.join(names, "comp").select("node", "comp", "component_id")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.join(named, "node", "left").select("doc_id", "n_shingles", "node", "comp", own.alias("component_id"))
+
+
+def unique(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the least id, with its own columns; documents without words stay."""
+    members = stored(near_duplicates(docs), "members").where("comp IS NOT NULL")
+    chosen = members.groupBy("comp").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("comp", F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_node"))
+    rows = members.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
+    chosen = stored(chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == F.col("node"))).select("_id", "_node", "comp", "n"), "chosen")
+    named = with_nodes(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns}).withColumn("text", F.col("own_text")))
+    kept = named.join(chosen, F.col("own_doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")), "left")
+    single = kept.where(F.col("node").isNull() | (F.col("n") == 1))
+    if chosen.where("n > 1").limit(1).count():
+        single = single.unionByName(kept.where("n > 1").dropDuplicates(["comp"]))
+    return single.select(*[F.col(f"`own_{c}`").alias(c) for c in docs.columns])

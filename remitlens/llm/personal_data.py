@@ -210,4 +210,7 @@ def masked(docs: DataFrame) -> DataFrame:
         return F.aggregate(by_place, start, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
 
     text = F.when(F.size("found") > 0, cut(F.col("text"))).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*[f"`{c}`" for c in docs.columns])
+    new = {"text": text}
+    if "n_chars" in docs.columns:  # the length follows the text
+        new["n_chars"] = F.when(F.size("found") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rows.withColumns(new).select(*[f"`{c}`" for c in docs.columns])
