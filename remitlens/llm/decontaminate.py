@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.llm.arrow import ALNUM, LOWER, appended, bytes_of, range_hashes, steps, words
-from remitlens.llm.common import LONG, STRING, without
+from remitlens.llm.common import LONG, STRING, shielded, without
 from remitlens.storage import stored
 
 WINDOW = 10
@@ -79,7 +79,6 @@ def blocks(hashes: np.ndarray, ends: np.ndarray, block: int) -> np.ndarray:
 def candidates(hashes: np.ndarray, first: np.ndarray, m: int, table) -> np.ndarray:
     """Last words of places where a window of ``m`` words may stand."""
     shift, drop, known, block = table
-    span_row, span_start = [], []
     lengths = np.diff(first)
     n_spans = np.where(lengths >= m, -(-lengths // SPAN), 0)
     rows = np.repeat(np.arange(len(lengths)), n_spans)
@@ -184,4 +183,5 @@ def n_hit() -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any window of a benchmark item, with their own columns."""
-    return with_hits(docs, benchmark).where(F.size("hit_runs") == 0).select(*[f"`{c}`" for c in docs.columns])
+    rows, restored = shielded(docs, *[f.name for f in _ADDED])
+    return restored(with_hits(rows, benchmark).where(F.size("hit_runs") == 0))

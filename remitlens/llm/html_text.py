@@ -4,8 +4,8 @@ A page is read as tokens: block elements named by their path (tags with their id
 each (host, token) Spark adds up the pages it occurs in and a fingerprint of its occurrence vector (how often on which
 page), partially before the shuffle, so a host with a third of all pages is summed everywhere. Tokens of one host with
 equal vectors are one equivalence class. Classes that occur once on at least half of the host's pages are valid; their
-elements nest by path into the host's template. Between template elements lie the slots; the deepest template element that
-holds more than half of the host's varying text outside of page furniture is the main slot.
+elements nest by path into the host's template. Between template elements lie the slots. The main slot is the template's
+article element, else its deepest container, that holds more than half of the host's text outside of page furniture.
 
 On each page the main slot's blocks are the text, without furniture inside it (navigation, forms, comments and the like,
 by element, role, id and class) and without block texts that are template themselves. Pages whose host has no usable
@@ -25,7 +25,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,10 @@ _OWN_MAIN = re.compile(r"(?:^|>)(?:article|main)\b")
 LEAST_SHARE = 0.5
 #: Block texts count as template only on hosts with so many pages, where nearly all have them: articles can have copies.
 FIXED_PAGES, FIXED_SHARE = 10, 0.9
+#: Main slots are elements that hold blocks, not blocks of text; ones around the innermost may hold this much of its text.
+_CONTAINER = r"(?:^|>)(?:html|body|main|article|section|div|table|tbody|tr|td|center|fieldset)(?:[.#][^>]*)?$"
+_ARTICLE, _PAGE = r"(?:^|>)(?:article|main)(?:[.#][^>]*)?$", r"(?:^|>)(?:html|body)(?:[.#][^>]*)?$"
+MORE = 1.15
 
 
 def _words(attributes: str) -> tuple[str, bool]:
@@ -191,6 +195,22 @@ def tokens(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(run, _TOKENS)
 
 
+def _main_slot(chain: Column) -> Column:
+    """Path of the main slot; ``chain`` are the containers of most of the text, which nest, from the inside.
+
+    An article or main element is the slot. Otherwise it is the innermost container, or one around it (not the body)
+    that adds little, such as the heading.
+    """
+    own = F.filter(chain, lambda c: c["path"].rlike(_ARTICLE))
+    start = F.get(F.when(F.size(own) > 0, own).otherwise(chain), F.lit(0))
+
+    def outwards(now: Column, c: Column) -> Column:
+        fits = (c["depth"] < now["depth"]) & ~now["path"].rlike(_ARTICLE) & ~c["path"].rlike(_PAGE) & (c["chars"] <= MORE * now["chars"])
+        return F.when(fits, c).otherwise(now)
+
+    return F.aggregate(chain, start, outwards)["path"]
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, main, fixed): the main slot's path, null where the host has none, and digests of template texts below it."""
     sums = tokens(pages).groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "total", "chars")], F.bit_xor("vector").alias("vector"))
@@ -200,8 +220,9 @@ def templates(pages: DataFrame) -> DataFrame:
     # An equivalence class is named by its vector; its members all occur on the same pages, equally often.
     classes = own.groupBy("host", "vector", "n_pages").agg(F.min(F.col("total") == F.col("n_pages")).alias("once"), F.collect_list(F.struct("path", "text", "chars")).alias("members"), F.first("host_chars").alias("host_chars"), F.first("pages").alias("pages"))
     members = classes.where("once").select("host", "host_chars", "pages", "n_pages", F.explode("members").alias("m")).select("host", "host_chars", "pages", "n_pages", "m.path", "m.text", "m.chars")
-    holders = members.where(F.col("text").isNull() & (F.col("chars") > 0) & (2 * F.col("chars") > F.col("host_chars")))
-    main = holders.groupBy("host").agg(F.max(F.struct(F.size(F.split("path", ">")).alias("depth"), "chars", "path"))["path"].alias("main"))
+    holders = members.where(F.col("text").isNull() & (2 * F.col("chars") > F.col("host_chars")) & F.col("path").rlike(_CONTAINER))
+    chain = F.reverse(F.sort_array(F.collect_list(F.struct(F.size(F.split("path", ">")).alias("depth"), "chars", "path"))))
+    main = holders.groupBy("host").agg(chain.alias("chain")).select("host", _main_slot(F.col("chain")).alias("main"))
     texts = members.where(F.col("text").isNotNull() & (F.col("pages") >= FIXED_PAGES) & (F.col("n_pages") >= FIXED_SHARE * F.col("pages")))
     fixed = texts.join(main, "host").where(F.col("path").startswith(F.col("main"))).groupBy("host").agg(F.collect_set("text").alias("fixed"))
     return main.join(fixed, "host", "left")

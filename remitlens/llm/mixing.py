@@ -62,22 +62,22 @@ def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
     Documents without a ``text`` column bring their ``size`` along.
     """
     sized = docs.withColumn("size", size()) if "text" in docs.columns else docs
-    rest = without(sized, "source_size", "target", "copies", "_mid")
+    rest = without(sized, "source_size", "target", "copies", "_mid", "_p", "_s", "_skip", "_expected")
     order = [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id").asc_nulls_last()]
     ranged = rest.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stored(ranged.withColumn("_mid", F.monotonically_increasing_id()), "mixing")
     part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    parts = placed.groupBy(part.alias("p"), "source").agg(F.count("*").alias("n"), F.min(at).alias("first"), F.sum("size").alias("words"))
+    parts = placed.groupBy(part.alias("_p"), "source").agg(F.count("*").alias("n"), F.min(at).alias("first"), F.sum("size").alias("words"))
     parts = stored(parts, "mixing-parts")
     sources = targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")))
-    earlier = Window.partitionBy("source").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    places = parts.withColumn("skip", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).select("p", F.col("source").alias("s"), "skip")
-    known = places.join(sources, F.col("s").eqNullSafe(F.col("source"))).select("p", "s", "skip", "source_size", "target")
-    known = known.withColumn("expected", F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(MOST_COPIES)))).otherwise(0.0))
-    rows = placed.join(known, (part == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
-    nth, shift = at + F.col("skip"), offset(F.col("source"), seed)
-    crossed = F.floor(F.col("expected") * (nth + 1) + shift) - F.floor(F.col("expected") * nth + shift)
-    return rows.withColumn("copies", crossed.cast("long")).drop("_mid", "p", "s", "skip", "expected")
+    earlier = Window.partitionBy("source").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    places = parts.withColumn("_skip", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).select("_p", F.col("source").alias("_s"), "_skip")
+    known = places.join(sources, F.col("_s").eqNullSafe(F.col("source"))).select("_p", "_s", "_skip", "source_size", "target")
+    known = known.withColumn("_expected", F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(MOST_COPIES)))).otherwise(0.0))
+    rows = placed.join(known, (part == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")))
+    nth, shift = at + F.col("_skip"), offset(F.col("source"), seed)
+    crossed = F.floor(F.col("_expected") * (nth + 1) + shift) - F.floor(F.col("_expected") * nth + shift)
+    return rows.withColumn("copies", crossed.cast("long")).drop("_mid", "_p", "_s", "_skip", "_expected")
 
 
 def emitted(docs: DataFrame, seed: int = 7) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.llm.arrow import LOWER, SPACED, appended, bytes_of, mixed, range_hashes, steps, words
-from remitlens.llm.common import LONG, without
+from remitlens.llm.common import LONG, shielded, without
 from remitlens.llm.components import components
 from remitlens.storage import stored
 
@@ -404,10 +404,10 @@ def unique(docs: DataFrame) -> DataFrame:
     members = stored(near_duplicates(docs), "members").where("comp IS NOT NULL")
     chosen = members.groupBy("comp").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("comp", F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_node"))
     rows = members.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
-    chosen = stored(chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == F.col("node"))).select("_id", "_node", "comp", "n"), "chosen")
-    named = with_nodes(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns}).withColumn("text", F.col("own_text")))
-    kept = named.join(chosen, F.col("own_doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")), "left")
-    single = kept.where(F.col("node").isNull() | (F.col("n") == 1))
-    if chosen.where("n > 1").limit(1).count():
-        single = single.unionByName(kept.where("n > 1").dropDuplicates(["comp"]))
-    return single.select(*[F.col(f"`own_{c}`").alias(c) for c in docs.columns])
+    chosen = stored(chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == F.col("node"))).select("_id", "_node", F.col("comp").alias("_comp"), F.col("n").alias("_n")), "chosen")
+    rows, restored = shielded(docs, "n_shingles", "node", "_id", "_node", "_comp", "_n")
+    kept = with_nodes(rows).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")), "left")
+    single = kept.where(F.col("node").isNull() | (F.col("_n") == 1))
+    if chosen.where("_n > 1").limit(1).count():  # repeated rows of a chosen document
+        single = single.unionByName(kept.where("_n > 1").dropDuplicates(["_comp"]))
+    return restored(single)

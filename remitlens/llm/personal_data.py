@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.llm.common import LONG, let, without
+from remitlens.llm.common import LONG, let, shielded, without
 from remitlens.storage import stored
 
 # The contract's patterns, written so that a search never tries a run of characters again from its middle: a match begins
@@ -195,7 +195,8 @@ def listed(spans: Column) -> Column:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every entity replaced by its kind in angle brackets; overlapping ones by that of the first."""
-    rows = entities(docs)
+    shielded_docs, restored = shielded(docs, *ADDED, "_row", "_instances", "_new")
+    rows = entities(shielded_docs)
 
     def cut(text: Column) -> Column:
         by_place = F.sort_array("found")
@@ -210,7 +211,8 @@ def masked(docs: DataFrame) -> DataFrame:
         return F.aggregate(by_place, start, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
 
     text = F.when(F.size("found") > 0, cut(F.col("text"))).otherwise(F.col("text"))
-    new = {"text": text}
-    if "n_chars" in docs.columns:  # the length follows the text
-        new["n_chars"] = F.when(F.size("found") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.withColumns(new).select(*[f"`{c}`" for c in docs.columns])
+    rows = rows.withColumn("text", text)
+    if "n_chars" in rows.columns:  # the length follows the text
+        kind = rows.schema["n_chars"].dataType
+        rows = rows.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return restored(rows)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.llm.common import SPACE, SPACED_WORD, let, without
+from remitlens.llm.common import SPACE, SPACED_WORD, let, shielded, without
 
 SYMBOLS = "[^#*$%&|<>]+"
 WINDOW = 8
@@ -136,4 +136,5 @@ def ablation(rows: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -
 
 def passing(docs: DataFrame, policy: Policy = V1) -> DataFrame:
     """The documents that the policy keeps, with their own columns."""
-    return ledger(docs).where(~rejected(policy)).select(*[f"`{c}`" for c in docs.columns])
+    rows, restored = shielded(docs, *MEASURES, "fail_bits", "_words", "_lines")
+    return restored(ledger(rows).where(~rejected(policy)))
