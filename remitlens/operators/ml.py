@@ -31,7 +31,7 @@ from remitlens.operators.ml_report import (
 )
 from remitlens.operators.ordering import latest_window, time_ordinal
 from remitlens.sources.columns import ensure_columns
-from remitlens.storage import stored
+from remitlens.storage import shared_folder, stored
 
 TARGET = "actual_rate_per_visit"
 SEED = 42
@@ -118,12 +118,19 @@ def model_rows(weekly: DataFrame) -> DataFrame:
 
 
 def fit_boosted(train: DataFrame, iters: int = 400, lr: float = 0.06, depth: int = 5) -> RateModel:
-    """Gradient-boosted trees. Every iteration is a round of Spark jobs, so ``iters`` sets the cost."""
+    """Gradient-boosted trees. Every iteration is a round of Spark jobs, so ``iters`` sets the cost.
+
+    The assembled features are written once; residuals and node ids are checkpointed every few iterations, so neither
+    plans nor the work after a lost executor grow with the iterations.
+    """
     features = fit_features(train)
+    spark = train.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     regressor = GBTRegressor(
         labelCol=TARGET, maxIter=iters, stepSize=lr, maxDepth=depth, maxBins=255, seed=SEED, cacheNodeIds=True
     )
-    fitted = regressor.fit(features.transform(train).select("features", TARGET))
+    fitted = regressor.fit(stored(features.transform(train).select("features", TARGET), "features"))
     return RateModel(features, fitted, BOOSTED, {"iters": iters, "lr": lr, "depth": depth})
 
 

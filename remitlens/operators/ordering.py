@@ -17,29 +17,28 @@ from remitlens.operators.joins import null_safe_join
 def forward_fill(df: DataFrame, cols: Sequence[str], order: str = "row_id", block_bits: int = 18) -> DataFrame:
     """Replace missing values by the last one above, in ``order`` (a unique, non-negative integer position).
 
-    Blocks of ``2**block_bits`` positions are filled on their own; blocks are then grouped the same way once more,
-    so for row positions up to ``2**(3 * block_bits)`` no window holds more than ``2**block_bits`` rows.
+    Blocks of ``2**block_bits`` positions are filled on their own. What a block inherits is found the same way among the
+    blocks, level by level until a level has one block, so no window ever holds more than ``2**block_bits`` rows.
     """
-
-    def last_values(rows: DataFrame, by: str, at: str, names: Sequence[str]) -> DataFrame:
-        aggregates = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(c) for c in names]
-        return rows.groupBy(by).agg(*aggregates)
-
-    def before(names: Sequence[str], window) -> dict:
-        return {f"_before_{c}": F.last(c, ignorenulls=True).over(window) for c in names}
-
     above = (Window.unboundedPreceding, -1)
-    blocked = df.withColumn("_block", F.shiftright(F.col(order), block_bits))
-    blocks = last_values(blocked.select("_block", order, *cols), "_block", order, cols)
-    blocks = blocks.withColumn("_span", F.shiftright(F.col("_block"), block_bits))
 
-    spans = last_values(blocks, "_span", "_block", cols)
-    spans = spans.withColumns(before(cols, Window.orderBy("_span").rowsBetween(*above)))
-    spans = spans.select("_span", *[F.col(f"_before_{c}").alias(f"_span_{c}") for c in cols])
+    def inherited(rows: DataFrame, at: str, last: int) -> DataFrame:
+        """(at, value before it) of ``rows``, whose positions ``at`` go up to ``last``."""
+        window = Window.partitionBy(F.shiftright(at, block_bits)).orderBy(at).rowsBetween(*above)
+        before = {f"_before_{c}": F.last(c, ignorenulls=True).over(window) for c in cols}
+        if last >> block_bits == 0:
+            return rows.withColumns(before).select(at, *before)
+        up = f"{at}_up"
+        spans = rows.withColumn(up, F.shiftright(at, block_bits))
+        tops = spans.groupBy(up).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(c) for c in cols])
+        carried = inherited(tops, up, last >> block_bits).withColumnsRenamed({f"_before_{c}": f"_carry_{c}" for c in cols})
+        joined = spans.withColumns(before).join(carried, up, "left")
+        return joined.select(at, *[F.coalesce(f"_before_{c}", f"_carry_{c}").alias(f"_before_{c}") for c in cols])
 
-    in_span = Window.partitionBy("_span").orderBy("_block").rowsBetween(*above)
-    carried = blocks.withColumns(before(cols, in_span)).join(spans, "_span", "left")
-    carried = carried.select("_block", *[F.coalesce(f"_before_{c}", f"_span_{c}").alias(f"_carry_{c}") for c in cols])
+    blocked = df.withColumn("_block", F.shiftright(F.col(order), block_bits))
+    last = (df.agg(F.max(order)).first()[0] or 0) >> block_bits
+    blocks = blocked.groupBy("_block").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols])
+    carried = inherited(blocks, "_block", last).withColumnsRenamed({f"_before_{c}": f"_carry_{c}" for c in cols})
 
     in_block = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = blocked.withColumns({c: F.last(c, ignorenulls=True).over(in_block) for c in cols})

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _FORMATS = {"csv": "csv", "parquet": "parquet", "json": "json"}
 
-# A file list of this length is at most a few MB, so it may be broadcast; a longer one is joined by shuffle.
-MAX_BROADCAST_FILES = 10_000
-
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header line. Without a schema every column is text, so no inference pass over the data is made."""
@@ -20,11 +19,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def load(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Read by file suffix: csv (also ``.csv.gz``), parquet or json. Other suffixes raise ``ValueError``."""
-    name = path.rstrip("/").lower().removesuffix(".gz")
-    fmt = _FORMATS.get(name.rsplit(".", 1)[-1])
-    if fmt is None:
+def _format(path: str) -> str | None:
+    return _FORMATS.get(path.rstrip("/").lower().removesuffix(".gz").rsplit(".", 1)[-1])
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame | None:
+    """Path and modification time of all files at and below a path or glob, contents unread; ``None`` if there is no such path."""
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return listing.select("path", "modificationTime")
+
+
+def load(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str | None = None) -> DataFrame:
+    """Read csv (also compressed), parquet or json: by ``fmt``, else by suffix, else by the suffix of a folder's files.
+
+    Where none of these tells one format, ``ValueError`` is raised.
+    """
+    fmt = fmt or _format(path)
+    if fmt is None and (files := _files(spark, path)) is not None:
+        suffix = F.regexp_extract("path", r"\.(csv|parquet|json)(?:\.[a-z0-9]+)?$", 1)
+        found = [r.suffix for r in files.select(suffix.alias("suffix")).where("suffix <> ''").distinct().limit(2).collect()]
+        fmt = found[0] if len(found) == 1 else None
+    if fmt not in _FORMATS.values():
         raise ValueError(f"Unsupported file format: {path}")
     if fmt == "csv":
         return read_csv(spark, path, schema)
@@ -32,34 +52,39 @@ def load(spark: SparkSession, path: str, schema: StructType | str | None = None)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
-    return found is not None and len(found) > 0
-
-
 def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
     """The first path (or glob) that is present; ``FileNotFoundError`` when none is."""
     for path in paths:
-        if _exists(spark, path):
+        if _files(spark, path) is not None:
             return path
     raise FileNotFoundError(f"None of these exists: {list(paths)}")
 
 
-def latest_snapshot(spark: SparkSession, patterns: Sequence[str], by: str = "file") -> DataFrame:
-    """Read the most recently modified of several snapshots.
+def _depth(path: str) -> int:
+    """Names in a path, without scheme and host."""
+    return len([p for p in re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).split("/") if p])
 
-    ``patterns`` match files; with ``by="folder"`` the files of one folder form one snapshot, which suits tables
-    written by Spark. Modification times come from a listing that does not read file contents, and only the winner
+
+def latest_snapshot(spark: SparkSession, patterns: Sequence[str], fmt: str | None = None) -> DataFrame:
+    """Read the most recently modified of several snapshots, whole.
+
+    A snapshot is what a pattern matches: a file, or a folder with all files below it, partitioned or not. Its age is
+    that of its newest file. Modification times come from a listing that does not read contents, and only the winner
     is read. Ties go to the greatest path.
     """
-    present = [p for p in patterns if _exists(spark, p)]
-    if not present:
+    found = None
+    for pattern in patterns:
+        files = _files(spark, pattern)
+        if files is not None:
+            root = rf"^((?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?(?:/+[^/]+){{{_depth(pattern)}}})"
+            units = files.select(F.regexp_extract("path", root, 1).alias("unit"), "modificationTime")
+            found = units if found is None else found.unionByName(units)
+    if found is None:
+        raise FileNotFoundError(f"No file matches {list(patterns)}")
+    newest = found.groupBy("unit").agg(F.max("modificationTime").alias("at")).orderBy(F.desc("at"), F.desc("unit")).first()
+    if newest is None:
         raise FileNotFoundError(f"No file matches {list(patterns)}")
-    unit = F.col("path") if by == "file" else F.regexp_replace("path", "/[^/]*$", "")
-    listing = spark.read.format("binaryFile").load(present).select(unit.alias("unit"), "modificationTime")
-    newest = listing.groupBy("unit").agg(F.max("modificationTime").alias("at")).orderBy(F.desc("at"), F.desc("unit"))
-    return load(spark, newest.first()["unit"])
+    return load(spark, newest["unit"], fmt=fmt)
 
 
 def with_file_order(df: DataFrame, name: str = "row_id") -> DataFrame:
@@ -75,8 +100,6 @@ def with_file_order(df: DataFrame, name: str = "row_id") -> DataFrame:
     sizes = sizes.groupBy("_file").agg((F.max("_at") + 1).alias("_rows"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    if len(files) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     columns = [F.col(c) for c in df.columns]
     rows = df.select(*columns, F.col("_metadata.file_path").alias("_file"), position.alias("_at"))
     return rows.join(offsets, "_file", "left").select(*df.columns, (F.col("_offset") + F.col("_at")).alias(name))

@@ -6,6 +6,7 @@ that equal inputs give equal results at ties too.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,8 @@ from remitlens.operators import (
 from remitlens.operators.joins import null_safe_join
 from remitlens.sources import columns, readers
 from remitlens.sources.claims_adapter import invoice_lines, raw_report
-from remitlens.storage import stored
+from remitlens.sources.sinks import write_parquet
+from remitlens.storage import shared_folder, stored
 from remitlens.verification import sql as q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +105,11 @@ def file_order(spark, folder):
     doubles="quantity",
 )
 def latest_snapshot(spark, folder):
-    newest = readers.latest_snapshot(spark, [f"{folder}/lineitem.parquet"])
+    lines = readers.load(spark, f"{folder}/lineitem.parquet")
+    at = f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}"
+    write_parquet(lines.where("l_returnflag = 'R'"), f"{at}/lines_1.parquet")
+    write_parquet(lines, f"{at}/lines_2.parquet", partition_by=("l_linestatus",))
+    newest = readers.latest_snapshot(spark, [f"{at}/lines_*.parquet", f"{at}/lines_*.csv"])
     return newest.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity"))
 
 
@@ -194,8 +200,7 @@ def trim_ids(spark, folder):
 @query("forward_fill", f"SELECT row_id, {', '.join(f'{q.filled(c)} AS {c}' for c in HEADER_FIELDS)} FROM std_report", "std_report")
 def forward_fill(spark, folder):
     table = clean.blank_to_null(_standard_report(spark, folder).select("row_id", *HEADER_FIELDS))
-    # Small blocks, so that every block of the supplied tables inherits from earlier ones.
-    return ordering.forward_fill(table, HEADER_FIELDS, block_bits=8)
+    return ordering.forward_fill(table, HEADER_FIELDS)
 
 
 @query("required_fields", f"SELECT row_id, invoice_number, payer, group_em, group_em2, cpt_code FROM filled_report WHERE {q.COMPLETE}", "filled_report")
@@ -1134,13 +1139,9 @@ def ml_features(spark, folder):
     return features.impute(rows).select(*TIME, *[F.col(old).alias(new) for old, new in renamed.items()])
 
 
-def _boosted(train):
-    return ml.fit_boosted(train, iters=8, depth=4)
-
-
 @query("ml_boosted")
 def ml_boosted(spark, folder):
-    scored = ml.score(stored(_weekly(spark, folder), "weekly"), _boosted)
+    scored = ml.score(stored(_weekly(spark, folder), "weekly"), ml.fit_boosted)
     return scored.select(*GROUP_KEYS, "hgb_expected_rate_per_visit", "hgb_rate_gap", "hgb_dollar_gap", "hgb_material_gap_flag")
 
 
@@ -1158,7 +1159,7 @@ def ml_time_cv(spark, folder):
 @query("ml_metrics")
 def ml_metrics(spark, folder):
     table = stored(_weekly(spark, folder), "weekly")
-    folds = ml.time_cv(table, ml.fit_elasticnet, k=3)
+    folds = ml.time_cv(table, ml.fit_elasticnet)
     rows = ml.model_rows(table)
     model = ml.fit_elasticnet(rows)
     record = ml.metrics_record(folds, model.score(rows), model)
@@ -1168,7 +1169,7 @@ def ml_metrics(spark, folder):
 @query("feature_importance")
 def feature_importance(spark, folder):
     rows = ml.model_rows(stored(_weekly(spark, folder), "weekly"))
-    return ml.feature_importance(_boosted(rows), rows)
+    return ml.feature_importance(ml.fit_boosted(rows), rows)
 
 
 @query("ml_linear")

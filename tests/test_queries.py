@@ -8,14 +8,23 @@ from remitlens.verification.compare import connect, difference
 SAMPLE = [
     "benchmark_variance",
     "weekly_granular_diag",
+    "weekly_aggregated",
+    "diagnostics_base",
     "underpayment_summary",
+    "drivers_key",
+    "top5_cpt",
+    "gap_by_payer",
     "historical_benchmark",
     "overall_narrative",
     "narratives",
     "clean_report",
+    "parse_number",
     "time_ordinal",
     "sample_validation",
     "dq_suite",
+    "ml_hotspots_topn",
+    "latest_snapshot",
+    "forward_fill",
     "ml_features",
 ]
 

@@ -40,12 +40,42 @@ def test_latest_snapshot(spark, tmp_path):
         readers.latest_snapshot(spark, patterns[2:])
 
 
-def test_latest_snapshot_by_folder(spark, tmp_path):
-    for i in range(2):
-        spark.range(5 + i).repartition(3).write.parquet(str(tmp_path / f"s{i}.parquet"))
-        for part in (tmp_path / f"s{i}.parquet").glob("part*"):
-            os.utime(part, (1000 - i, 1000 - i))
-    assert readers.latest_snapshot(spark, [str(tmp_path / "s*.parquet" / "part*")], by="folder").count() == 5
+def _aged(folder, at):
+    for file in folder.rglob("*"):
+        os.utime(file, (at, at))
+
+
+def test_latest_snapshot_of_folders(spark, tmp_path):
+    """Tables of several part files, partitioned or not, are read whole."""
+    df = spark.range(1000).withColumn("year", 2020 + F.col("id") % 3)
+    sinks.write_parquet(df.repartition(4), str(tmp_path / "s0.parquet"))
+    sinks.write_parquet(df.where("id < 300").repartition(4), str(tmp_path / "s1.parquet"), partition_by=("year",))
+    sinks.write_csv(df.where("id < 500").repartition(4), str(tmp_path / "c0.csv"), compression="gzip")
+    sinks.write_tables({"t0": df.where("id < 70").repartition(3)}, str(tmp_path))
+    names = {"s0.parquet": 1000, "s1.parquet": 300, "c0.csv": 500, "t0": 70}
+    patterns = [str(tmp_path / p) for p in ("s*.parquet", "c*.csv", "t*", "none*")]
+    for newest, rows in names.items():
+        for name in names:
+            _aged(tmp_path / name, 2000 if name == newest else 1000)
+        got = readers.latest_snapshot(spark, patterns)
+        assert got.count() == rows and set(got.columns) == {"id", "year"}
+    # Snapshots of one age: the greatest path.
+    assert readers.latest_snapshot(spark, [f"file://{tmp_path}/s*.parquet"]).count() == 300
+
+
+def test_load_folder_without_suffix(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    sinks.write_tables({"plain": df, "packed": df}, str(tmp_path), compression="gzip")
+    sinks.write_json(df, str(tmp_path / "records"))
+    sinks.write_parquet(df, str(tmp_path / "table"))
+    for name in ("plain", "packed", "records", "table"):
+        assert sorted(r.s for r in readers.load(spark, str(tmp_path / name)).collect()) == ["a", "b"]
+    assert readers.load(spark, str(tmp_path / "table"), fmt="parquet").count() == 2
+    sinks.write_json(df, str(tmp_path / "mixed" / "a"))
+    sinks.write_parquet(df, str(tmp_path / "mixed" / "b"))
+    for name in ("mixed", "missing"):
+        with pytest.raises(ValueError):
+            readers.load(spark, str(tmp_path / name))
 
 
 def test_file_order(spark, tmp_path):
