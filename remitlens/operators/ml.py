@@ -35,6 +35,9 @@ from remitlens.storage import shared_folder, stored
 
 TARGET = "actual_rate_per_visit"
 SEED = 42
+LINEAR_METRICS = (
+    "model_type string, r2 double, mean_absolute_error double, features_used array<string>, training_samples bigint, test_samples bigint"
+)
 
 
 @dataclass(frozen=True)
@@ -226,12 +229,13 @@ def linear_diagnostics(
 ) -> tuple[DataFrame, DataFrame]:
     """Least squares of the payment rate on charge and, when present, visits: (scored lines, metrics row).
 
-    A fifth of the lines, drawn by a hash of ``id_cols``, is held out for the metrics. With ``min_rows`` lines or
-    fewer nothing is fitted and both tables say so by missing values.
+    A fifth of the lines, drawn by a digest of ``id_cols``, is held out for the metrics. With ``min_rows`` lines or
+    fewer nothing is fitted: the scores are missing, and the metrics table has no row.
     """
     used = [c for c in ("charge_amount", "visit_count") if c in lines.columns]
     rated = lines.withColumn("payment_rate", payment_rate_column())
-    held_out = F.pmod(F.xxhash64(*id_cols, F.lit(SEED)), F.lit(5)) == 0
+    digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in id_cols], F.lit(str(SEED))).cast("binary"))
+    held_out = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 5 == 0
     rows = finite_target(rated, "payment_rate").fillna(0.0, subset=used).withColumn("_held_out", held_out)
     assembler = VectorAssembler(inputCols=used, outputCol="features")
     train, test = rows.filter(~F.col("_held_out")), rows.filter("_held_out")
@@ -240,7 +244,7 @@ def linear_diagnostics(
     if counts["n"] <= min_rows:
         missing = {c: F.lit(None).cast("double") for c in ("ml_expected_rate", "ml_rate_gap")}
         nothing = rated.withColumns({**missing, "ml_materiality_flag": F.lit(None).cast("boolean")})
-        return nothing, lines.sparkSession.createDataFrame([], "r2 double, mae double")
+        return nothing, lines.sparkSession.createDataFrame([], LINEAR_METRICS)
     regressor = LinearRegression(labelCol="payment_rate", regParam=0.0, predictionCol="ml_expected_rate")
     model = regressor.fit(assembler.transform(train).select("features", "payment_rate"))
     metrics = regression_metrics(model.transform(assembler.transform(test)), "payment_rate", "ml_expected_rate")
@@ -249,8 +253,8 @@ def linear_diagnostics(
         "r2",
         F.col("mae").alias("mean_absolute_error"),
         names,
-        F.lit(counts["n"] - counts["test"]).alias("training_samples"),
-        F.lit(counts["test"]).alias("test_samples"),
+        F.lit(counts["n"] - counts["test"]).cast("bigint").alias("training_samples"),
+        F.lit(counts["test"]).cast("bigint").alias("test_samples"),
     )
     scored = model.transform(assembler.transform(rated.fillna(0.0, subset=used))).drop("features")
     return linear_gap(scored, "ml_expected_rate", thresholds.linear_gap), metrics

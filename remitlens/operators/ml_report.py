@@ -12,7 +12,6 @@ from remitlens.functions.numbers import div_or_null, is_true, sum0
 from remitlens.operators.joins import null_safe_join
 
 BOOSTED, LINEAR = "hgb", "ml"
-MAX_HOTSPOTS = 200
 
 
 def with_target(df: DataFrame, col: str) -> DataFrame:
@@ -81,11 +80,10 @@ def hotspots(df: DataFrame) -> DataFrame:
 
 
 def ml_totals(df: DataFrame) -> DataFrame:
-    """Overall dollar gap and number of material flags."""
+    """Overall dollar gap and number of material flags, which is missing where no flags are recorded."""
     cols = _required_columns(df)
-    return df.agg(
-        sum0(F.col(cols["dollar_gap"])).alias("dollar_gap_total"), _flags(df, cols).alias("material_flags_total")
-    )
+    flags = _flags(df, cols) if cols["material_gap_flag"] in df.columns else F.lit(None).cast("bigint")
+    return df.agg(sum0(F.col(cols["dollar_gap"])).alias("dollar_gap_total"), flags.alias("material_flags_total"))
 
 
 def _gap_sums(df: DataFrame) -> DataFrame:
@@ -103,8 +101,8 @@ def ml_top(df: DataFrame, side: str, n: int = 10) -> DataFrame:
 
 def ml_hotspots_topn(df: DataFrame, n: int = 20) -> DataFrame:
     """The ``n`` groups with the largest dollar gap in either direction."""
-    if not 1 <= n <= MAX_HOTSPOTS:
-        raise ValueError(f"n must be between 1 and {MAX_HOTSPOTS}")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     sums = _gap_sums(df).select(*GROUP_KEYS, "dollar_gap_sum")
     return sums.orderBy(F.abs("dollar_gap_sum").desc(), *GROUP_KEYS).limit(n)
 

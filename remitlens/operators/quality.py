@@ -29,7 +29,7 @@ def check_columns(df: DataFrame, required: Sequence[str], subset_ok: bool = Fals
         return "ok", None
     listed = ", ".join(missing)
     if subset_ok and len(missing) < len(required):
-        return "warn", f"Missing columns (partial ok): {listed}"
+        return "warn", f"absent, but not required: {listed}"
     return "fail", f"Missing required columns: {listed}"
 
 
@@ -59,14 +59,14 @@ def check_all_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     counts = df.agg(*[F.count(c).alias(c) for c in cols])
     return _report(
         counts,
-        [_entry(f"all_null:{c}", F.col(c) == 0, "warn", F.lit(f"Column '{c}' is entirely null")) for c in cols],
+        [_entry(f"all_null:{c}", F.col(c) == 0, "warn", F.lit(f"no value in {c}")) for c in cols],
     )
 
 
 def check_row_count(df: DataFrame, n: int = 1) -> DataFrame:
     """Fail below ``n`` rows."""
     rows = df.agg(F.count(F.lit(1)).alias("n"))
-    issue = F.concat(F.lit("Too few rows: "), F.col("n").cast("string"), F.lit(f" < {n}"))
+    issue = F.concat(F.col("n").cast("string"), F.lit(f" rows where at least {n} are expected"))
     return _report(rows, [_entry("row_count", F.col("n") < n, "fail", issue)])
 
 
@@ -74,11 +74,11 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Warn about rows that share their key with another row (missing equals missing)."""
     status, _ = check_columns(df, keys)
     if status == "fail":
-        issue = f"Key columns missing for uniqueness check: {', '.join(keys)}"
+        issue = f"cannot compare keys, of which some are absent: {', '.join(keys)}"
         return _static(df, [("unique_keys", "fail", issue)])
     repeated = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(repeated), F.lit(0)).alias("n"))
-    issue = F.concat(F.lit("Found "), F.col("n").cast("string"), F.lit(f" duplicate rows by keys {', '.join(keys)}"))
+    issue = F.concat(F.col("n").cast("string"), F.lit(f" rows share their ({', '.join(keys)})"))
     return _report(counts, [_entry("unique_keys", F.col("n") > 0, "warn", issue)])
 
 
@@ -97,15 +97,15 @@ def check_numeric(
             F.count(F.when(v < 0, 1)).alias(f"_neg_{c}"),
         ]
         for on, name, text in (
-            (finite, "bad", "non-finite values"),
-            (non_negative, "neg", "negative values (expected >= 0)"),
+            (finite, "bad", "without a finite number"),
+            (non_negative, "neg", "below zero"),
         ):
             if on:
                 count = F.col(f"_{name}_{c}")
                 check = "finite" if name == "bad" else "non_negative"
                 issue = F.concat(F.lit(f"{c}: "), count.cast("string"), F.lit(f" {text}"))
                 entries.append(_entry(f"{check}:{c}", count > 0, "warn", issue))
-    absent = [(f"numeric:{c}", "warn", f"Numeric column missing: {c}") for c in cols if c not in df.columns]
+    absent = [(f"numeric:{c}", "warn", f"no column {c} to check") for c in cols if c not in df.columns]
     parts = [_static(df, absent)] if absent else []
     if entries:
         parts.insert(0, _report(df.agg(*aggregates), entries))

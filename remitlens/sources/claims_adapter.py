@@ -38,9 +38,10 @@ def invoice_lines(spark: SparkSession, folder: str, row_id: bool = False) -> Dat
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     part = spark.read.parquet(f"{folder}/part.parquet")
     # Orders meet customers first, so that the long table takes part in two joins rather than three.
-    headers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = item.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey")
+    # A line whose order, customer or part is absent stays, without their values.
+    headers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = item.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
+        part, F.col("l_partkey") == F.col("p_partkey"), "left"
     )
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     rows = rows.withColumns(

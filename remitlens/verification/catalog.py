@@ -1031,7 +1031,7 @@ _CHECKED = ["labs_per_visit", "expected_85em", "payer"]
     "dq_all_null",
     "\nUNION ALL ".join(
         f"SELECT 'all_null:{c}' AS \"check\", CASE WHEN count({c}) = 0 THEN 'warn' ELSE 'ok' END AS status, "
-        f"CASE WHEN count({c}) = 0 THEN 'Column ''{c}'' is entirely null' END AS issue FROM checked"
+        f"CASE WHEN count({c}) = 0 THEN 'no value in {c}' END AS issue FROM checked"
         for c in [*_CHECKED, "nothing"]
     ).replace("FROM checked", "FROM (SELECT *, NULL AS nothing FROM lines)"),
     "lines",
@@ -1044,7 +1044,7 @@ def dq_all_null(spark, folder):
 @query(
     "dq_row_count",
     """SELECT 'row_count' AS "check", CASE WHEN count(*) < 1000000000 THEN 'fail' ELSE 'ok' END AS status,
-  CASE WHEN count(*) < 1000000000 THEN 'Too few rows: ' || count(*) || ' < 1000000000' END AS issue FROM lines""",
+  CASE WHEN count(*) < 1000000000 THEN count(*) || ' rows where at least 1000000000 are expected' END AS issue FROM lines""",
     "lines",
 )
 def dq_row_count(spark, folder):
@@ -1054,7 +1054,7 @@ def dq_row_count(spark, folder):
 @query(
     "dq_duplicates",
     """SELECT 'unique_keys' AS "check", CASE WHEN n > 0 THEN 'warn' ELSE 'ok' END AS status, CASE WHEN n > 0 THEN
-  'Found ' || n || ' duplicate rows by keys invoice_number, cpt_code' END AS issue
+  n || ' rows share their (invoice_number, cpt_code)' END AS issue
 FROM (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n
       FROM (SELECT count(*) AS c FROM lines GROUP BY invoice_number, cpt_code HAVING count(*) > 1))""",
     "lines",
@@ -1064,7 +1064,7 @@ def dq_duplicates(spark, folder):
 
 
 def _numeric_sql(c: str) -> str:
-    checks = (("finite", f"{c} IS NULL", "non-finite values"), ("non_negative", f"{c} < 0", "negative values (expected >= 0)"))
+    checks = (("finite", f"{c} IS NULL", "without a finite number"), ("non_negative", f"{c} < 0", "below zero"))
     return "\nUNION ALL ".join(
         f"SELECT '{name}:{c}' AS \"check\", CASE WHEN n > 0 THEN 'warn' ELSE 'ok' END AS status, CASE WHEN n > 0 THEN "
         f"'{c}: ' || n || ' {words}' END AS issue FROM (SELECT count(*) AS n FROM lines WHERE {bad})"
@@ -1075,7 +1075,7 @@ def _numeric_sql(c: str) -> str:
 @query(
     "dq_numeric",
     "\nUNION ALL ".join(_numeric_sql(c) for c in ("payment_amount", "expected_85em", "nrv_gap_dollar"))
-    + "\nUNION ALL SELECT 'numeric:absent', 'warn', 'Numeric column missing: absent'",
+    + "\nUNION ALL SELECT 'numeric:absent', 'warn', 'no column absent to check'",
     "lines",
 )
 def dq_numeric(spark, folder):
@@ -1087,7 +1087,7 @@ def dq_numeric(spark, folder):
     f"""SELECT 'preprocess' AS stage, 'columns' AS "check", 'ok' AS status, NULL AS issue
 UNION ALL SELECT 'preprocess', 'row_count', CASE WHEN count(*) < 10 THEN 'fail' ELSE 'ok' END, NULL FROM lines
 UNION ALL SELECT 'preprocess', 'unique_keys', CASE WHEN n > 0 THEN 'warn' ELSE 'ok' END,
-  CASE WHEN n > 0 THEN 'Found ' || n || ' duplicate rows by keys invoice_number, cpt_code' END
+  CASE WHEN n > 0 THEN n || ' rows share their (invoice_number, cpt_code)' END
   FROM (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n
         FROM (SELECT count(*) AS c FROM lines GROUP BY invoice_number, cpt_code HAVING count(*) > 1))
 UNION ALL SELECT 'enhance', 'columns', 'ok', NULL
@@ -1121,7 +1121,7 @@ def dq_suite(spark, folder):
     return out
 
 
-# --- Models (no SQL counterpart, except for the imputed features) -------------------------------------------------------------
+# --- Models (SQL for the imputed features and least squares) -------------------------------------------------------------
 _IMPUTED = ", ".join(f"coalesce({c}, median({c}) OVER ()) AS {c}" for c in ML_NUMERIC)
 
 
@@ -1172,12 +1172,34 @@ def feature_importance(spark, folder):
     return ml.feature_importance(ml.fit_boosted(rows), rows)
 
 
-@query("ml_linear")
+_LINEAR = """WITH rated AS (SELECT row_id, payment_amount / nullif(charge_amount, 0) AS payment_rate, coalesce(charge_amount, 0) AS charge,
+  ('0x' || substr(md5(row_id::VARCHAR || ':42'), 1, 8))::BIGINT % 5 = 0 AS held_out FROM lines),
+fitted AS (SELECT regr_slope(payment_rate, charge) AS slope, regr_intercept(payment_rate, charge) AS level
+  FROM rated WHERE payment_rate IS NOT NULL AND NOT held_out),
+scored AS (SELECT *, level + slope * charge AS expected, payment_rate - (level + slope * charge) AS gap FROM rated, fitted)"""
+
+
+@query(
+    "ml_linear",
+    f"""SELECT * FROM ({_LINEAR}
+SELECT row_id, payment_rate, expected AS ml_expected_rate, gap AS ml_rate_gap, coalesce(abs(gap) > 0.1, false) AS ml_materiality_flag FROM scored)""",
+    "lines",
+    "payment_rate ml_expected_rate ml_rate_gap",
+)
 def ml_linear(spark, folder):
     scored, _ = ml.linear_diagnostics(invoice_lines(spark, folder, row_id=True))
     return scored.select("row_id", "payment_rate", "ml_expected_rate", "ml_rate_gap", "ml_materiality_flag")
 
 
-@query("ml_linear_metrics")
+@query(
+    "ml_linear_metrics",
+    f"""SELECT * FROM ({_LINEAR}
+SELECT 'Linear Regression' AS model_type, 1 - avg(gap * gap) FILTER (held_out) / var_pop(payment_rate) FILTER (held_out) AS r2,
+  avg(abs(gap)) FILTER (held_out) AS mean_absolute_error, ['charge_amount'] AS features_used,
+  count(*) FILTER (NOT held_out) AS training_samples, count(*) FILTER (held_out) AS test_samples
+FROM scored WHERE payment_rate IS NOT NULL)""",
+    "lines",
+    "r2 mean_absolute_error",
+)
 def ml_linear_metrics(spark, folder):
     return ml.linear_diagnostics(invoice_lines(spark, folder, row_id=True))[1]

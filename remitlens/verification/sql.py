@@ -58,7 +58,7 @@ SELECT l.*, o_orderdate, o_orderpriority, o_orderstatus, c_mktsegment, p_type, p
   CASE WHEN l_orderkey % 211 = 0 THEN 0.0 ELSE floor(l_extendedprice * (1 + l_tax)) END AS chg,
   floor(l_extendedprice * (1 - l_discount)) AS paid
 FROM (SELECT *, row_number() OVER () - 1 AS row_id FROM lineitem) l
-JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey""",
+LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN part ON l_partkey = p_partkey""",
 )
 cte(
     "lines",

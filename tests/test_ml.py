@@ -137,6 +137,7 @@ def test_linear_diagnostics(spark):
     assert all(r.ml_expected_rate == pytest.approx(0.5 + 0.001 * r.charge_amount) for r in out)
     few, none = ml.linear_diagnostics(lines.limit(5))
     assert few.count() == 5 and none.count() == 0 and few.first().ml_expected_rate is None
+    assert none.schema.simpleString() == metrics.schema.simpleString()
 
 
 def test_regression_metrics(spark):
@@ -154,7 +155,8 @@ def test_column_families(spark):
     assert tuple(ml_report.ml_totals(df).first()) == (2.0, 1)
     with pytest.raises(ValueError):
         ml_report.ml_totals(df.select("ml_rate_gap"))
-    for n in (0, 201):
+    assert tuple(ml_report.ml_totals(df.drop("hgb_material_gap_flag")).first()) == (2.0, None)
+    for n in (0, -1):
         with pytest.raises(ValueError):
             ml_report.ml_hotspots_topn(df, n)
 
