@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from remitlens.contracts import DEFAULT_THRESHOLDS, DIMS, GROUP_KEYS, KEY_KEYS, MEAN_MEASURES, SUM_MEASURES, WEEKLY_MEASURES
 from remitlens.functions.numbers import div_or_null, is_true, sum0
+from remitlens.functions.text import cpt_count
 from remitlens.operators.joins import null_safe_join
 from remitlens.operators.keys import benchmark_keys, cpt_sets
 
@@ -27,10 +28,12 @@ def invoice_weeks(lines: DataFrame) -> DataFrame:
     aggregates += [F.sum(src).alias(name) for name, src in SUM_MEASURES.items()]
     for name, src in _RATIOS.items():
         aggregates += [F.sum(src).alias(f"_sum_{name}"), F.count(src).alias(f"_n_{name}")]
+    if "cpt_list" in given:
+        aggregates.append(F.max(F.size("cpt_list")).alias("cpt_count"))
     facts = lines.groupBy(*keys).agg(*aggregates)
     if "benchmark_key" in given:
-        return facts
-    return benchmark_keys(null_safe_join(facts, cpt_sets(lines), ["invoice_number"]))
+        return facts if "cpt_list" in given else facts.withColumn("cpt_count", cpt_count(F.col("benchmark_key")))
+    return benchmark_keys(null_safe_join(facts.drop("cpt_count"), cpt_sets(lines), ["invoice_number"])).withColumn("cpt_count", F.size("cpt_list"))
 
 
 def _key_weeks(lines: DataFrame) -> DataFrame:
@@ -42,6 +45,7 @@ def _key_weeks(lines: DataFrame) -> DataFrame:
     base = invoice_weeks(lines).groupBy(*KEY_KEYS).agg(
         F.count("invoice_number").alias("visit_count"),
         F.sum("group_size").alias("group_size"),
+        F.max("cpt_count").alias("cpt_count"),
         *[sum0(F.col(c)).alias(c) for c in SUM_MEASURES],
         *[F.sum(c).alias(c) for c in carried],
     )
@@ -66,8 +70,8 @@ _KEY_RATES = ["expected_amount_85_em_invoice_level", "benchmark_invoice_count",
 
 
 def granular_base(lines: DataFrame) -> DataFrame:
-    """Weekly rows per key with their measures and the key's historical rates."""
-    return _key_weeks(lines).withColumns(_means()).select(*KEY_KEYS, *WEEKLY_MEASURES, *_KEY_RATES)
+    """Weekly rows per key with their measures, the key's historical rates and number of procedure codes."""
+    return _key_weeks(lines).withColumns(_means()).select(*KEY_KEYS, *WEEKLY_MEASURES, *_KEY_RATES, "cpt_count")
 
 
 def attach_key_benchmarks(weekly: DataFrame, *benchmarks: DataFrame) -> DataFrame:

@@ -215,7 +215,7 @@ _MEASURES = ", ".join(
 )
 MEASURE_DOUBLES = " ".join([*SUM_MEASURES, *MEAN_MEASURES])
 KEYS = ", ".join(KEY_KEYS)
-cte("granular_base", f"SELECT {KEYS}, {_MEASURES} FROM keyed GROUP BY {KEYS}", "keyed")
+cte("granular_base", f"SELECT {KEYS}, {_MEASURES}, CAST(max(len(cpt_list)) AS INTEGER) AS cpt_count FROM keyed GROUP BY {KEYS}", "keyed")
 cte(
     "granular",
     f"""

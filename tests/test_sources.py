@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitlens.sources import readers, sinks
+from remitlens.sources.claims_adapter import invoice_lines
 
 
 def test_load_by_suffix(spark, tmp_path):
@@ -103,3 +104,14 @@ def test_deliverables(spark, tmp_path):
     sinks.write_with_rejects(rows, str(tmp_path / "good"), str(tmp_path / "bad"))
     assert spark.read.parquet(str(tmp_path / "good")).count() == 1
     assert readers.read_csv(spark, str(tmp_path / "bad")).count() == 1
+
+
+def test_orphan_lines_stay(spark, tables, tmp_path):
+    for name in ("orders", "customer", "part"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    items = spark.read.parquet(f"{tables}/lineitem.parquet").limit(50)
+    orphan = items.limit(1).withColumns({"l_orderkey": F.lit(-1).cast("bigint"), "l_partkey": F.lit(-1).cast("bigint")})
+    items.unionByName(orphan).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    lines = invoice_lines(spark, str(tmp_path))
+    (lone,) = lines.where("invoice_number = '-1'").collect()
+    assert lines.count() == 51 and lone.payer is None and lone.year is None and lone.charge_amount is not None
