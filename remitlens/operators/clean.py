@@ -132,3 +132,15 @@ def clean_report(report: DataFrame, order: str = "row_id") -> tuple[DataFrame, D
     ]
     good = ensure_columns(good, {c: 0.0 for c in wanted})
     return em_weight_rule(remaining_charges(zero_payment_rules(good))), rejects
+
+
+def clean_compact(report: DataFrame, order: str = "row_id") -> DataFrame:
+    """From an uncleaned report to the compact model's lines: all rows stay, and missing amounts are 0.
+
+    Block headers are filled down for time, payer and groups, not for the invoice number.
+    """
+    df = coerce_by_class(blank_to_null(drop_unnamed(report)))
+    headers = [c for c in HEADER_FIELDS if c != "invoice_number"]
+    df = ensure_columns(standardize_columns(df), {c: None for c in HEADER_FIELDS}, "string")
+    df = forward_fill(df, headers, order)
+    return fill_numeric(df.withColumns({"cpt_code": strip(F.col("cpt_code")), "year": parse_year(F.col("year")), "week": parse_week(F.col("week"))}))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.contracts import DEFAULT_THRESHOLDS, Thresholds
-from remitlens.operators import compact, ml, narratives
+from remitlens.operators import clean, compact, ml, narratives
+from remitlens.storage import stored
 
 
 def run_record(lines: DataFrame, metrics: DataFrame, narrative: DataFrame) -> DataFrame:
@@ -39,3 +40,8 @@ def compact_model(
         "narratives": narrative,
         "run_summary": run_record(lines, metrics, narrative),
     }
+
+
+def compact_from_report(report: DataFrame, **options) -> dict[str, DataFrame]:
+    """The compact model from an uncleaned report with a ``row_id``. Cleaned lines are stored once."""
+    return compact_model(stored(clean.clean_compact(report), "compact-lines"), **options)

@@ -230,6 +230,26 @@ def clean_report(spark, folder):
     )
 
 
+_COMPACT_HEADERS = ", ".join(f"{q.filled(c)} AS {c}" for c in ("year", "week", *DIMS))
+
+
+@query(
+    "compact_from_report",
+    f"""WITH filled AS (SELECT {_COMPACT_HEADERS}, coalesce({q.number("charge_amount")}, 0) AS charge_amount,
+  coalesce({q.number("payment_amount")}, 0) AS payment_amount FROM std_report),
+gaps AS (SELECT *, payment_amount - 0.85 * charge_amount AS gap FROM filled WHERE payer IS NOT NULL)
+SELECT payer, count(*) AS transaction_count, sum(charge_amount) AS charges, sum(payment_amount) AS payments, sum(gap) AS gap
+FROM gaps GROUP BY payer""",
+    "std_report",
+    "charges payments gap",
+    digits=3,
+)
+def compact_from_report(spark, folder):
+    lines = compact.benchmark_85pct(clean.clean_compact(raw_report(spark, folder))).where("payer IS NOT NULL")
+    amounts = {"charges": "charge_amount", "payments": "payment_amount", "gap": "gap_vs_85_percent"}
+    return lines.groupBy("payer").agg(F.count("gap_vs_85_percent").alias("transaction_count"), *[F.sum(c).alias(n) for n, c in amounts.items()])
+
+
 _TOTAL = " OR ".join(
     f"coalesce(regexp_full_match(lower(trim({c})), 'grand\\s+total|total'), false)"
     for c in [*HEADER_FIELDS, "cpt_code"]

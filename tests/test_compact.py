@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitlens.operators import compact
+from remitlens.plans.compact_model import compact_from_report
 from tests.samples import plain
 
 SCHEMA = "week int, payer string, group_em string, charge_amount double, payment_amount double"
@@ -43,3 +44,14 @@ def test_run_summary(lines):
     row = compact.run_summary(lines).first()
     assert (row.total_transactions, row.total_charges, row.total_payments) == (5, 360.0, 245.0)
     assert row.overall_collection_rate == pytest.approx(245 / 360 * 100)
+
+
+def test_missing_amounts_count_as_zero(spark):
+    """A report line without a payment counts with its full shortfall; block headers reach the lines below."""
+    columns = ["row_id", "Year of Visit Service Date", "Primary Financial Class", "Charge Invoice Number", "Charge CPT Code", "Charge Amount", "Payment Amount*", "Unnamed: 9"]
+    rows = [(0, "2024", "Aetna", "1", "99213", "100", "50", "x"), (1, None, None, "2", "99214", "100", " ", "x")]
+    report = spark.createDataFrame(rows, ", ".join(f"`{c}` {'bigint' if c == 'row_id' else 'string'}" for c in columns))
+    tables = compact_from_report(report)
+    (r,) = tables["gap_by_payer"].collect()
+    assert (r.payer, r.transaction_count, r.avg_gap, r.total_charges, r.total_payments) == ("Aetna", 2, -60.0, 200.0, 50.0)
+    assert tables["lines"].count() == 2 and tables["ml_metrics"].count() == 0
