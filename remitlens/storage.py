@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -24,8 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache
 def _local_folder(application: str) -> str:
-    """One temporary folder per local session."""
-    return tempfile.mkdtemp(prefix=f"remitlens-{application}-")
+    """One temporary folder per local session, gone when the program ends."""
+    folder = tempfile.mkdtemp(prefix=f"remitlens-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
