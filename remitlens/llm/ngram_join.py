@@ -9,9 +9,9 @@ prefix that ends first: common tokens in it are in the other one too; without a
 The number of classes follows the set size in powers of two; a node also indexes for the next size if partners reach it.
 
 Every index entry carries an upper bound of the overlap of its node with a node whose first shared signature this is, which
-settles most candidates without their sets. In each group of a signature, one pivot is verified against the others, first
-the least node, then the greatest; only pairs that are then still in different components are verified one by one. So
-groups of thousands of near copies cost a few comparisons for each member, and no link between components is left out.
+settles most candidates without their sets. In each group of a signature, the two most central nodes are verified
+against the others; only pairs that are then still in different components are verified one by one. So groups of
+thousands of near copies cost a few comparisons for each member, and no link between components is left out.
 
 How often each token occurs is counted over all documents, in blocks by hash; the frequent tokens that tasks hold are at
 most ``MOST_FREQUENT``, those with the highest counts. Any set of frequent tokens gives the same result.
@@ -48,6 +48,8 @@ BLOCK_TOKENS = 2_000_000
 #: Bits of the filter that keeps sets without candidates out of the verification shuffle.
 FILTER_BITS = 24
 VERIFY_ROWS = 1024
+#: Group rows that are searched together for pairs between components.
+OPEN_ROWS = 200_000
 _EMPTY = np.zeros(0, np.uint64)
 
 
@@ -333,9 +335,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     portions = pairs.groupBy("a").agg(F.ceil(F.count("*") / VERIFY_ROWS).alias("k"))
     keys = portions.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("portion"))
-    left = keys.join(sets.withColumnRenamed("node", "a"), "a").select("a", "portion", F.lit(None).cast("long").alias("b"), "tokens")
-    numbered = pairs.join(portions, "a").select("a", F.pmod(F.xxhash64("b"), F.col("k")).alias("portion"), "b")
-    right = numbered.join(sets.withColumnRenamed("node", "b"), "b").select("a", "portion", "b", "tokens")
+    numbered = pairs.join(portions, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("k")).alias("portion"), "b")
+    first = keys.select(F.col("a").alias("node"), "a", "portion", F.lit(None).cast("long").alias("b"))
+    rows = first.unionByName(numbered).join(sets, "node").select("a", "portion", "b", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = _EMPTY
@@ -352,7 +354,84 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return left.unionByName(right).repartition("a", "portion").sortWithinPartitions("a", "portion", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
+    return rows.repartition("a", "portion").sortWithinPartitions("a", "portion", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
+
+
+def pivot_pairs(groups: DataFrame) -> DataFrame:
+    """(a, b): in each group its two most central nodes with all others, as far as bounds allow a link.
+
+    Central is who occurs in most groups: of many edited copies, the text that they come from.
+    """
+    degree = groups.groupBy("node").agg(F.count("*").alias("degree"))
+    ranked = groups.join(degree, "node")
+    rank = F.struct("degree", "node", "n", "bound")
+    top = ranked.groupBy("gid").agg(F.max(rank).alias("top"))
+    second = ranked.join(top, "gid").where("node <> top.node").groupBy("gid").agg(F.max(rank).alias("top"))
+    pivots = top.unionByName(second).select("gid", "top.node", "top.n", "top.bound")
+    met = groups.alias("x").join(pivots.alias("y"), F.expr("x.gid = y.gid AND x.node <> y.node") & _near("x", "y"))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def open_pairs(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """(a, b): all pairs of a group in different components, as far as bounds allow a link.
+
+    Groups with the same least node tend to hold the same pairs, so they are searched together, in portions of bounded
+    size, and hand on a pair once.
+    """
+    rows = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    kinds = rows.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("least"), F.count("*").alias("size")).where("lo <> hi")
+    kinds = stored(kinds.select("gid", "least", "size"), "open-groups")
+    rivals = kinds.groupBy("least").agg(F.ceil(F.sum("size") / OPEN_ROWS).alias("k"))
+    total = kinds.agg(F.sum("size")).first()[0] or 0
+    n_blocks = max(1, math.ceil(total / OPEN_ROWS))
+    dealt = kinds.join(rivals, "least").select("gid", F.pmod(F.xxhash64("least", F.pmod("gid", F.col("k"))), F.lit(n_blocks)).alias("block"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        now, group, size = None, [], 0
+
+        def out() -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(found), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        def flush() -> None:
+            nonlocal size
+            if group:
+                pairs = _pairs(*(np.concatenate(c) for c in zip(*group, strict=True)))
+                found.append(pairs)
+                size += len(pairs)
+                group.clear()
+
+        for batch in batches:
+            gid, *columns = (batch.column(c).to_numpy() for c in ("gid", "node", "n", "bound", "comp"))
+            cuts = [0, *(np.flatnonzero(gid[1:] != gid[:-1]) + 1).tolist(), len(gid)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    if gid[a] != now:
+                        flush()
+                        now = gid[a]
+                        if size > 4_000_000:
+                            yield out()
+                            found, size = [], 0
+                    group.append([c[a:b] for c in columns])
+        flush()
+        if found:
+            yield out()
+
+    together = rows.join(dealt, "gid").select("block", "gid", "node", "n", "bound", "comp").repartition(n_blocks, "block").sortWithinPartitions("block", "gid")
+    return together.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(node: np.ndarray, n: np.ndarray, bound: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Pairs of a group in different components that the bounds allow."""
+    out = [np.zeros((0, 2), np.int64)]
+    for lo in range(0, len(node), 256):
+        part = slice(lo, lo + 256)
+        near = 7 * np.minimum.outer(bound[part], bound) >= 3 * np.add.outer(n[part], n)
+        near &= (comp[part, None] != comp) & (node[part, None] < node)
+        i, j = np.nonzero(near)
+        out.append(np.stack([node[part][i], node[j]], axis=1))
+    return np.concatenate(out)
 
 
 def links(docs: DataFrame, n_blocks: int) -> DataFrame:
@@ -360,29 +439,10 @@ def links(docs: DataFrame, n_blocks: int) -> DataFrame:
     frequent = frequent_tokens(docs, n_blocks)
     groups = stored(candidate_groups(docs, frequent, n_blocks), "groups")
     sets = stored(_sets_of(docs, groups.select("node").distinct()), "sets")
-    edges, tested = None, None
-    for which in (F.min, F.max, None):
-        rows = groups
-        if edges is not None:
-            comps = components(edges)
-            rows = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            mixed_groups = rows.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
-            rows = stored(rows.join(mixed_groups, "gid", "left_semi"), "open-groups")
-        else:
-            rows = rows.withColumn("comp", F.col("node"))
-        if which is not None:
-            pivots = rows.groupBy("gid").agg(which(F.struct("node", "n", "bound", "comp")).alias("p")).select("gid", "p.*")
-            met = rows.alias("x").join(pivots.alias("y"), F.expr("x.gid = y.gid AND x.node <> y.node AND x.comp <> y.comp") & _near("x", "y"))
-        else:
-            met = rows.alias("x").join(rows.alias("y"), F.expr("x.gid = y.gid AND x.node < y.node AND x.comp <> y.comp") & _near("x", "y"))
-        pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stored(verified(pairs, sets), "links")
-        edges = found if edges is None else edges.unionByName(found)
-    return edges
+    first = stored(pivot_pairs(groups), "pairs")
+    near = stored(verified(first, sets), "links")
+    rest = stored(open_pairs(groups, components(near)).join(first, ["a", "b"], "left_anti"), "pairs")
+    return near.unionByName(stored(verified(rest, sets), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
