@@ -216,7 +216,8 @@ def templates(pages: DataFrame) -> DataFrame:
     sums = tokens(pages).groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "total", "chars")], F.bit_xor("vector").alias("vector"))
     sums = stored(sums, "page-tokens")
     hosts = sums.where("path = ''").groupBy("host").agg(F.sum("n_pages").alias("pages"), F.sum("chars").alias("host_chars"))
-    own = sums.where("path <> ''").join(hosts, "host").where((F.col("pages") >= 2) & (F.col("n_pages") >= LEAST_SHARE * F.col("pages")))
+    # Most tokens occur on one page only; they go before a host's tokens meet.
+    own = sums.where("path <> '' AND n_pages >= 2").join(hosts, "host").where(F.col("n_pages") >= LEAST_SHARE * F.col("pages"))
     # An equivalence class is named by its vector; its members all occur on the same pages, equally often.
     classes = own.groupBy("host", "vector", "n_pages").agg(F.min(F.col("total") == F.col("n_pages")).alias("once"), F.collect_list(F.struct("path", "text", "chars")).alias("members"), F.first("host_chars").alias("host_chars"), F.first("pages").alias("pages"))
     members = classes.where("once").select("host", "host_chars", "pages", "n_pages", F.explode("members").alias("m")).select("host", "host_chars", "pages", "n_pages", "m.path", "m.text", "m.chars")
