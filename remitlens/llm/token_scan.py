@@ -27,7 +27,7 @@ from remitlens.storage import stored
 
 BLOCK_IDS = 1 << 18
 #: Texts that a tokenizer call takes at a time, in characters; bounds what a task holds besides a block.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS, BATCH_ROWS = 1 << 18, 256
 Encoder = Callable[[list[str]], list[list[int]]]
 
 
@@ -68,7 +68,8 @@ def token_files(docs: DataFrame, encoder: Callable[[], Encoder], separator: int,
                 state.update(block=state["block"] + 1, parts=[ids[cut:]], size=len(ids) - cut, names=[(end - cut, name) for end, name in state["names"] if end > cut])
 
         kind = pa.int64()
-        for batch in batches:
+        # Few rows at a time become Python objects.
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             kind = batch.schema.field("doc_id").type
             texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             at = 0
