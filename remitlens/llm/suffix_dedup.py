@@ -11,9 +11,13 @@ steps the neighbours of an interval share s bytes before the anchor; where their
 bytes that begins s bytes before the anchor repeats. Common strings are so derived by increasing s, which stops at 368, where
 the gram would leave the string; intervals of one member are dropped.
 
+Grams with more than ``MOST_ANCHORS`` occurrences never meet. Strings around them are counted by hash, partially before the
+shuffle: first the bytes that all strings of a segment of s have in common, then, where those repeat, the strings themselves.
+Each string is counted at its own anchor, under gram, s and a 64-bit hash.
+
 Texts that are equal as a whole are one text with a count, whose bytes all repeat if there are 400. Texts move twice, to
 cut the surroundings of anchors and to cut the repeats out; both are joins by text and never by group. A block holds what a
-bounded number of anchors brings; only occurrences of one gram must meet.
+bounded number of anchors brings.
 
 Defined cases: null is empty; texts under the length keep everything; matches never cross texts, overlaps count; what is
 repeated is judged on the input; repeated rows are copies; null ids stay.
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from remitlens.llm.arrow import STEP_BYTES, bytes_of, range_hashes, steps
+from remitlens.llm.arrow import STEP_BYTES, bytes_of, mixed, range_hashes, steps
 from remitlens.llm.common import BINARY, LONG
 from remitlens.storage import stored
 
@@ -38,6 +42,11 @@ LENGTH, GRAM = 400, 32
 REACH = LENGTH - GRAM
 #: Anchors that a block takes, by expectation.
 BLOCK_ANCHORS = 16_384
+#: Occurrences up to which a gram's anchors meet, and values of s that are counted together first for grams with more.
+MOST_ANCHORS = 8_192
+SEGMENT = 41
+#: Anchors that are added up before they are sent.
+COUNT_ANCHORS = 1 << 20
 _BITS = np.uint64(20)
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -178,22 +187,157 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), digest.alias("sha"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("text_id"))
 
 
-def repeated_anchors(texts: DataFrame, n_blocks: int) -> DataFrame:
-    """(text_id, places): anchors of a text whose gram occurs elsewhere too."""
+class _Once:
+    """Texts that a task has not seen before. Forgetting some only repeats work."""
+
+    def __init__(self, most: int = 1 << 18):
+        self.seen: set[int] = set()
+        self.most = most
+
+    def __call__(self, name: int) -> bool:
+        if name in self.seen:
+            return False
+        if len(self.seen) >= self.most:
+            self.seen.clear()
+        self.seen.add(name)
+        return True
+
+
+def often_grams(texts: DataFrame, n_blocks: int, most: int = MOST_ANCHORS) -> np.ndarray:
+    """Sorted grams with more than ``most`` anchors. Copies of a text may count again, which can only add grams."""
+    kinds = {"gram": np.uint64, "n": np.uint32}
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        once, size = _Once(), 0
+
+        def counted() -> pa.RecordBatch:
+            gram, n = np.unique(np.concatenate(parts), return_counts=True)
+            return _dealt((gram % np.uint64(n_blocks)).astype(np.int64), {"gram": gram, "n": n.astype(np.uint32)})
+
+        for batch in batches:
+            data, at = bytes_of(batch.column("text"))
+            names = batch.column("text_id").to_pylist()
+            for row, _, hashes in row_anchors(data, at):
+                if not once(names[row]):
+                    continue
+                parts.append(hashes)
+                size += len(hashes)
+                if size >= COUNT_ANCHORS:
+                    yield counted()
+                    parts, size = [], 0
+        if parts:
+            yield counted()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in _blocks(batches, kinds):
+            gram, where = np.unique(c["gram"], return_inverse=True)
+            n = np.bincount(where, weights=c["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(gram[n > most].astype(np.int64))], names=["gram"])
+
+    sent = texts.select("text_id", "text").mapInArrow(send, "block long, gram binary, n binary")
+    found = _together(sent, n_blocks).mapInArrow(count, "gram long").toArrow().column("gram")
+    return np.sort(found.to_numpy().astype(np.uint64))
+
+
+def _is_often(gram: np.ndarray, often: np.ndarray) -> np.ndarray:
+    if not len(often):
+        return np.zeros(len(gram), bool)
+    return often[np.minimum(np.searchsorted(often, gram), len(often) - 1)] == gram
+
+
+def own_range(places: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest s of strings in a text of n bytes that can have their anchor at these places."""
+    lo, hi = np.maximum(LENGTH - n + places, 0), np.minimum(places, REACH)
+    value, apart = hashes & ~_LOW, np.diff(places)
+    # The string must not hold a neighbour that would be its anchor instead.
+    hi[1:] = np.where(value[:-1] <= value[1:], np.minimum(hi[1:], apart - 1), hi[1:])
+    lo[:-1] = np.where(value[1:] < value[:-1], np.maximum(lo[:-1], REACH + 1 - apart), lo[:-1])
+    return lo, hi
+
+
+def _again(rows: DataFrame, name: str) -> DataFrame:
+    """Rows whose (gram, key) occurs twice or more. Counts are stored, so that the join can split a hot key."""
+    rows = stored(rows, name)
+    counts = stored(rows.groupBy("gram", "key").agg(F.count("*").alias("n")).where("n > 1").select("gram", "key"), f"{name}-counts")
+    return rows.join(counts, ["gram", "key"])
+
+
+def often_segments(texts: DataFrame, often: np.ndarray) -> DataFrame:
+    """(text_id, marks): places of often grams with ranges of s whose common bytes occur elsewhere too."""
+    shared = texts.sparkSession.sparkContext.broadcast(often)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _Once()
+        for batch in batches:
+            data, at = bytes_of(batch.column("text"))
+            names = batch.column("text_id").to_pylist()
+            for row, places, hashes in row_anchors(data, at):
+                here = _is_often(hashes, shared.value)
+                # Copies of a text are removed as a whole; for others it counts once at least.
+                if here.any() and once(names[row]):
+                    text = data[at[row] : at[row + 1]]
+                    lo, hi = (x[here] for x in own_range(places, hashes, len(text)))
+                    place, gram = places[here], hashes[here]
+                    for first in range(0, REACH + 1, SEGMENT):
+                        last = min(first + SEGMENT - 1, REACH)
+                        a, b = np.maximum(lo, first), np.minimum(hi, last)
+                        some = a <= b
+                        if some.any():
+                            p = place[some]
+                            key = mixed(range_hashes(text, p - first, p + LENGTH - last) + np.uint64(first))
+                            columns = (gram[some].astype(np.int64), key.astype(np.int64), np.full(len(p), names[row]), p, a[some], b[some])
+                            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["gram", "key", "text_id", "place", "lo", "hi"])
+
+    found = _again(texts.select("text_id", "text").mapInArrow(send, "gram long, key long, text_id long, place long, lo long, hi long"), "segments")
+    return found.groupBy("text_id").agg(F.collect_set(F.struct("place", "lo", "hi")).alias("marks"))
+
+
+def often_spans(marked: DataFrame) -> DataFrame:
+    """(text_id, start, end) of repeats around often grams; ``marked`` has (text_id, text, marks), each text once."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = bytes_of(batch.column("text"))
+            for row, (name, marks) in enumerate(zip(batch.column("text_id").to_pylist(), batch.column("marks"), strict=True)):
+                text = data[at[row] : at[row + 1]]
+                place, lo, hi = (marks.values.field(c).to_numpy() for c in ("place", "lo", "hi"))
+                width = hi - lo + 1
+                p = np.repeat(place, width)
+                s = np.arange(len(p)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(lo, width)
+                key = mixed(range_hashes(text, p - s, p - s + LENGTH) + s.astype(np.uint64))
+                gram = range_hashes(text, p, p + GRAM)
+                columns = (gram.astype(np.int64), key.astype(np.int64), np.full(len(p), name), p - s)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["gram", "key", "text_id", "start"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text_id, start = (batch.column(c).to_numpy() for c in ("text_id", "start"))
+            if len(start):
+                first = np.r_[True, (text_id[1:] != text_id[:-1]) | (start[1:] > start[:-1] + LENGTH)]
+                last = np.r_[first[1:], True]
+                columns = (text_id[first], start[first], start[last] + LENGTH)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["text_id", "start", "end"])
+
+    found = _again(marked.select("text_id", "text", "marks").mapInArrow(send, "gram long, key long, text_id long, start long"), "strings")
+    return found.select("text_id", "start").repartition("text_id").sortWithinPartitions("text_id", "start").mapInArrow(merge, "text_id long, start long, end long")
+
+
+def repeated_anchors(texts: DataFrame, n_blocks: int, often: np.ndarray) -> DataFrame:
+    """(text_id, places): anchors of a text whose gram occurs elsewhere too, without those of often grams."""
+    shared = texts.sparkSession.sparkContext.broadcast(often)
     kinds = {"gram": np.uint64, "text_id": np.int64, "place": np.uint32}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        once = _Once()
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
             names = batch.column("text_id").to_pylist()
             parts = []
             for row, places, hashes in row_anchors(data, at):
-                if names[row] not in seen:
-                    if len(seen) >= 1 << 18:
-                        seen.clear()  # forgetting only repeats work
-                    seen.add(names[row])
-                    parts.append((hashes, np.full(len(places), names[row]), places.astype(np.uint32)))
+                if once(names[row]):
+                    rest = ~_is_often(hashes, shared.value)
+                    parts.append((hashes[rest], np.full(int(rest.sum()), names[row]), places[rest].astype(np.uint32)))
             if parts:
                 gram, text_id, place = (np.concatenate(c) for c in zip(*parts, strict=True))
                 yield _dealt((gram % np.uint64(n_blocks)).astype(np.int64), {"gram": gram, "text_id": text_id, "place": place})
@@ -275,7 +419,7 @@ def cut(data: np.ndarray, spans: list[tuple[int, int]]) -> tuple[bytes, int, int
     return b"".join(kept), removed, runs
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, most: int = MOST_ANCHORS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) of every row.
 
     ``kept`` holds the remaining bytes of texts from which a part was removed; it is null where nothing or all was.
@@ -286,7 +430,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     expected = 2 * total / (REACH + 2)
     n_blocks = max(1, math.ceil(expected / (16 * BLOCK_ANCHORS)))
-    found = stored(repeated_anchors(texts, n_blocks), "anchors")
+    often = often_grams(texts, n_blocks, most)
+    found = stored(repeated_anchors(texts, n_blocks, often), "anchors")
     n_found = found.agg(F.sum(F.size("places"))).first()[0] or 0
 
     def one_of_each(keyed: DataFrame) -> DataFrame:
@@ -295,6 +440,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         return texts.join(wanted, (texts["text_id"] == wanted["text_id"]) & texts["doc_id"].eqNullSafe(wanted["first_id"])).drop(texts["text_id"]).drop("doc_id", "sha", "first_id")
 
     spans = stored(repeated_spans(one_of_each(found), max(1, math.ceil(n_found / BLOCK_ANCHORS))), "spans")
+    if len(often):
+        spans = spans.unionByName(stored(often_spans(one_of_each(stored(often_segments(texts, often), "marks"))), "often-spans"))
     by_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     partial = one_of_each(by_text).where("copies = 1")
     schema = T.StructType([T.StructField("text_id", LONG), T.StructField("kept", BINARY), T.StructField("removed", LONG), T.StructField("runs", LONG)])

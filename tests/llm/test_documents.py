@@ -128,6 +128,22 @@ def test_suffix_dedup_beyond_a_step(spark):
     assert got[3][1] >= 1 and got[3][0] == min(size - 200, len(noise))
 
 
+def test_suffix_dedup_counts_often_grams(spark):
+    """A passage in many texts: its anchors are counted and never meet, with the same result as plain Python."""
+    passage = cases.prose(50, 110)
+    given = [(i, cases.prose(100 + i, 50 + i) + passage[i % 3 :] + cases.prose(200 + i, 70), "en", "a", 1) for i in range(24)]
+    given += [(30, given[0][1], "en", "a", 1), (31, passage, "en", "a", 1), (32, passage + passage, "en", "a", 1), (33, passage[:450], "en", "a", 1)] + cases.rows()
+    df = cases.frame(spark, given, clash=False)
+    expected = [(i, *e) for (i, *_), e in zip(given, brute.repeats([t for _, t, *_ in given], suffix_dedup.LENGTH), strict=True)]
+    for most in (3, 10):
+        same(suffix_dedup.deduplicated(df, most), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], expected)
+    texts = suffix_dedup._texts(df)
+    often = suffix_dedup.often_grams(texts, 1, 10)
+    met = suffix_dedup.repeated_anchors(texts, 1, often).join(texts.dropDuplicates(["text_id"]), "text_id").select("text_id", F.explode("places").alias("p"), "text").collect()
+    grams = Counter(r.text.encode()[r.p : r.p + suffix_dedup.GRAM] for r in met)
+    assert len(often) and max(grams.values()) <= 10
+
+
 def test_near_duplicates(docs, empty):
     given = [(i, t) for i, t, *_ in cases.rows()]
     rows = ngram_join.near_duplicates(docs).cache()
