@@ -50,6 +50,10 @@ FILTER_BITS = 24
 VERIFY_ROWS = 1024
 #: Group rows that are searched together for pairs between components.
 OPEN_ROWS = 200_000
+#: Members of a group that one task compares with as many others; larger groups are cut into pairs of tiles.
+TILE_ROWS = 16_384
+#: Pairs that are held before they are handed on.
+MOST_PAIRS = 1 << 20
 _EMPTY = np.zeros(0, np.uint64)
 
 
@@ -229,6 +233,27 @@ def signatures(tokens: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(keys), np.concatenate(bounds)
 
 
+def hopeful(n: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Which members of a group have another one that the bounds allow, in n log n steps.
+
+    Members i and j may be similar if room[i] >= 3 n[j] and room[j] >= 3 n[i], with room = 7 bound - 3 n.
+    """
+    n = n.astype(np.int64)
+    room = 7 * bound.astype(np.int64) - 3 * n
+    order = np.argsort(n, kind="stable")
+    low = np.iinfo(np.int64).min
+    # The greatest room up to each place in order of n, who has it, and the greatest of the others.
+    best = np.maximum.accumulate(room[order])
+    fresh = np.r_[True, best[1:] > best[:-1]]
+    who = order[np.maximum.accumulate(np.where(fresh, np.arange(len(n)), 0))]
+    beaten = np.where(fresh, np.r_[low, best[:-1]], room[order])
+    second = np.maximum.accumulate(beaten)
+    last = np.searchsorted(n[order], room // 3, "right") - 1
+    at = np.maximum(last, 0)
+    other = np.where(who[at] == np.arange(len(n)), second[at], best[at])
+    return (last >= 0) & (other >= 3 * n)
+
+
 def _groups(signature: np.ndarray, node: np.ndarray, n: np.ndarray, bound: np.ndarray) -> dict[bytes, list[np.ndarray]]:
     """Groups of nodes with a shared signature in which a pair can be similar, equal groups once with their best bounds."""
     order = np.lexsort((node, signature))
@@ -240,13 +265,10 @@ def _groups(signature: np.ndarray, node: np.ndarray, n: np.ndarray, bound: np.nd
     out: dict[bytes, list[np.ndarray]] = {}
     for a, b in zip(begin[end - begin > 1].tolist(), end[end - begin > 1].tolist(), strict=True):
         who, size, top = node[a:b], n[a:b], bound[a:b]
-        if b - a <= 512:
-            near = 7 * np.minimum.outer(top, top) >= 3 * np.add.outer(size, size)
-            np.fill_diagonal(near, False)
-            some = near.any(axis=1)
-            if not some.any():
-                continue
-            who, size, top = who[some], size[some], top[some]
+        some = hopeful(size, top)
+        if not some.any():
+            continue
+        who, size, top = who[some], size[some], top[some]
         key = who.tobytes()
         if have := out.get(key):
             np.maximum(have[2], top, out=have[2])
@@ -372,66 +394,87 @@ def pivot_pairs(groups: DataFrame) -> DataFrame:
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def tiled(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` with (i, j, own): each pair of tiles of a group and the tile of the row, which is one of both."""
+    n_tiles = F.ceil(F.col("size") / TILE_ROWS)
+    placed = rows.join(sizes.withColumn("n_tiles", n_tiles), "gid").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_tiles")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1))
+    return placed.withColumn("other", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "n_tiles")
+
+
 def open_pairs(groups: DataFrame, comps: DataFrame) -> DataFrame:
     """(a, b): all pairs of a group in different components, as far as bounds allow a link.
 
     Groups with the same least node tend to hold the same pairs, so they are searched together, in portions of bounded
-    size, and hand on a pair once.
+    size, and hand on a pair once. Groups over ``TILE_ROWS`` are dealt out by pairs of tiles.
     """
     rows = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     kinds = rows.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("least"), F.count("*").alias("size")).where("lo <> hi")
     kinds = stored(kinds.select("gid", "least", "size"), "open-groups")
     rivals = kinds.groupBy("least").agg(F.ceil(F.sum("size") / OPEN_ROWS).alias("k"))
-    total = kinds.agg(F.sum("size")).first()[0] or 0
+    total = kinds.agg(F.sum(F.col("size") * F.ceil(F.col("size") / TILE_ROWS))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / OPEN_ROWS))
-    dealt = kinds.join(rivals, "least").select("gid", F.pmod(F.xxhash64("least", F.pmod("gid", F.col("k"))), F.lit(n_blocks)).alias("block"))
+    portion = F.when(F.col("size") > TILE_ROWS, F.col("gid")).otherwise(F.pmod("gid", F.col("k")))
+    dealt = kinds.join(rivals, "least").select("gid", "least", "size", portion.alias("portion"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         now, group, size = None, [], 0
 
         def out() -> pa.RecordBatch:
+            nonlocal found, size
             pairs = np.unique(np.concatenate(found), axis=0)
+            found, size = [], 0
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-        def flush() -> None:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal size
             if group:
-                pairs = _pairs(*(np.concatenate(c) for c in zip(*group, strict=True)))
-                found.append(pairs)
-                size += len(pairs)
+                for pairs in _pairs(*(np.concatenate(c) for c in zip(*group, strict=True))):
+                    found.append(pairs)
+                    size += len(pairs)
+                    if size > MOST_PAIRS:
+                        yield out()
                 group.clear()
 
         for batch in batches:
-            gid, *columns = (batch.column(c).to_numpy() for c in ("gid", "node", "n", "bound", "comp"))
-            cuts = [0, *(np.flatnonzero(gid[1:] != gid[:-1]) + 1).tolist(), len(gid)]
+            gid, i, j, *columns = (batch.column(c).to_numpy() for c in ("gid", "i", "j", "node", "n", "bound", "comp", "own"))
+            cuts = [0, *(np.flatnonzero((gid[1:] != gid[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist(), len(gid)]
             for a, b in zip(cuts, cuts[1:]):
                 if a < b:
-                    if gid[a] != now:
-                        flush()
-                        now = gid[a]
-                        if size > 4_000_000:
-                            yield out()
-                            found, size = [], 0
+                    if (gid[a], i[a], j[a]) != now:
+                        yield from flush()
+                        now = (gid[a], i[a], j[a])
                     group.append([c[a:b] for c in columns])
-        flush()
+        yield from flush()
         if found:
             yield out()
 
-    together = rows.join(dealt, "gid").select("block", "gid", "node", "n", "bound", "comp").repartition(n_blocks, "block").sortWithinPartitions("block", "gid")
+    block = F.pmod(F.xxhash64("least", "portion", "i", "j"), F.lit(n_blocks)).alias("block")
+    together = tiled(rows, dealt).select(block, "gid", "i", "j", "node", "n", "bound", "comp", "own").repartition(n_blocks, "block").sortWithinPartitions("block", "gid", "i", "j")
     return together.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, bound: np.ndarray, comp: np.ndarray) -> np.ndarray:
-    """Pairs of a group in different components that the bounds allow."""
-    out = [np.zeros((0, 2), np.int64)]
-    for lo in range(0, len(node), 256):
-        part = slice(lo, lo + 256)
+def _pairs(node: np.ndarray, n: np.ndarray, bound: np.ndarray, comp: np.ndarray, own: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs in different components that the bounds allow, of one tile or between two.
+
+    Members of the largest component are only compared with those of others.
+    """
+    names, where = np.unique(comp, return_inverse=True)
+    outer = np.flatnonzero(where != np.bincount(where).argmax()) if len(names) > 1 else np.zeros(0, np.int64)
+    inner = np.ones(len(node), bool)
+    inner[outer] = False
+    across = own.min() != own.max()
+    for lo in range(0, len(outer), 64):
+        part = outer[lo : lo + 64]
         near = 7 * np.minimum.outer(bound[part], bound) >= 3 * np.add.outer(n[part], n)
-        near &= (comp[part, None] != comp) & (node[part, None] < node)
-        i, j = np.nonzero(near)
-        out.append(np.stack([node[part][i], node[j]], axis=1))
-    return np.concatenate(out)
+        near &= (comp[part, None] != comp) & (inner | (node[part, None] < node))
+        if across:
+            near &= own[part, None] != own
+        x, y = np.nonzero(near)
+        a, b = node[part][x], node[y]
+        if len(a):
+            yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
 def links(docs: DataFrame, n_blocks: int) -> DataFrame:

@@ -1,7 +1,9 @@
 """Document operators against plain Python on edge cases, and on empty tables."""
 
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,32 @@ def edited_chain(text, k):
     return " ".join(words)
 
 
+def test_hopeless_members_of_large_groups():
+    """Bounds discard members at every size, as comparing all with all does."""
+    r = random.Random(5)
+    for size in (2, 3, 17, 700):
+        n = np.array([r.randrange(4, 60) for _ in range(size)])
+        bound = np.array([max(1, int(x * r.choice((0.6, 0.8, 0.86, 0.9, 1)))) for x in n])
+        near = 7 * np.minimum.outer(bound, bound) >= 3 * np.add.outer(n, n)
+        np.fill_diagonal(near, False)
+        assert (ngram_join.hopeful(n, bound) == near.any(axis=1)).all()
+    who = np.arange(700)
+    assert not ngram_join._groups(np.zeros(700, np.uint32), who, np.full(700, 100), np.full(700, 76))
+
+
+def test_open_pairs_in_tiles(spark, monkeypatch):
+    """A group over the size of a tile: no task compares it with itself, and no pair is missing or there twice."""
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 20)
+    rows = [(7, i, 100, 86 + i % 3 * 5 - i % 2 * 3) for i in range(90)] + [(8, i, 100, 100) for i in range(5)]
+    comps = {i: i % 4 for i in range(80)}
+    groups = spark.createDataFrame(rows, "gid long, node long, n long, bound long")
+    got = ngram_join.open_pairs(groups, spark.createDataFrame(list(comps.items()), "node long, comp long")).collect()
+    expected = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and comps.get(a[1], a[1]) != comps.get(b[1], b[1]) and 7 * min(a[3], b[3]) >= 600}
+    assert Counter((r.a, r.b) for r in got) == Counter(expected)
+    dealt = ngram_join.tiled(groups.where("gid = 7"), spark.createDataFrame([(7, 90)], "gid long, size long"))
+    assert max(r["count"] for r in dealt.groupBy("i", "j").count().collect()) < 90
+
+
 def test_mixing(docs, empty):
     rows = mixing.with_copies(docs).cache()
     got = rows.collect()
