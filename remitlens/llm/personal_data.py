@@ -5,6 +5,9 @@ instance; instances that a base entity overlaps are seeds of its kind. The words
 pattern. Patterns and instances form a weighted graph that is scored in rounds over the whole corpus: a pattern is worth
 the share of its occurrences that are instances of a kind, an instance what the patterns it occurs in are worth. Patterns
 that enough different seeds support and whose score is high enough mark their other instances as entities of that kind.
+After each round, instances that trusted patterns make worth enough are seeds as well, over all their occurrences, until no
+new pattern is trusted. An instance right behind another one, without a word between, is in the list of the pattern before;
+one that begins its text is in a context of that place.
 
 Only DataFrame expressions are used. What is shuffled is one narrow row for each instance, summed before it moves. A hot
 pattern or instance is summed on the map side; joins back to occurrences are left to adaptive execution.
@@ -40,6 +43,9 @@ _INSTANCE = rf"(?<![^\x20\x09-\x0D]){_TOKEN}(?:\x20{_TOKEN})*+"
 _OPENING, _CLOSING = r"^[\x21-\x2A\x2C-\x2F\x3A-\x3F\x5B-\x60\x7B-\x7E]+", r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$"
 CONTEXT_WORDS = 2
 CHUNK = 256
+#: Ends the pattern of an instance without words before it; words hold no white space.
+LISTED = "\n"
+#: Rounds at least; there are more as long as each makes a new pattern trusted.
 ROUNDS = 3
 LEAST_SEEDS, LEAST_SCORE = 5, 0.8
 ADDED = ("base", "found")
@@ -113,6 +119,34 @@ def base_entities(text: Column) -> Column:
     return F.concat(*[of_kind(kind) for kind in KINDS])
 
 
+def _in_lists(found: Column) -> Column:
+    """``found`` with patterns for instances without words before: the last pattern before, and LISTED behind it."""
+
+    def last_of(part: Column) -> Column:
+        return F.aggregate(part, F.lit(""), lambda now, m: F.when(m["pattern"] != "", m["pattern"]).otherwise(now))
+
+    chunks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(found) - 1) / CHUNK), F.lit(0)).cast("int"))
+
+    def from_ends(ends: Column) -> Column:
+        def before(c: Column) -> Column:
+            had = F.filter(F.slice(ends, F.lit(1), c), lambda p: p != "")
+            return F.when(F.size(had) > 0, F.get(had, F.size(had) - 1)).otherwise(F.lit(""))
+
+        def from_bases(base: Column) -> Column:
+            def one(m: Column, i: Column) -> Column:
+                chunk = F.floor(i / CHUNK).cast("int")
+                near = last_of(F.slice(found, chunk * CHUNK + 1, i % CHUNK + 1))
+                head = F.when(near != "", near).otherwise(F.get(base, chunk))
+                pattern = F.when(m["pattern"] != "", m["pattern"]).otherwise(F.concat(head, F.lit(LISTED)))
+                return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), pattern.alias("pattern"))
+
+            return F.transform(found, one)
+
+        return let(F.transform(chunks, before), from_bases)
+
+    return let(F.transform(chunks, lambda c: last_of(F.slice(found, c * CHUNK + 1, F.lit(CHUNK)))), from_ends)
+
+
 def instances(text: Column) -> Column:
     """Identifier-like runs without their punctuation: array of (start, end, value, pattern)."""
 
@@ -123,7 +157,7 @@ def instances(text: Column) -> Column:
         value = F.substring(m["match"], front + 1, F.length(m["match"]) - front - back)
         return F.struct((m["start"] + front).alias("start"), (m["end"] - back).alias("end"), value.alias("value"), F.array_join(F.reverse(before), " ").alias("pattern"))
 
-    found = F.filter(F.transform(matches(text, _INSTANCE), one), lambda m: (m["end"] > m["start"]) & (m["pattern"] != ""))
+    found = let(F.filter(F.transform(matches(text, _INSTANCE), one), lambda m: m["end"] > m["start"]), _in_lists)
     return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string,pattern:string>>"))
 
 
@@ -136,23 +170,29 @@ def trusted_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(pattern, kind, score) of the patterns to extract with.
 
     In each round the instances' scores flow to patterns and back. Seeds keep score 1 for their kind; another instance
-    takes the occurrence-weighted mean of its patterns.
+    takes the occurrence-weighted mean of its patterns. Where that is high enough it is a seed in the next rounds.
     """
     kinds = F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind")
-    seeds = edges.where("kind IS NOT NULL").groupBy("value", "kind").agg(F.lit(1.0).alias("seed"))
-    support = edges.where("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.countDistinct("value").alias("n_seeds"))
-    links = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
-    # Only patterns behind which a seed stands can gain trust.
-    live = stored(links.join(support.where(F.col("n_seeds") >= LEAST_SEEDS).select("pattern").distinct(), "pattern", "left_semi"), "graph")
-    score = seeds.select("value", "kind", F.col("seed").alias("score"))
-    for turn in range(rounds):
-        by_kind = live.select("pattern", "value", "n", kinds)
+    seeds = stored(edges.where("kind IS NOT NULL").select("value", "kind").distinct(), "seeds")
+    links = stored(edges.groupBy("pattern", "value").agg(F.sum("n").alias("n")), "graph")
+    score = seeds.withColumn("score", F.lit(1.0))
+    turn, n_trusted = 0, 0
+    while True:
+        support = stored(links.join(seeds, "value").groupBy("pattern", "kind").agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= LEAST_SEEDS), f"support{turn}")
+        # Only patterns behind which enough seeds stand can gain trust.
+        by_kind = links.join(support.select("pattern").distinct(), "pattern", "left_semi").select("pattern", "value", "n", kinds)
         worth = by_kind.join(score, ["value", "kind"], "left").groupBy("pattern", "kind").agg((F.sum(F.col("n") * F.coalesce("score", F.lit(0.0))) / F.sum("n")).alias("score"))
         patterns = stored(worth, f"patterns{turn}")
+        trusted = patterns.join(support, ["pattern", "kind"]).where(F.col("score") >= LEAST_SCORE).select("pattern", "kind", "score")
+        before, n_trusted = n_trusted, trusted.count()
+        turn += 1
+        if turn >= rounds and n_trusted <= before:
+            return trusted
         passed = by_kind.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("passed"))
-        both = passed.join(seeds, ["value", "kind"], "left")
-        score = stored(both.select("value", "kind", F.coalesce("seed", "passed").alias("score")), f"instances{turn}")
-    return patterns.join(support, ["pattern", "kind"]).where((F.col("n_seeds") >= LEAST_SEEDS) & (F.col("score") >= LEAST_SCORE)).select("pattern", "kind", "score")
+        passed = stored(passed, f"instances{turn}")
+        seeds = stored(seeds.union(passed.where(F.col("passed") >= LEAST_SCORE).select("value", "kind")).distinct(), f"seeds{turn}")
+        known = seeds.withColumn("seed", F.lit(1.0))
+        score = passed.join(known, ["value", "kind"], "full").select("value", "kind", F.coalesce("seed", "passed").alias("score"))
 
 
 def entities(docs: DataFrame, keep_text: bool = True) -> DataFrame:

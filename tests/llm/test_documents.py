@@ -105,6 +105,28 @@ def test_personal_data_bootstraps(spark):
     assert got == {100: "phone:11:23", 101: ""}
 
 
+def test_personal_data_bootstraps_over_hops(spark):
+    """Identifiers found through trusted words make other words trusted, none of which stands before a fixed pattern."""
+    rows = [(i, f"{cases.prose(i, 20)} Call me at +1 (202) 555-{1000 + i} now", "en", "a", 1) for i in range(60)]
+    rows += [(100 + i, f"{cases.prose(i, 20)} Call me at 030/2345-60{i} now", "en", "a", 1) for i in range(6)]
+    rows += [(200 + i, f"my tel: 030/2345-60{i} now", "en", "a", 1) for i in range(6)]
+    rows += [(300 + i, f"my tel: 040/99-70{i} now", "en", "a", 1) for i in range(1)]
+    rows += [(400, "sold at 12/34-567 each", "en", "a", 1)]
+    got = {r.doc_id: r.s for r in personal_data.entities(cases.frame(spark, rows, clash=False)).where("doc_id >= 100").select("doc_id", personal_data.listed(F.col("found")).alias("s")).collect()}
+    assert all(got[200 + i] == "phone:8:20" for i in range(6)) and got[300] == "phone:8:18" and got[400] == ""
+
+
+def test_personal_data_in_lists(spark):
+    """Identifiers on lines of their own are in the list of the words before."""
+    rows = [(i, f"Our staff lines:\n+1 (202) 555-{1000 + i}\n+1 (202) 555-{2000 + i}\n+1 (202) 555-{3000 + i}", "en", "a", 1) for i in range(30)]
+    rows += [(100, "Our staff lines:\n+1 (202) 555-4000\n030/2345-678", "en", "a", 1), (101, "12/34\n" + "\n".join(f"7/{i}" for i in range(600)), "en", "a", 1)]
+    df = cases.frame(spark, rows, clash=False)
+    got = {r.doc_id: r.s for r in personal_data.entities(df).where("doc_id >= 100").select("doc_id", personal_data.listed(F.col("found")).alias("s")).collect()}
+    assert got == {100: "phone:17:34,phone:35:47", 101: ""}
+    (own,) = df.where("doc_id = 100").select(personal_data.instances(F.col("text"))["pattern"].alias("p")).collect()
+    assert own.p == ["staff lines:", "staff lines:\n"]
+
+
 def test_long_match_lists(spark):
     text = " ".join(f"u{i}@ex.org" for i in range(1500))
     rows = personal_data.entities(cases.frame(spark, [(1, text, "en", "a", 1)], clash=False))
