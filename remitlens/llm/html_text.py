@@ -156,8 +156,8 @@ _TOKENS = "host string, path string, text long, n_pages long, total long, vector
 def tokens(pages: DataFrame) -> DataFrame:
     """Sums over the pages of a batch: (host, path, text, n_pages, total, vector, chars).
 
-    ``text`` is null for elements and a digest for the texts of blocks. ``vector`` is the exclusive-or of a digest of each
-    page with its count; ``chars`` is the varying text below an element outside of furniture. Path '' counts the pages.
+    ``text`` is null for elements and a digest for the texts of blocks. ``vector`` is the wrapping sum of a digest of
+    each page with its count, so repeated rows do not cancel each other; ``chars`` is the varying text below an element outside of furniture. Path '' counts the pages.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +168,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 entry = sums[key]
                 entry[0] += 1
                 entry[1] += count
-                entry[2] ^= _digest(f"{page}:{count}")
+                entry[2] = (entry[2] + _digest(f"{page}:{count}") + (1 << 63)) % (1 << 64) - (1 << 63)
                 entry[3] += chars
 
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
@@ -213,7 +213,7 @@ def _main_slot(chain: Column) -> Column:
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, main, fixed): the main slot's path, null where the host has none, and digests of template texts below it."""
-    sums = tokens(pages).groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "total", "chars")], F.bit_xor("vector").alias("vector"))
+    sums = tokens(pages).groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "total", "chars")], F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"))
     sums = stored(sums, "page-tokens")
     hosts = sums.where("path = ''").groupBy("host").agg(F.sum("n_pages").alias("pages"), F.sum("chars").alias("host_chars"))
     # Most tokens occur on one page only; they go before a host's tokens meet.

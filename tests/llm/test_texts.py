@@ -143,3 +143,10 @@ def test_template_classes(spark):
     rows = [(i, f"http://h.example/{i}", page(f"T{i}", f"<p>{cases.prose(i, 30)}</p>", "ad", "<p>Read more on host</p>")) for i in range(10)]
     (r,) = html_text.templates(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert r.host == "h.example" and r.main == "html>body>div.story" and len(r.fixed) == 1
+
+
+def test_pages_that_all_occur_twice(spark):
+    """Rows repeated an even number of times: the host keeps its template."""
+    rows = [(i, f"http://h.example/{i}", page(f"T{i}", f"<p>{cases.prose(i, 30)}</p>", "ad", "<p>Read more on host</p><p>twice</p><p>twice</p>")) for i in range(10)]
+    (r,) = html_text.templates(spark.createDataFrame(rows * 2, "page_id long, url string, html string")).collect()
+    assert r.main == "html>body>div.story" and len(r.fixed) == 1
