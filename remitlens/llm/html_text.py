@@ -35,8 +35,11 @@ from remitlens.storage import stored
 _TAG = re.compile(r"""<!--(?:.*?-->|.*)|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""([A-Za-z][\w:-]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+""")
 _SPACE = re.compile(r"\s+")
-#: Elements whose content is not text of the page.
-_RAW = frozenset(("script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "select", "canvas", "audio", "video", "xmp", "noembed", "noframes"))
+#: Elements whose content is not text of the page: those that HTML reads up to their end tag, and those that hold elements.
+_RAW = frozenset(("script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"))
+_SKIPPED = frozenset(("noscript", "template", "svg", "object", "select", "canvas", "audio", "video"))
+#: Elements that end skipped ones which were left open.
+_OUTSIDE = frozenset(("body", "main", "article", "h1"))
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup "
@@ -91,8 +94,10 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
     """Texts of a page as (path, furniture, text), and its block elements by path with how often each occurs."""
     out: list[tuple[str, bool, str]] = []
     elements: dict[str, int] = defaultdict(int)
-    stack: list[tuple[str, str, bool]] = [("", "", False)]
+    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
     parts: list[str] = []
+    last_end: dict[str, int] = {}
+    lower = page.lower() if page.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), page)
     at = 0
 
     def flush() -> None:
@@ -109,7 +114,7 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
                 return
 
     while m := _TAG.search(page, at):
-        if m.start() > at:
+        if m.start() > at and not stack[-1][3]:
             parts.append(page[at : m.start()])
         at = m.end()
         if m["name"] is None:
@@ -121,7 +126,29 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
                 at = end.end() if end else len(page)
         elif name == "br":
             parts.append("\n")
+        elif name in _SKIPPED:
+            if m["end"]:
+                if stack[-1][3]:
+                    close(name)
+            elif not m["attrs"].endswith("/"):
+                if name not in last_end:
+                    last_end[name] = lower.rfind(f"</{name}")
+                if at <= last_end[name]:  # one without an end tag further on holds nothing
+                    stack.append((name, stack[-1][1], stack[-1][2], True))
         elif name in _BLOCK:
+            if stack[-1][3]:
+                same = next((s for s in reversed(stack) if s[0] == name), None) if m["end"] else None
+                if same and same[3]:
+                    close(name)
+                    continue
+                if m["end"] and not same:
+                    continue
+                if not m["end"] and name not in _OUTSIDE:
+                    if name not in _VOID:
+                        stack.append((name, stack[-1][1], stack[-1][2], True))
+                    continue
+                while not m["end"] and stack[-1][3]:
+                    stack.pop()
             flush()
             if m["end"]:
                 close(name)
@@ -134,8 +161,8 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
                 if name not in _VOID:
                     # The header of an article is its own, a page's is furniture.
                     own = name == "header" and any(s[0] in ("article", "main") for s in stack)
-                    stack.append((name, path, stack[-1][2] or furniture or (name in _FURNITURE and not own) or name == "head"))
-    if at < len(page):
+                    stack.append((name, path, stack[-1][2] or furniture or (name in _FURNITURE and not own) or name == "head", False))
+    if at < len(page) and not stack[-1][3]:
         parts.append(page[at:])
     flush()
     return out, dict(elements)

@@ -150,3 +150,15 @@ def test_pages_that_all_occur_twice(spark):
     rows = [(i, f"http://h.example/{i}", page(f"T{i}", f"<p>{cases.prose(i, 30)}</p>", "ad", "<p>Read more on host</p><p>twice</p><p>twice</p>")) for i in range(10)]
     (r,) = html_text.templates(spark.createDataFrame(rows * 2, "page_id long, url string, html string")).collect()
     assert r.main == "html>body>div.story" and len(r.fixed) == 1
+
+
+def texts_of(html):
+    return [t for _, furniture, t in html_text.blocks(html)[0] if not furniture]
+
+
+def test_elements_that_are_skipped_close():
+    assert texts_of("<body><video src=x><article><p>One</p><object><p>Two</p></article><p>Three</p></body>") == ["One", "Two", "Three"]
+    assert texts_of("<article><video><p>no</p><p>One</p></article><p>Two</p><video>no</video>") == ["Two"]
+    assert texts_of("<div><video><article><p>One</p></article></div><video>no</video>") == ["One"]
+    assert texts_of("<p>a <object>x<object>y</object>z<div>w</div></object>b <svg><svg></svg><text>t</text></svg><math><mi>c</mi></math></p>") == ["a b c"]
+    assert texts_of("<p>a<script>'</p>'</script>b</p><p>c</p>") == ["ab", "c"]
