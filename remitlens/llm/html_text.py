@@ -12,6 +12,9 @@ by element, role, id and class) and without block texts that are template themse
 template (a single page, or none that the template fits) fall back to their own ``article`` or ``main`` element, else to
 the whole body without furniture.
 
+Class words never make html, body, main or article furniture. Where furniture would leave less than a tenth of a page's text,
+elements that hold most of it are none, such as a form around everything; if still nothing is left, only hidden ones are.
+
 Defined cases: null html gives an empty text; a null or odd url counts as host ''; repeated rows are pages of their own;
 unclosed and misnested elements close with their ancestors; a ``<`` that begins no tag is text; ``br`` is white space.
 """
@@ -65,6 +68,9 @@ _FURNITURE_WORDS = frozenset(
 )
 _OWN_MAIN = re.compile(r"(?:^|>)(?:article|main)\b")
 LEAST_SHARE = 0.5
+#: Elements that class words never make furniture, and the share of a page's text that furniture leaves at least.
+_NEVER_FURNITURE = frozenset(("html", "body", "main", "article"))
+LEAST_LEFT = 0.1
 #: Block texts count as template only on hosts with so many pages, where nearly all have them: articles can have copies.
 FIXED_PAGES, FIXED_SHARE = 10, 0.9
 #: Main slots are elements that hold blocks, not blocks of text; ones around the innermost may hold this much of its text.
@@ -73,9 +79,9 @@ _ARTICLE, _PAGE = r"(?:^|>)(?:article|main)(?:[.#][^>]*)?$", r"(?:^|>)(?:html|bo
 MORE = 1.15
 
 
-def _words(attributes: str) -> tuple[str, bool]:
-    """Suffix of the element's name for paths, and whether id, class or role call it furniture."""
-    suffix, furniture = "", False
+def _words(attributes: str) -> tuple[str, bool, bool]:
+    """Suffix of the element's name for paths, whether id, class or role call it furniture, and whether it is hidden."""
+    suffix, furniture, hidden = "", False, False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
@@ -86,15 +92,17 @@ def _words(attributes: str) -> tuple[str, bool]:
         elif name == "role":
             furniture |= value.strip().lower() in _FURNITURE_ROLES
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            furniture = True
-    return suffix, furniture
+            hidden = True
+    return suffix, furniture, hidden
 
 
 def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
     """Texts of a page as (path, furniture, text), and its block elements by path with how often each occurs."""
-    out: list[tuple[str, bool, str]] = []
     elements: dict[str, int] = defaultdict(int)
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    # Of each text, the furniture elements around it; -1 stands for hidden ones and the head.
+    stack: list[tuple[str, str, tuple[int, ...], bool]] = [("", "", (), False)]
+    marked: list[tuple[str, tuple[int, ...], str]] = []
+    n_marks = 0
     parts: list[str] = []
     last_end: dict[str, int] = {}
     lower = page.lower() if page.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), page)
@@ -105,7 +113,7 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                out.append((stack[-1][1], stack[-1][2], text))
+                marked.append((stack[-1][1], stack[-1][2], text))
 
     def close(name: str) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -155,17 +163,44 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
             else:
                 while name in _ENDS.get(stack[-1][0], ()):
                     stack.pop()
-                suffix, furniture = _words(m["attrs"])
+                suffix, furniture, hidden = _words(m["attrs"])
                 path = f"{stack[-1][1]}>{name}{suffix}" if stack[-1][1] else name + suffix
                 elements[path] += 1
                 if name not in _VOID:
                     # The header of an article is its own, a page's is furniture.
                     own = name == "header" and any(s[0] in ("article", "main") for s in stack)
-                    stack.append((name, path, stack[-1][2] or furniture or (name in _FURNITURE and not own) or name == "head", False))
+                    marks = stack[-1][2]
+                    if name == "head" or (hidden and name not in ("html", "body")):
+                        marks = (-1,)
+                    elif marks != (-1,) and ((furniture and name not in _NEVER_FURNITURE) or (name in _FURNITURE and not own)):
+                        marks, n_marks = (*marks, n_marks), n_marks + 1
+                    stack.append((name, path, marks, False))
     if at < len(page) and not stack[-1][3]:
         parts.append(page[at:])
     flush()
-    return out, dict(elements)
+    void = _wrappers(marked)
+    return [(path, any(x not in void for x in marks), text) for path, marks, text in marked], dict(elements)
+
+
+def _wrappers(marked: list[tuple[str, tuple[int, ...], str]]) -> set[int]:
+    """Furniture elements that are none, because without them next to nothing would be left of the page.
+
+    Those are wrappers that hold most of its text; if that is not enough, all that are not hidden.
+    """
+    shown = [(marks, len(text)) for _, marks, text in marked if marks != (-1,)]
+    total = sum(n for _, n in shown)
+    below: dict[int, int] = defaultdict(int)
+    for marks, n in shown:
+        for x in marks:
+            below[x] += n
+
+    def left(void: set[int]) -> int:
+        return sum(n for marks, n in shown if all(x in void for x in marks))
+
+    if left(set()) >= LEAST_LEFT * total:
+        return set()
+    void = {x for x, n in below.items() if 2 * n > total}
+    return void if left(void) else set(below)
 
 
 def _digest(text: str) -> int:

@@ -162,3 +162,11 @@ def test_elements_that_are_skipped_close():
     assert texts_of("<div><video><article><p>One</p></article></div><video>no</video>") == ["One"]
     assert texts_of("<p>a <object>x<object>y</object>z<div>w</div></object>b <svg><svg></svg><text>t</text></svg><math><mi>c</mi></math></p>") == ["a b c"]
     assert texts_of("<p>a<script>'</p>'</script>b</p><p>c</p>") == ["ab", "c"]
+
+
+def test_furniture_words_of_wrappers():
+    for outside in ("<body class='single no-sidebar'>", "<body><form id='aspnetForm'>", "<body><div class='page-with-sidebar'>", "<html class='has-sidebar comments-open'><body>"):
+        for article in ("<article class='post related-topic'>", "<main class='no-sidebar'>", "<div>"):
+            assert texts_of(f"{outside}<nav>Menu</nav>{article}<p>{'A long story. ' * 9}</p><div class='ad'>Buy</div>") == [("A long story. " * 9).strip()]
+    assert texts_of("<body><div class='story'>Short story</div><div id='comments'>Many long comments, and more of them</div>") == ["Short story"]
+    assert html_text.main_text("<body><div class='sidebar'>One</div><div class='widget'>Two</div><p hidden>no</p>", None, frozenset()) == "One\nTwo"
