@@ -71,8 +71,8 @@ LEAST_SHARE = 0.5
 #: Elements that class words never make furniture, and the share of a page's text that furniture leaves at least.
 _NEVER_FURNITURE = frozenset(("html", "body", "main", "article"))
 LEAST_LEFT = 0.1
-#: Block texts count as template only on hosts with so many pages, where nearly all have them: articles can have copies.
-FIXED_PAGES, FIXED_SHARE = 10, 0.9
+#: Block texts count as template if so many of the pages with the main slot have them, and enough of the slot varies.
+FIXED_SHARE = 0.9
 #: Main slots are elements that hold blocks, not blocks of text; ones around the innermost may hold this much of its text.
 _CONTAINER = r"(?:^|>)(?:html|body|main|article|section|div|table|tbody|tr|td|center|fieldset)(?:[.#][^>]*)?$"
 _ARTICLE, _PAGE = r"(?:^|>)(?:article|main)(?:[.#][^>]*)?$", r"(?:^|>)(?:html|body)(?:[.#][^>]*)?$"
@@ -219,7 +219,7 @@ def tokens(pages: DataFrame) -> DataFrame:
     """Sums over the pages of a batch: (host, path, text, n_pages, total, vector, chars).
 
     ``text`` is null for elements and a digest for the texts of blocks. ``vector`` is the wrapping sum of a digest of
-    each page with its count, so repeated rows do not cancel each other; ``chars`` is the varying text below an element outside of furniture. Path '' counts the pages.
+    each page with its count, so repeated rows do not cancel each other; ``chars`` is the text below an element outside of furniture, of a text its length on each page. Path '' counts the pages.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +238,11 @@ def tokens(pages: DataFrame) -> DataFrame:
                 texts, elements = blocks(page or "")
                 below: dict[str, int] = defaultdict(int)
                 times: dict[tuple[str, str], int] = defaultdict(int)
+                clean: set[tuple[str, str]] = set()
                 for path, furniture, text in texts:
                     times[path, text] += 1
                     if not furniture:
+                        clean.add((path, text))
                         cut = len(path)
                         while cut > 0:
                             below[path[:cut]] += len(text)
@@ -249,7 +251,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 for path, count in elements.items():
                     add((name, path, None), number, count, below.get(path, 0))
                 for (path, text), count in times.items():
-                    add((name, path, _digest(text)), number, count)
+                    add((name, path, _digest(text)), number, count, len(text) if (path, text) in clean else 0)
             columns = [[k[0] for k in sums], [k[1] for k in sums], [k[2] for k in sums], *([v[i] for v in sums.values()] for i in range(4))]
             kinds = (pa.string(), pa.string(), *[pa.int64()] * 5)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "path", "text", "n_pages", "total", "vector", "chars"])
@@ -258,7 +260,7 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 
 def _main_slot(chain: Column) -> Column:
-    """Path of the main slot; ``chain`` are the containers of most of the text, which nest, from the inside.
+    """The main slot; ``chain`` are the containers of most of the text, which nest, from the inside.
 
     An article or main element is the slot. Otherwise it is the innermost container, or one around it (not the body)
     that adds little, such as the heading.
@@ -270,7 +272,7 @@ def _main_slot(chain: Column) -> Column:
         fits = (c["depth"] < now["depth"]) & ~now["path"].rlike(_ARTICLE) & ~c["path"].rlike(_PAGE) & (c["chars"] <= MORE * now["chars"])
         return F.when(fits, c).otherwise(now)
 
-    return F.aggregate(chain, start, outwards)["path"]
+    return F.aggregate(chain, start, outwards)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -284,11 +286,20 @@ def templates(pages: DataFrame) -> DataFrame:
     classes = own.groupBy("host", "vector", "n_pages").agg(F.min(F.col("total") == F.col("n_pages")).alias("once"), F.collect_list(F.struct("path", "text", "chars")).alias("members"), F.first("host_chars").alias("host_chars"), F.first("pages").alias("pages"))
     members = classes.where("once").select("host", "host_chars", "pages", "n_pages", F.explode("members").alias("m")).select("host", "host_chars", "pages", "n_pages", "m.path", "m.text", "m.chars")
     holders = members.where(F.col("text").isNull() & (2 * F.col("chars") > F.col("host_chars")) & F.col("path").rlike(_CONTAINER))
-    chain = F.reverse(F.sort_array(F.collect_list(F.struct(F.size(F.split("path", ">")).alias("depth"), "chars", "path"))))
-    main = holders.groupBy("host").agg(chain.alias("chain")).select("host", _main_slot(F.col("chain")).alias("main"))
-    texts = members.where(F.col("text").isNotNull() & (F.col("pages") >= FIXED_PAGES) & (F.col("n_pages") >= FIXED_SHARE * F.col("pages")))
-    fixed = texts.join(main, "host").where(F.col("path").startswith(F.col("main"))).groupBy("host").agg(F.collect_set("text").alias("fixed"))
-    return main.join(fixed, "host", "left")
+    chain = F.reverse(F.sort_array(F.collect_list(F.struct(F.size(F.split("path", ">")).alias("depth"), "chars", "path", "n_pages"))))
+    main = holders.groupBy("host").agg(chain.alias("chain")).select("host", _main_slot(F.col("chain")).alias("slot")).select("host", F.col("slot.path").alias("main"), F.col("slot.n_pages").alias("slots"))
+    main = stored(main, "main-slots")
+    inside = (F.col("path") == F.col("main")) | F.col("path").startswith(F.concat("main", F.lit(">")))
+    length = F.col("chars") / F.col("n_pages")
+    # What differs between pages, each text once, so that copies of an article do not count as pages that vary.
+    slot_chars = sums.where("text IS NOT NULL").join(main, "host").where(inside).groupBy("host").agg(F.sum(length).alias("slot_chars"))
+    texts = members.where("text IS NOT NULL").join(main, "host").where(inside & (F.col("n_pages") >= FIXED_SHARE * F.col("slots")))
+    alike = texts.groupBy("host").agg(F.sum(length).alias("alike"), F.collect_set("text").alias("near"), F.collect_set(F.when(F.col("n_pages") == F.col("slots"), F.col("text"))).alias("all"), F.first("slots").alias("slots"))
+    varies = F.col("slot_chars") - F.col("alike")
+    # Texts that some pages lack could be those of copies beside few other pages; for them each page has to vary.
+    chosen = F.when(2 * varies >= F.col("alike") * F.col("slots"), F.col("near")).when(varies >= F.col("alike"), F.col("all"))
+    fixed = alike.join(slot_chars, "host").select("host", chosen.alias("fixed")).where("fixed IS NOT NULL")
+    return main.drop("slots").join(fixed, "host", "left")
 
 
 def main_text(page: str | None, main: str | None, fixed: frozenset[int]) -> str:

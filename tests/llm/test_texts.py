@@ -170,3 +170,15 @@ def test_furniture_words_of_wrappers():
             assert texts_of(f"{outside}<nav>Menu</nav>{article}<p>{'A long story. ' * 9}</p><div class='ad'>Buy</div>") == [("A long story. " * 9).strip()]
     assert texts_of("<body><div class='story'>Short story</div><div id='comments'>Many long comments, and more of them</div>") == ["Short story"]
     assert html_text.main_text("<body><div class='sidebar'>One</div><div class='widget'>Two</div><p hidden>no</p>", None, frozenset()) == "One\nTwo"
+
+
+def test_template_texts_on_hosts_of_few_pages(spark):
+    """One rule at every size; copies of an article, also nearly equal ones, are no template."""
+    notice = "<p>Read more on host</p>"
+    story = "".join(f"<p>{cases.prose(k, 20)}</p>" for k in range(5))
+    rows = [(i, f"http://few.example/{i}", page(f"T{i}", f"<p>{cases.prose(i, 30)}</p>", "ad", notice)) for i in range(2)]
+    rows += [(10 + i, f"http://copies.example/{i}", page(f"T{i}", story, f"ad {i}")) for i in range(3)]
+    rows += [(20 + i, f"http://mixed.example/{i}", page("Same", story, f"ad {i}")) for i in range(9)] + [(30, "http://mixed.example/30", page("Other", f"<p>{cases.prose(99, 300)}</p>", "ad"))]
+    texts = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all("Read more" not in texts[i] and texts[i].startswith(f"T{i}\n") for i in range(2))
+    assert all(len(texts[i].split("\n")) == 6 for i in (10, 11, 12, *range(20, 29)))
