@@ -39,15 +39,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
 
 
-def shielded(df: DataFrame, *reserved: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def shielded(df: DataFrame, *reserved: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """``df`` with columns of reserved names renamed, and a function that gives its columns back under their names.
 
-    For filters, whose result has exactly the columns of the input even where an operator uses the same names.
+    For filters, whose result has exactly the columns of the input even where an operator uses the same names, and, with
+    ``more`` names, for results that add those columns.
     """
     taken = {n.lower() for n in reserved}
     names = {c: f"_own{i}" if c.lower() in taken else c for i, c in enumerate(df.columns)}
     renamed = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    return renamed, lambda out: out.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+    return renamed, lambda out, *more: out.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()], *more)
 
 
 def joined_sha256(values: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import chat_format, decontaminate, html_text, license_scan, mixing, ngram_join, personal_data, quality_rules, suffix_dedup, token_scan
+from remitlens.llm import chat_format, decontaminate, fill_middle, html_text, license_scan, mixing, ngram_join, personal_data, quality_rules, suffix_dedup, token_scan, turn_repair, url_filter
 from remitlens.llm.common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,67 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_suffix_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+_FIRST_RULE = "CASE " + " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.host + r.path}'"
+    for r in sorted(url_filter.RULES, key=lambda r: -len(r.host + r.path))
+) + " END"
+_RULE_VERDICT = "CASE rule " + " ".join(f"WHEN '{r.host + r.path}' THEN '{r.verdict}'" for r in url_filter.RULES) + " END"
+
+
+@query(
+    "op12_url_filter",
+    rf"""
+WITH RECURSIVE u AS (SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+r AS (SELECT *, {_FIRST_RULE} AS rule FROM u),
+v AS (SELECT *, {_RULE_VERDICT} AS ruled FROM r),
+sh AS (SELECT host, count(*) AS n, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM v WHERE host <> '' GROUP BY host),
+seed AS (SELECT host, CASE WHEN 100 * b >= {url_filter.SEED_SHARE} * n THEN 'block' WHEN 100 * a >= {url_filter.SEED_SHARE} * n THEN 'allow' END AS kind FROM sh
+  WHERE 100 * b >= {url_filter.SEED_SHARE} * n OR 100 * a >= {url_filter.SEED_SHARE} * n),
+l AS (SELECT DISTINCT src, dst FROM (SELECT host AS src, translate(unnest(regexp_extract_all(html, '(?i)\shref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM u WHERE host <> '') WHERE src <> dst),
+e AS (SELECT 'allow' AS kind, src AS host, dst AS nxt FROM l UNION ALL SELECT 'block', dst, src FROM l),
+g AS (SELECT *, count(*) OVER (PARTITION BY kind, host) AS degree FROM e),
+w AS (SELECT 0 AS round, host, kind, ({url_filter.MASS} // count(*) OVER (PARTITION BY kind))::BIGINT AS mass FROM seed
+  UNION ALL SELECT round + 1, nxt, kind, sum(part)::BIGINT FROM (SELECT w.round, g.nxt, w.kind, (w.mass * {url_filter.DAMPING}) // (100 * g.degree) AS part
+    FROM w JOIN g ON g.kind = w.kind AND g.host = w.host WHERE w.round < {url_filter.ROUNDS}) WHERE part > 0 GROUP BY round, nxt, kind),
+t AS (SELECT kind, sum(mass)::DOUBLE AS total FROM w GROUP BY kind),
+h AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'allow'), 0)::DOUBLE / coalesce((SELECT total FROM t WHERE kind = 'allow'), 1) AS trust,
+  coalesce(sum(mass) FILTER (kind = 'block'), 0)::DOUBLE / coalesce((SELECT total FROM t WHERE kind = 'block'), 1) AS distrust FROM w GROUP BY host),
+bad AS (SELECT host FROM h WHERE distrust >= 1e-6::DOUBLE AND distrust > trust)
+SELECT page_id, v.host, path, rule, coalesce(ruled, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM v LEFT JOIN bad ON v.host = bad.host
+""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(table(spark, folder, "pages").select("page_id", "url", "html")).select("page_id", *url_filter.ADDED)
+
+
+@query(
+    "op13_fill_middle",
+    r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^
+]*
+|[^
+]+') AS ls, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+  ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(ls)::BIGINT AS n, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a, greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a + 1:b], '') AS mid, array_to_string(ls[b + 1:n], '') AS suf,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fill_middle.transformed(table(spark, folder, "documents").select("doc_id", "text"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": fill_middle.restored(F.col("output"), F.col("form"))}
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[F.sha2(c.cast("binary"), 256).alias(n) for n, c in digests.items()])
+
+
+@query("op11_turn_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.report(rows, turn_repair.damaged(rows))

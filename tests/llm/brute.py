@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -126,3 +127,127 @@ def conversation(turns):
     """Digests of (role, text) turns."""
     loss = "".join(t or "" for r, t in turns if r == "assistant")
     return len(turns), sha("".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)), len(loss), sha(loss)
+
+
+def fill_middle(doc_id, text, seed=7):
+    """(n, form, prefix characters, middle characters, output), by lines."""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    hexes = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h1, h2, _, h4 = (int(hexes[i : i + 8], 16) for i in (0, 8, 16, 24))
+    a, b = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")):
+        return len(units), "plain", None, None, text
+    output = f"<S>{suffix}<P>{prefix}<M>{middle}" if h4 % 100 < 50 else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return len(units), "spm" if h4 % 100 < 50 else "psm", len(prefix), len(middle), output
+
+
+_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def url_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S).groups()
+    return host.translate(_LOWER), path
+
+
+def url_rule(host, path):
+    fits = [(len(h + p), h + p, v) for v, h, p in _RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def url_verdicts(pages, rounds=30):
+    """(host, path, rule, verdict) of each (url, html)."""
+    parsed = [(*url_parts(u), h) for u, h in pages]
+    counts, edges = defaultdict(Counter), set()
+    for host, path, html in parsed:
+        if host:
+            counts[host].update(["all", url_rule(host, path)[1]])
+            for target in re.findall(r"""(?i)\shref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)""", html or ""):
+                if target.translate(_LOWER) != host:
+                    edges.add((host, target.translate(_LOWER)))
+    shares = {}
+    for kind, links in (("allow", edges), ("block", {(b, a) for a, b in edges})):
+        other = {"allow": "block"}.get(kind)
+        own = [h for h, c in counts.items() if 2 * c[kind] >= c["all"] and not (other and 2 * c[other] >= c["all"])]
+        next_of = defaultdict(list)
+        for a, b in links:
+            next_of[a].append(b)
+        wave = {h: 10**15 // len(own) for h in own}
+        rank = Counter(wave)
+        for _ in range(rounds):
+            passed = Counter()
+            for h, mass in wave.items():
+                for b in next_of[h]:
+                    passed[b] += mass * 85 // (100 * len(next_of[h]))
+            wave = {h: m for h, m in passed.items() if m}
+            rank.update(wave)
+        total = sum(rank.values()) or 1
+        shares[kind] = {h: m / total for h, m in rank.items()}
+    out = []
+    for host, path, _ in parsed:
+        rule, verdict = url_rule(host, path)
+        bad = shares["block"].get(host, 0) >= 1e-6 and shares["block"].get(host, 0) > shares["allow"].get(host, 0)
+        out.append((host, path, rule, verdict or ("block" if bad else "allow")))
+    return out
+
+
+def damaged(rows):
+    """Turns (conv_id, turn, role, text) that are left, as the contract damages them."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        draw = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if draw == 1 else re.sub("[.!?]", "", text) if draw == 2 else text
+        out += [(conv, turn, "user" if draw == 4 else role, text)] * {0: 0, 3: 2}.get(draw, 1)
+    return out
+
+
+def cheapest_edits(kinds):
+    """Least (cost, audit) by dynamic programming over (turns read, expected state); kinds as (initial, fault)."""
+    follow = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    here = {"": (0, "")}
+
+    def filled(labels):
+        for _ in range(3):
+            for state, (cost, audit) in list(labels.items()):
+                for c, to in follow[state].items():
+                    if c != "s":
+                        labels[to] = min(labels.get(to, (1 << 60, "")), (cost + 3, audit + "I"))
+        return labels
+
+    for initial, fault in kinds:
+        after = {}
+        for state, (cost, audit) in filled(here).items():
+            edits = [(state, cost + 4, audit + "D")]
+            if fault not in ("blank", "duplicate"):
+                more = 3 if fault else 0
+                edits += [(to, cost + more, audit + "K") for c, to in follow[state].items() if c == initial]
+                edits += [(to, cost + more + 3, audit + "R") for c, to in follow[state].items() if c != "s"]
+            for to, *label in edits:
+                after[to] = min(after.get(to, (1 << 60, "")), tuple(label))
+        here = after
+    return min(label for state, label in filled(here).items() if state in ("", "a"))
+
+
+def repair(turns):
+    """What the contract asks of the (turn, role, text) rows of one conversation after damage."""
+    turns = sorted(turns, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(f"{len(r[1])}:{r[1]}{r[2]}".encode()).digest()))
+    seen, kinds = set(), []
+    for _, role, text in turns:
+        end = text.rstrip(" \t\n\x0b\x0c\r")
+        kinds.append((role[:1], "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else None))
+        seen.add((role, text))
+    numbers = {t for t, _, _ in turns if t is not None}
+    gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+    faults = Counter(f for _, f in kinds)
+    illegal = sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(kinds, kinds[1:]))
+    cost, audit = cheapest_edits(kinds)
+    rest, out = iter(turns), []
+    for edit in audit:
+        _, role, text = (None, None, "") if edit == "I" else next(rest)
+        if edit != "D":
+            out.append((role if edit == "K" else "assistant" if out and out[-1][0][0] == "u" else "user", text))
+    return gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, sha("\n".join(f"{r}:{t}" for r, t in out))
