@@ -1,4 +1,4 @@
-"""Rate models on Spark ML: features, boosted trees, elastic net, least squares, time-ordered validation.
+"""Rate models: features, boosted trees and least squares on Spark ML, elastic net, time-ordered validation.
 
 Fitting runs Spark jobs when called; scoring is lazy.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from remitlens.contracts import DEFAULT_THRESHOLDS, DIMS, GROUP_KEYS, ML_CATEGORICAL, ML_NUMERIC, Thresholds
 from remitlens.functions.numbers import div_or_null
 from remitlens.functions.text import MISSING_PART
+from remitlens.operators import elastic
 from remitlens.operators.compact import payment_rate_column
 from remitlens.operators.medians import exact_medians
 from remitlens.operators.ml_report import (
@@ -89,22 +90,17 @@ def fit_features(train: DataFrame) -> FeatureModel:
     return FeatureModel(medians, encoder)
 
 
-@dataclass(frozen=True)
-class RateModel:
-    """A fitted rate model; ``prefix`` names its output columns."""
+class _Scorer:
+    """Scores of a model whose output columns begin with ``prefix``."""
 
-    features: FeatureModel
-    regressor: object
     prefix: str
-    params: dict
 
     @property
     def predicted(self) -> str:
         return f"{self.prefix}_expected_rate_per_visit"
 
     def predict(self, df: DataFrame) -> DataFrame:
-        scored = self.regressor.transform(self.features.transform(df))
-        return scored.withColumnRenamed("prediction", self.predicted).drop("features")
+        raise NotImplementedError
 
     def score(self, df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
         """Expected rate, gaps and flag on every row; rows without a target have no gap."""
@@ -114,6 +110,33 @@ class RateModel:
         return rate_gaps(scored, self.predicted, self.prefix, thresholds.ml_gap_per_visit)
 
 
+@dataclass(frozen=True)
+class RateModel(_Scorer):
+    """A fitted Spark ML model; ``prefix`` names its output columns."""
+
+    features: FeatureModel
+    regressor: object
+    prefix: str
+    params: dict
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        scored = self.regressor.transform(self.features.transform(df))
+        return scored.withColumnRenamed("prediction", self.predicted).drop("features")
+
+
+@dataclass(frozen=True)
+class ElasticNet(_Scorer):
+    """A fitted elastic net."""
+
+    linear: elastic.Linear
+    params: dict
+    prefix: str = LINEAR
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        given = ensure_columns(df, {c: None for c in self.linear.medians})
+        return given.withColumn(self.predicted, self.linear.predicted()).select(*df.columns, self.predicted)
+
+
 def model_rows(weekly: DataFrame) -> DataFrame:
     """Weekly rows with a target: payment per visit."""
     rate = div_or_null(F.col("payment_amount"), F.col("visit_count"))
@@ -137,23 +160,26 @@ def fit_boosted(train: DataFrame, iters: int = 400, lr: float = 0.06, depth: int
     return RateModel(features, fitted, BOOSTED, {"iters": iters, "lr": lr, "depth": depth})
 
 
-def fit_elasticnet(train: DataFrame, alpha: float = 0.1, l1_ratio: float = 0.2) -> RateModel:
-    """Elastic net on unscaled features with penalty alpha * (l1_ratio * |w| + (1 - l1_ratio) / 2 * w²).
+def _elastic_prefixes(rows: DataFrame, n_blocks: int, alpha: float, l1_ratio: float) -> list[ElasticNet]:
+    """The elastic net on the first block, the first two, and so on; ``rows`` name theirs in ``block``.
 
-    Spark divides the ridge part by the label's deviation, so the two penalties are converted first.
+    The rows are read for their gaps, twice for the medians of all prefixes, and once for the statistics of all blocks.
     """
-    features = fit_features(train)
-    sd = train.agg(F.stddev_pop(TARGET)).first()[0] or 1.0
-    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * sd
-    regressor = LinearRegression(
-        labelCol=TARGET,
-        regParam=l1 + l2,
-        elasticNetParam=l1 / (l1 + l2),
-        standardization=False,
-        maxIter=2000,
-    )
-    fitted = regressor.fit(features.transform(train).select("features", TARGET))
-    return RateModel(features, fitted, LINEAR, {"alpha": alpha, "l1_ratio": l1_ratio})
+    rows = ensure_columns(rows, {c: None for c in ML_NUMERIC})
+    gaps = rows.agg(*[F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in ML_NUMERIC]).first().asDict()
+    prefixes = {f"{c}:{i}": F.when(F.col("block") < i, F.col(c).cast("double")) for i in range(1, n_blocks + 1) for c in ML_NUMERIC}
+    medians = exact_medians(rows.select(*[v.alias(n) for n, v in prefixes.items()]), list(prefixes)).first().asDict()
+    stats = elastic.statistics(rows, TARGET, [c for c, n in gaps.items() if n], n_blocks)
+    params = {"alpha": alpha, "l1_ratio": l1_ratio}
+    return [
+        ElasticNet(elastic.solve(stats, i, {c: medians[f"{c}:{i}"] for c in ML_NUMERIC}, alpha, l1_ratio), params)
+        for i in range(1, n_blocks + 1)
+    ]
+
+
+def fit_elasticnet(train: DataFrame, alpha: float = 0.1, l1_ratio: float = 0.2) -> ElasticNet:
+    """Elastic net on unscaled features with penalty alpha * (l1_ratio * |w| + (1 - l1_ratio) / 2 * w²)."""
+    return _elastic_prefixes(train.withColumn("block", F.lit(0)), 1, alpha, l1_ratio)[0]
 
 
 def _capped(weekly: DataFrame, row_cap: int | None, tiebreak: Sequence[str]) -> DataFrame:
@@ -161,9 +187,18 @@ def _capped(weekly: DataFrame, row_cap: int | None, tiebreak: Sequence[str]) ->
     return latest_window(rows, row_cap, tiebreak) if row_cap else rows
 
 
+def _placed(weekly: DataFrame, k: int, row_cap: int | None, tiebreak: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """Rows with a target and their place in time (stored), how many there are, and the size of a test block."""
+    placed = stored(time_ordinal(_capped(weekly, row_cap, tiebreak), tiebreak), "cv")
+    n = placed.count()
+    if n // (k + 1) == 0:
+        raise ValueError(f"Too few rows ({n}) for {k} folds")
+    return placed, n, n // (k + 1)
+
+
 def time_cv(
     weekly: DataFrame,
-    fit: Callable[[DataFrame], RateModel],
+    fit: Callable[[DataFrame], _Scorer],
     k: int = 5,
     row_cap: int | None = None,
     tiebreak: Sequence[str] = tuple(DIMS),
@@ -172,11 +207,7 @@ def time_cv(
 
     A test block has n // (k + 1) rows. Rows are ordered once and stored, so folds are plain range filters.
     """
-    placed = stored(time_ordinal(_capped(weekly, row_cap, tiebreak), tiebreak), "cv")
-    n = placed.count()
-    size = n // (k + 1)
-    if size == 0:
-        raise ValueError(f"Too few rows ({n}) for {k} folds")
+    placed, n, size = _placed(weekly, k, row_cap, tiebreak)
     folds = None
     for i in range(k):
         start = n - (k - i) * size
@@ -188,8 +219,34 @@ def time_cv(
     return folds
 
 
+def elastic_cv(
+    weekly: DataFrame,
+    alpha: float = 0.1,
+    l1_ratio: float = 0.2,
+    k: int = 5,
+    row_cap: int | None = None,
+    tiebreak: Sequence[str] = tuple(DIMS),
+) -> tuple[DataFrame, ElasticNet, DataFrame]:
+    """``time_cv`` of the elastic net, its fit on all rows, and those rows, with one reading for all folds.
+
+    Folds are blocks of time; what a fold trains on is the sum of the statistics of the blocks before it. Every row is
+    in one test block at most, so one more pass predicts all of them, each with the model of its fold.
+    """
+    placed, n, size = _placed(weekly, k, row_cap, tiebreak)
+    block = F.greatest(F.lit(0), F.floor((F.col("ord") - (n - k * size)) / size) + 1).cast("int")
+    rows = placed.withColumn("block", block)
+    *models, final = _elastic_prefixes(rows, k + 1, alpha, l1_ratio)
+    given = ensure_columns(rows, {c: None for c in ML_NUMERIC})
+    expected = F.lit(None).cast("double")
+    for i, model in enumerate(models, 1):
+        expected = F.when(F.col("block") == i, model.linear.predicted()).otherwise(expected)
+    tested = given.select(F.col("block").alias("fold"), TARGET, expected.alias("_expected")).where("fold > 0")
+    folds = regression_metrics(tested, TARGET, "_expected", ["fold"]).select("fold", "mae", "rmse", "r2")
+    return folds, final, placed
+
+
 def score(
-    weekly: DataFrame, fit: Callable[[DataFrame], RateModel], row_cap: int | None = None, tiebreak: Sequence[str] = tuple(DIMS)
+    weekly: DataFrame, fit: Callable[[DataFrame], _Scorer], row_cap: int | None = None, tiebreak: Sequence[str] = tuple(DIMS)
 ) -> DataFrame:
     """Fit on the rows with a target, score the whole weekly table in place."""
     model = fit(_capped(weekly, row_cap, tiebreak))
@@ -197,7 +254,7 @@ def score(
     return model.score(weekly.withColumn(TARGET, rate))
 
 
-def metrics_record(folds: DataFrame, scored: DataFrame, model: RateModel) -> DataFrame:
+def metrics_record(folds: DataFrame, scored: DataFrame, model: _Scorer) -> DataFrame:
     """One row: parameters, fold metrics in fold order with their summary, and metrics on the training rows."""
     train = regression_metrics(scored, TARGET, model.predicted)
     per_fold = F.sort_array(F.collect_list(F.struct("fold", "mae", "rmse", "r2")))
@@ -216,7 +273,7 @@ def metrics_record(folds: DataFrame, scored: DataFrame, model: RateModel) -> Dat
 
 def feature_importance(model: RateModel, df: DataFrame) -> DataFrame:
     """Importance of each feature of a tree model, largest first. One row per vector position."""
-    if not hasattr(model.regressor, "featureImportances"):
+    if not hasattr(getattr(model, "regressor", None), "featureImportances"):
         raise ValueError("The model has no feature importances")
     values = model.regressor.featureImportances.toArray().tolist()
     rows = list(zip(model.features.names(df), values))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from remitlens.storage import stored
 
 _FORMATS = {"csv": "csv", "parquet": "parquet", "json": "json"}
 
@@ -87,6 +90,87 @@ def latest_snapshot(spark: SparkSession, patterns: Sequence[str], fmt: str | Non
     return load(spark, newest["unit"], fmt=fmt)
 
 
+#: Byte ranges up to which the table of their row offsets is broadcast (some 200 bytes each, so 20 MB).
+BROADCAST_RANGES = 100_000
+
+
+def _offsets(rows: DataFrame, headers: bool) -> DataFrame:
+    """(_file, _block, _first, _before): where the rows of each byte range begin, over all files in path order.
+
+    ``rows`` has _file, _block and _at, which grows along a range. One row for each range, summed before the shuffle;
+    the first row of a file is at -1 if it is a header.
+    """
+    sizes = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    above = (Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(*above)
+    ranges = sizes.withColumn("_in_file", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
+    files = sizes.groupBy("_file").agg((F.sum("_n") - int(headers)).alias("_rows"))
+    start = F.coalesce(F.sum("_rows").over(Window.orderBy("_file").rowsBetween(*above)), F.lit(0))
+    joined = ranges.join(files.select("_file", start.alias("_start")), "_file")
+    before = F.col("_start") - int(headers) + F.col("_in_file") - F.col("_first")
+    return joined.select("_file", "_block", "_first", "_in_file", before.alias("_before"))
+
+
+def _numbered(rows: DataFrame, name: str, headers: bool) -> DataFrame:
+    """``rows`` with their positions, without headers and helper columns."""
+    offsets = stored(_offsets(rows, headers), "row-offsets")
+    if offsets.count() <= BROADCAST_RANGES:
+        offsets = F.broadcast(offsets)
+    placed = rows.join(offsets, ["_file", "_block"])
+    if headers:
+        placed = placed.where((F.col("_in_file") > 0) | (F.col("_at") > F.col("_first")))
+    return placed.withColumn(name, F.col("_before") + F.col("_at")).drop("_file", "_block", "_at", "_first", "_in_file", "_before")
+
+
+def _header(lines: DataFrame) -> list[str]:
+    """Column names of the files' first lines, which must agree."""
+    first = lines.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_at")).alias("value"))
+    found = [r.value for r in first.select(F.regexp_replace("value", "^\\x{FEFF}", "").alias("value")).distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError("The files have no common header" if found else "The files hold no lines")
+    names = next(csv.reader(found))
+    if len(set(names)) < len(names):
+        raise ValueError(f"Columns occur twice in the header: {names}")
+    return names
+
+
+def read_csv_in_order(
+    spark: SparkSession, path: str, schema: StructType | None = None, name: str = "row_id", multi_line: bool = False
+) -> DataFrame:
+    """CSV files with a header line each, and every row's position: files in path order, rows in file order.
+
+    Lines are numbered where they are read: inside each byte range by a running number, and over the ranges by a prefix
+    sum of their row counts. The lines are written out once with that number, because range bounds may differ between
+    two scans of the files; so every later step, also after the loss of an executor, sees one numbering, and columns are
+    parsed from the copy.
+
+    A line with an odd number of quotes would be a part of a record with line feeds; rather than to misnumber it,
+    ``ValueError`` is raised. With ``multi_line`` such records are read; then a file is a single range. Empty lines do
+    not count. Without a schema every column is text.
+    """
+    source = F.col("_metadata.file_path").alias("_file")
+    if multi_line:
+        reader = spark.read.options(header=True, multiLine=True, escape='"', enforceSchema=False)
+        table = (reader.schema(schema) if schema is not None else reader).csv(path)
+        rows = table.select("*", source, F.lit(0).cast("bigint").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+        return _numbered(stored(rows, "csv-rows"), name, headers=False)
+    filled = spark.read.text(path).where(F.trim("value") != "")
+    lines = filled.select("value", source, F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    lines = stored(lines, "csv-lines")
+    names = _header(lines)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = lines.where(quotes % 2 == 1).select("_file", "value").first()
+    if broken is not None:
+        raise ValueError(f"A record of {broken['_file']} does not end on its line (multi_line reads it): {broken['value'][:80]}")
+    if schema is None:
+        schema = StructType([StructField(n, StringType()) for n in names])
+    elif schema.fieldNames() != names:
+        raise ValueError(f"The header {names} is not that of the schema {schema.fieldNames()}")
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv("value", fields, {"escape": '"'}).alias("_record")
+    return _numbered(lines, name, headers=True).select(parsed, name).select("_record.*", name)
+
+
 def with_file_order(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Add each row's position in the files the frame was read from, files taken in path order.
 

@@ -215,19 +215,40 @@ def rejected_rows(spark, folder):
     return rejects.select("row_id", "invoice_number", "payer", "charge_amount", "denial_pct")
 
 
-@query(
-    "clean_report",
-    f"""SELECT row_id, CAST(CAST(year AS DOUBLE) AS INTEGER) AS year, CAST(regexp_extract(week, '[0-9]+') AS INTEGER) AS week,
+_CLEAN_REPORT = f"""SELECT row_id, CAST(CAST(year AS DOUBLE) AS INTEGER) AS year, CAST(regexp_extract(week, '[0-9]+') AS INTEGER) AS week,
   payer, group_em, group_em2, invoice_number, trim(cpt_code) AS cpt_code, charge_amount, payment_amount, denial_pct,
-  CAST(0 AS DOUBLE) AS remaining_charges_pct FROM filled_report WHERE {q.COMPLETE}""",
-    "filled_report",
-    "charge_amount payment_amount denial_pct remaining_charges_pct",
-)
+  CAST(0 AS DOUBLE) AS remaining_charges_pct FROM filled_report WHERE {q.COMPLETE}"""
+_CLEAN_DOUBLES = "charge_amount payment_amount denial_pct remaining_charges_pct"
+_CLEAN_COLUMNS = ["row_id", *TIME, *DIMS, "invoice_number", "cpt_code", *_CLEAN_DOUBLES.split()]
+
+
+@query("clean_report", _CLEAN_REPORT, "filled_report", _CLEAN_DOUBLES)
 def clean_report(spark, folder):
     good, _ = clean.clean_report(raw_report(spark, folder))
-    return good.select(
-        "row_id", *TIME, *DIMS, "invoice_number", "cpt_code", "charge_amount", "payment_amount", "denial_pct", "remaining_charges_pct"
-    )
+    return good.select(_CLEAN_COLUMNS)
+
+
+def _report_as_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The report as it is delivered: text files with headers, blanks kept, in the order of its rows; read back with positions."""
+    at = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    blocks = raw_report(spark, folder).repartitionByRange(6, "row_id").sortWithinPartitions("row_id").drop("row_id")
+    blocks.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"').csv(at)
+    return readers.read_csv_in_order(spark, at)
+
+
+@query(
+    "csv_row_order",
+    "SELECT * FROM report",
+    "report",
+)
+def csv_row_order(spark, folder):
+    return columns.drop_unnamed(_report_as_csv(spark, folder))
+
+
+@query("clean_report_csv", _CLEAN_REPORT, "filled_report", _CLEAN_DOUBLES)
+def clean_report_csv(spark, folder):
+    good, _ = clean.clean_report(_report_as_csv(spark, folder))
+    return good.select(_CLEAN_COLUMNS)
 
 
 _COMPACT_HEADERS = ", ".join(f"{q.filled(c)} AS {c}" for c in ("year", "week", *DIMS))
@@ -1165,23 +1186,44 @@ def ml_boosted(spark, folder):
     return scored.select(*GROUP_KEYS, "hgb_expected_rate_per_visit", "hgb_rate_gap", "hgb_dollar_gap", "hgb_material_gap_flag")
 
 
-@query("ml_elasticnet")
+_EN_DOUBLES = "ml_expected_rate_per_visit ml_rate_gap ml_dollar_gap"
+
+
+@query("ml_elasticnet", f"SELECT {q.G}, {', '.join(_EN_DOUBLES.split())}, ml_material_gap_flag FROM elastic_scored", "elastic_scored", _EN_DOUBLES, 3)
 def ml_elasticnet(spark, folder):
     scored = ml.score(stored(_weekly(spark, folder), "weekly"), ml.fit_elasticnet)
-    return scored.select(*GROUP_KEYS, "ml_expected_rate_per_visit", "ml_rate_gap", "ml_dollar_gap", "ml_material_gap_flag")
+    return scored.select(*GROUP_KEYS, *_EN_DOUBLES.split(), "ml_material_gap_flag")
 
 
-@query("ml_time_cv")
+@query(
+    "ml_fitted_hotspots",
+    f"""SELECT {q.G}, coalesce(sum(ml_dollar_gap), 0) AS ml_dollar_gap_sum, CAST(coalesce(sum(ml_material_gap_flag), 0) AS BIGINT) AS ml_material_flag_sum,
+  avg(ml_rate_gap) AS ml_rate_gap_mean FROM elastic_scored GROUP BY {q.G}""",
+    "elastic_scored",
+    "ml_dollar_gap_sum ml_rate_gap_mean",
+    3,
+)
+def ml_fitted_hotspots(spark, folder):
+    return ml_report.hotspots(ml.score(stored(_weekly(spark, folder), "weekly"), ml.fit_elasticnet))
+
+
+@query("ml_time_cv", "SELECT * FROM elastic_cv", "elastic_cv", "mae rmse r2", 4)
 def ml_time_cv(spark, folder):
-    return ml.time_cv(stored(_weekly(spark, folder), "weekly"), ml.fit_elasticnet)
+    return ml.elastic_cv(stored(_weekly(spark, folder), "weekly"))[0]
 
 
-@query("ml_metrics")
+@query(
+    "ml_metrics",
+    """SELECT 0.1::DOUBLE AS alpha, 0.2::DOUBLE AS l1_ratio, (SELECT count(*) FROM elastic_rows) AS rows_used_for_model, c.*, t.* FROM
+  (SELECT avg(mae) AS mae_mean, avg(rmse) AS rmse_mean, avg(r2) AS r2_mean, stddev_samp(mae) AS mae_std, stddev_samp(r2) AS r2_std FROM elastic_cv) c,
+  (SELECT avg(abs(y - expected)) AS mae, sqrt(avg((y - expected) ** 2)) AS rmse, 1 - avg((y - expected) ** 2) / var_pop(y) AS r2
+   FROM elastic_fitted WHERE fold = 0) t""",
+    "elastic_rows elastic_cv elastic_fitted",
+    "alpha l1_ratio mae_mean rmse_mean r2_mean mae_std r2_std mae rmse r2",
+    4,
+)
 def ml_metrics(spark, folder):
-    table = stored(_weekly(spark, folder), "weekly")
-    folds = ml.time_cv(table, ml.fit_elasticnet)
-    rows = ml.model_rows(table)
-    model = ml.fit_elasticnet(rows)
+    folds, model, rows = ml.elastic_cv(stored(_weekly(spark, folder), "weekly"))
     record = ml.metrics_record(folds, model.score(rows), model)
     return record.select("params.*", "rows_used_for_model", "cross_validation.*", "train_fit.*")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from remitlens.contracts import BASELINE_METRICS, KEY_KEYS, MEAN_MEASURES, SUM_MEASURES
+from remitlens.contracts import BASELINE_METRICS, KEY_KEYS, MEAN_MEASURES, ML_NUMERIC, SUM_MEASURES
 
 G = "year, week, payer, group_em, group_em2"
 D = "payer, group_em, group_em2"
@@ -585,3 +585,103 @@ cte(
     ),
     "sample_pairs",
 )
+
+
+# --- Elastic net: fold 0 trains on all rows, folds 1 to 5 on what lies before their test block -------------------------
+_SWEEPS, _L1, _L2 = 250, 0.1 * 0.2, 0.1 * 0.8
+cte(
+    "elastic_rows",
+    f"""SELECT * REPLACE (CAST(visit_count AS DOUBLE) AS visit_count), actual_rate_per_visit AS y,
+  row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in G.split(", "))}) - 1 AS ord
+FROM weekly WHERE actual_rate_per_visit IS NOT NULL""",
+    "weekly",
+)
+cte(
+    "elastic_folds",
+    """SELECT fold, n // 6 AS size, CASE fold WHEN 0 THEN n ELSE n - (6 - fold) * (n // 6) END AS start
+FROM (SELECT count(*) AS n FROM elastic_rows), (SELECT unnest(range(0, 6)) AS fold)""",
+    "elastic_rows",
+)
+cte(
+    "elastic_medians",
+    f"SELECT fold, {', '.join(f'median({c}) AS {c}' for c in ML_NUMERIC)} FROM elastic_rows JOIN elastic_folds ON ord < start GROUP BY fold",
+    "elastic_rows",
+    "elastic_folds",
+)
+cte(
+    "elastic_features",
+    f"""
+SELECT fold, ord, start, y, name, v FROM (SELECT fold, ord, start, y,
+    unnest([{", ".join(f"'{c}'" for c in ML_NUMERIC)}, {", ".join(f"'{c}=' || coalesce(r.{c}, 'nan')" for c in D.split(", "))}]) AS name,
+    unnest([{", ".join(f"coalesce(r.{c}, m.{c})" for c in ML_NUMERIC)}, 1.0, 1.0, 1.0]) AS v
+  FROM elastic_rows r JOIN elastic_folds f ON ord < start + size JOIN elastic_medians m USING (fold))
+WHERE v IS NOT NULL""",
+    "elastic_rows",
+    "elastic_folds",
+    "elastic_medians",
+)
+cte(
+    "elastic_names",
+    """SELECT fold, name, row_number() OVER (PARTITION BY fold ORDER BY name) AS j, start AS n, sum(v) / start AS mean, sum(v * y) / start AS vy
+FROM elastic_features WHERE ord < start GROUP BY fold, name, start""",
+    "elastic_features",
+)
+cte("elastic_level", "SELECT fold, avg(y) AS level FROM elastic_rows JOIN elastic_folds ON ord < start GROUP BY fold", "elastic_rows", "elastic_folds")
+cte(
+    "elastic_matrix",
+    """
+SELECT fold, list(list_concat([CAST(j AS DOUBLE), vy - mean * level], second) ORDER BY j) AS m
+FROM (SELECT a.fold, a.j, a.vy, a.mean, list(coalesce(s.s, 0) / a.n - a.mean * b.mean ORDER BY b.j) AS second
+  FROM elastic_names a JOIN elastic_names b ON a.fold = b.fold
+  LEFT JOIN (SELECT p.fold, p.name AS x, q.name AS z, sum(p.v * q.v) AS s FROM elastic_features p
+    JOIN elastic_features q ON p.fold = q.fold AND p.ord = q.ord WHERE p.ord < p.start GROUP BY 1, 2, 3) s ON s.fold = a.fold AND s.x = a.name AND s.z = b.name
+  GROUP BY 1, 2, 3, 4) JOIN elastic_level USING (fold)
+GROUP BY fold""",
+    "elastic_names",
+    "elastic_features",
+    "elastic_level",
+)
+cte(
+    "elastic_weights",
+    f"""
+SELECT fold, unnest(w) AS weight, unnest(range(1, len(w) + 1)) AS j FROM (
+  WITH RECURSIVE sweeps AS (
+    SELECT fold, 0 AS sweep, list_transform(m, lambda g: CAST(0 AS DOUBLE)) AS w FROM elastic_matrix
+    UNION ALL
+    SELECT sweeps.fold, sweep + 1, list_reduce(list_prepend(w, m), lambda now, g: list_concat(list_concat(now[1:CAST(g[1] AS INTEGER) - 1],
+      list_transform([g[2] - list_dot_product(g[3:], now) + g[2 + CAST(g[1] AS INTEGER)] * now[CAST(g[1] AS INTEGER)]],
+        lambda rho: sign(rho) * greatest(abs(rho) - {_L1!r}, 0) / (g[2 + CAST(g[1] AS INTEGER)] + {_L2!r}))), now[CAST(g[1] AS INTEGER) + 1:]))
+    FROM sweeps JOIN elastic_matrix ON elastic_matrix.fold = sweeps.fold WHERE sweep < {_SWEEPS})
+  SELECT fold, w FROM sweeps WHERE sweep = {_SWEEPS})""",
+    "elastic_matrix",
+)
+cte(
+    "elastic_fitted",
+    """
+SELECT x.fold, x.ord, x.start, any_value(x.y) AS y, any_value(b.constant) + sum(v * weight) AS expected
+FROM elastic_features x JOIN elastic_names n USING (fold, name) JOIN elastic_weights w ON w.fold = x.fold AND w.j = n.j
+JOIN (SELECT l.fold, any_value(level) - sum(mean * weight) AS constant FROM elastic_level l JOIN elastic_names n ON n.fold = l.fold
+  JOIN elastic_weights w ON w.fold = n.fold AND w.j = n.j GROUP BY l.fold) b ON b.fold = x.fold
+GROUP BY x.fold, x.ord, x.start""",
+    "elastic_features",
+    "elastic_names",
+    "elastic_weights",
+    "elastic_level",
+)
+cte(
+    "elastic_cv",
+    """SELECT CAST(fold AS INTEGER) AS fold, avg(abs(y - expected)) AS mae, sqrt(avg((y - expected) ** 2)) AS rmse,
+  1 - avg((y - expected) ** 2) / var_pop(y) AS r2 FROM elastic_fitted WHERE fold > 0 AND ord >= start GROUP BY fold""",
+    "elastic_fitted",
+)
+cte(
+    "elastic_scored",
+    f"""
+SELECT *, CASE WHEN ml_rate_gap IS NOT NULL THEN CAST(abs(ml_rate_gap) >= 10 AS INTEGER) END AS ml_material_gap_flag
+FROM (SELECT {G}, visit_count, expected AS ml_expected_rate_per_visit, y - expected AS ml_rate_gap, (y - expected) * visit_count AS ml_dollar_gap
+  FROM (SELECT {G}, visit_count, ord FROM elastic_rows UNION ALL SELECT {G}, visit_count, NULL FROM weekly WHERE actual_rate_per_visit IS NULL) r
+  LEFT JOIN (SELECT ord, y, expected FROM elastic_fitted WHERE fold = 0) e USING (ord))""",
+    "elastic_rows",
+    "weekly",
+    "elastic_fitted",
+)

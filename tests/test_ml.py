@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from remitlens.contracts import ML_NUMERIC
+from remitlens.contracts import DIMS, ML_NUMERIC
 from remitlens.operators import ml, ml_report
 
 SCHEMA = (
@@ -62,15 +62,70 @@ def elastic_net_by_hand(x, y, alpha, ratio, sweeps=4000):
     return w, y.mean() - x.mean(0) @ w
 
 
-def test_elastic_net_penalty_matches_coordinate_descent(table):
+def dense(rows, medians):
+    """Imputed and one-hot features in plain Python: (matrix, names, target)."""
+    data = rows.orderBy("year", "week", "payer", "group_em", "group_em2").collect()
+    cats = {c: sorted({getattr(r, c) or "nan" for r in data}) for c in DIMS}
+    numbers = [c for c in ML_NUMERIC if medians[c] is not None]
+    x = [
+        [medians[c] if getattr(r, c) is None else getattr(r, c) for c in numbers]
+        + [float((getattr(r, c) or "nan") == level) for c in DIMS for level in cats[c]]
+        for r in data
+    ]
+    return np.array(x), numbers + [(c, level) for c in DIMS for level in cats[c]], np.array([r[ml.TARGET] for r in data])
+
+
+def test_elastic_net_equals_coordinate_descent_on_rows(table):
     rows = ml.model_rows(table)
     model = ml.fit_elasticnet(rows)
-    data = model.features.transform(rows).select("features", ml.TARGET).collect()
-    x, y = np.array([r.features.toArray() for r in data]), np.array([r[1] for r in data])
+    medians = ml.exact_medians(rows, ML_NUMERIC).first().asDict()
+    x, names, y = dense(rows, medians)
     w, b = elastic_net_by_hand(x, y, 0.1, 0.2)
-    by_hand = x @ w + b
-    ours = np.array([model.regressor.predict(r.features) for r in data])
-    assert np.abs(ours - by_hand).max() < 0.02 * y.std()
+    ours = [model.linear.weights[n] if isinstance(n, str) else model.linear.levels[n[0]][n[1]] for n in names]
+    assert np.abs(ours - w).max() < 1e-8 and model.linear.intercept == pytest.approx(b, abs=1e-7)
+    assert "radiology_count" not in model.linear.weights
+    # The optimum's own condition: gradients at most the penalty, equal to it where a weight is not zero.
+    gradient = (x - x.mean(0)).T @ (y - x @ w - b) / len(y) - 0.1 * 0.8 * np.array(ours)
+    assert np.all(np.abs(gradient) <= 0.02 + 1e-7)
+    assert np.allclose(gradient[np.array(ours) != 0], 0.02 * np.sign(ours)[np.array(ours) != 0], atol=1e-7)
+    unseen = rows.limit(1).withColumns({"payer": F.lit("new"), "visit_count": F.lit(None).cast("double")}).drop("labs_per_visit")
+    (r,) = model.predict(unseen).collect()
+    assert r.ml_expected_rate_per_visit is not None and "labs_per_visit" not in unseen.columns
+
+
+def test_elastic_folds_equal_separate_fits(table):
+    folds, final, placed = ml.elastic_cv(table, k=3)
+    apart = ml.time_cv(table, ml.fit_elasticnet, k=3)
+    got, want = ([tuple(r) for r in f.orderBy("fold").collect()] for f in (folds, apart))
+    assert [g[0] for g in got] == [1, 2, 3]
+    assert np.allclose(got, want, rtol=1e-9)
+    assert final.linear.intercept == pytest.approx(ml.fit_elasticnet(ml.model_rows(table)).linear.intercept, rel=1e-9)
+    assert placed.count() == ml.model_rows(table).count()
+
+
+def test_folds_read_rows_a_fixed_number_of_times(spark, table):
+    """Gaps, two scans for medians and one for statistics, whatever the number of folds."""
+    read = {}
+    for k in (2, 6):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = ml.model_rows(table).withColumn("block", F.col("week") % k)
+        n = rows.count()
+        watched = rows.mapInArrow(counted, rows.schema)
+        ml._elastic_prefixes(watched, k, 0.1, 0.2)
+        read[k] = seen.value / n
+    assert read == {2: 4.0, 6: 4.0}
+
+
+def test_too_many_category_values(table, monkeypatch):
+    monkeypatch.setattr(ml.elastic, "MAX_LEVELS", 2)
+    with pytest.raises(ValueError, match="category values"):
+        ml.fit_elasticnet(ml.model_rows(table))
 
 
 def test_scores_cover_the_whole_table(table):

@@ -26,6 +26,12 @@ SAMPLE = [
     "latest_snapshot",
     "forward_fill",
     "ml_features",
+    "csv_row_order",
+    "clean_report_csv",
+    "ml_elasticnet",
+    "ml_fitted_hotspots",
+    "ml_time_cv",
+    "ml_metrics",
 ]
 
 

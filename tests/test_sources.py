@@ -4,6 +4,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from remitlens.sources import readers, sinks
 from remitlens.sources.claims_adapter import invoice_lines
@@ -90,6 +91,64 @@ def test_file_order(spark, tmp_path):
     assert ids == [0, 1, 2, 100, 101, 102, 103]
 
 
+def _csv_folder(path, files, newline="\n"):
+    path.mkdir()
+    for name, lines in files.items():
+        (path / name).write_bytes(newline.join(lines).encode())
+    return str(path)
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Byte ranges of a few lines, so that one file is many of them."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_csv_rows_in_order(spark, tmp_path, small_ranges, monkeypatch, newline, broadcast):
+    monkeypatch.setattr(readers, "BROADCAST_RANGES", 10**6 if broadcast else 0)
+    head = '"Amount*",Lab (copy),"a,b"'
+    files, want = {}, []
+    for k, n in enumerate([40, 0, 1, 300]):
+        rows = [(f"{k}.{i}", None if i % 3 else f"t{'é' * (i % 5)}", f'x "{i}", y') for i in range(n)]
+        lines = [f'{a},{b or ""},"{c.replace(chr(34), chr(34) * 2)}"' for a, b, c in rows]
+        files[f"part-{k}.csv"] = [head, *(x for line in lines for x in ([line, "", "  "] if k == 0 else [line]))]
+        want += rows
+    path = _csv_folder(tmp_path / "in", files, newline)
+    lines = readers.read_csv_in_order(spark, path)
+    assert lines.columns == ["Amount*", "Lab (copy)", "a,b", "row_id"]
+    got = sorted(tuple(r) for r in lines.collect())
+    assert sorted(r[3] for r in got) == list(range(len(want)))
+    assert [r[:3] for r in sorted(got, key=lambda r: r[3])] == want
+
+
+def test_csv_order_with_schema(spark, tmp_path):
+    path = _csv_folder(tmp_path / "in", {"b.csv": ["n,s", "3,c"], "a.csv": ["n,s", "1,a", "x,b", "2"]})
+    schema = StructType([StructField("n", IntegerType()), StructField("s", StringType())])
+    got = readers.read_csv_in_order(spark, path, schema, name="at").orderBy("at").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 0), (None, "b", 1), (2, None, 2), (3, "c", 3)]
+    with pytest.raises(ValueError, match="schema"):
+        readers.read_csv_in_order(spark, path, StructType([StructField("s", StringType())]))
+
+
+def test_csv_order_refuses_what_it_cannot_number(spark, tmp_path, small_ranges):
+    records = [f'{i},"line {i}\nline two, ""quoted"""' if i % 4 == 0 else f"{i},plain" for i in range(60)]
+    path = _csv_folder(tmp_path / "broken", {"a.csv": ["n,s", *records], "b.csv": ["n,s", "99,last"]})
+    with pytest.raises(ValueError, match="multi_line"):
+        readers.read_csv_in_order(spark, path)
+    got = readers.read_csv_in_order(spark, path, multi_line=True).orderBy("row_id").collect()
+    assert [int(r.n) for r in got] == [*range(60), 99] and [r.row_id for r in got] == list(range(61))
+    assert got[0].s == 'line 0\nline two, "quoted"'
+    for files in ({"a.csv": ["n,s", "1,a"], "b.csv": ["s,n", "a,1"]}, {"a.csv": ["n,n", "1,a"]}, {"a.csv": [""]}):
+        with pytest.raises(ValueError):
+            readers.read_csv_in_order(spark, _csv_folder(tmp_path / str(len(list(tmp_path.iterdir()))), files))
+
+
 def test_deliverables(spark, tmp_path):
     df = spark.createDataFrame([(["a", "b"], 1.5)], "cpt_list array<string>, x double").coalesce(1)
     sinks.write_tables({"one": df, "two": df.withColumn("x", F.lit(2))}, str(tmp_path / "out"), compression="gzip")
