@@ -11,10 +11,12 @@ in a fixed order until nothing moves. Its size is that of the features, not of t
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from remitlens.storage import stored
 MAX_LEVELS = 4096
 SWEEPS, TOLERANCE = 5000, 1e-12
 _TARGET, _ONE = "y", "one"
+_PRODUCTS = ["block", "c", "a", "d", "b", "value"]
 
 
 @dataclass(frozen=True)
@@ -58,10 +61,6 @@ def _category(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(MISSING_PART))
 
 
-def _pair(a: str, b: str) -> str:
-    return f"{a}*{b}"
-
-
 @dataclass(frozen=True)
 class Statistics:
     """Sums of products by block, on the driver: blocks x features x features over numbers, gaps and categories.
@@ -79,45 +78,63 @@ class Statistics:
 
 
 def statistics(rows: DataFrame, target: str, gaps: Sequence[str], n_blocks: int, block: str = "block") -> Statistics:
-    """Sums over ``rows`` (which name their block) in one pass; ``gaps`` are the numbers that may be missing."""
+    """Sums over ``rows`` (which name their block) in one pass; ``gaps`` are the numbers that may be missing.
+
+    Each task multiplies its batches' columns out and adds up; it sends one row for each pair of features that it saw
+    together, and these rows are summed before and after the shuffle.
+    """
     rows = ensure_columns(rows, {c: None for c in ML_NUMERIC})
     parts = {c: F.coalesce(_number(c), F.lit(0.0)) for c in ML_NUMERIC}
     parts |= {f"gap:{c}": _number(c).isNull().cast("double") for c in gaps}
     parts |= {_TARGET: F.col(target).cast("double"), _ONE: F.lit(1.0)}
-    keys = {f"_c{i}": _category(c) for i, c in enumerate(ML_CATEGORICAL)}
-    given = rows.select(F.col(block).alias("_block"), *[k.alias(n) for n, k in keys.items()], *[v.alias(n) for n, v in parts.items()])
-    names = list(parts)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums = [F.sum(F.col(f"`{a}`") * F.col(f"`{b}`")).alias(_pair(a, b)) for a, b in pairs]
-    by_combination = stored(given.groupBy("_block", *keys).agg(*sums), "rate-statistics")
-
-    with_one = [_pair(a, _ONE) for a in names]
-    level = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(k).alias("level")) for i, k in enumerate(keys)]))
-    ones = by_combination.select("_block", level.alias("at"), *[f"`{p}`" for p in with_one])
-    firsts = ones.groupBy("_block", "at.c", "at.level").agg(*[F.sum(f"`{p}`").alias(p) for p in with_one])
-    n_levels = firsts.select("c", "level").distinct().count()
+    names, n_categories = list(parts), len(ML_CATEGORICAL)
+    categories = [_category(c).alias(f"_c{i}") for i, c in enumerate(ML_CATEGORICAL)]
+    given = rows.select(F.col(block).cast("int").alias("block"), *categories, F.array(*parts.values()).alias("z"))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, float] = defaultdict(float)
+        for batch in batches:
+            z = batch.column("z").flatten().to_numpy().reshape(-1, len(names))
+            blocks, block_of = np.unique(batch.column("block").to_numpy(), return_inverse=True)
+            coded = [batch.column(f"_c{i}").dictionary_encode() for i in range(n_categories)]
+            levels = [c.dictionary.to_pylist() for c in coded]
+            codes = [c.indices.to_numpy() for c in coded]
+            for k, at in enumerate(blocks.tolist()):
+                own = block_of == k
+                some = z[own]
+                second = some.T @ some
+                for i, a in enumerate(names):
+                    for j in range(i, len(names)):
+                        sums[at, -1, a, -1, names[j]] += second[i, j]
+                for c in range(n_categories):
+                    mine, n = codes[c][own], len(levels[c])
+                    first = np.stack([np.bincount(mine, some[:, i], n) for i in range(len(names))])
+                    for level in np.flatnonzero(first[-1]).tolist():
+                        for i, a in enumerate(names):
+                            sums[at, -1, a, c, levels[c][level]] += first[i, level]
+                        sums[at, c, levels[c][level], c, levels[c][level]] += first[-1, level]
+                    for other in range(c + 1, n_categories):
+                        both = np.bincount(mine * len(levels[other]) + codes[other][own])
+                        for pair in np.flatnonzero(both).tolist():
+                            x, y = divmod(pair, len(levels[other]))
+                            sums[at, c, levels[c][x], other, levels[other][y]] += float(both[pair])
+        columns = [[key[i] for key in sums] for i in range(5)]
+        kinds = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string())
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), pa.array(list(sums.values()), pa.float64())], names=_PRODUCTS)
+
+    sent = given.mapInArrow(products, "block int, c int, a string, d int, b string, value double")
+    sums = stored(sent.groupBy(*_PRODUCTS[:-1]).agg(F.sum("value").alias("value")), "rate-statistics")
+    levels = sums.where("c >= 0").select("c", "a").distinct()
+    n_levels = levels.count()
     if n_levels > MAX_LEVELS:
         raise ValueError(f"{n_levels} category values are more than an elastic net takes here ({MAX_LEVELS})")
-    firsts = firsts.collect()
-    seconds = by_combination.groupBy("_block").agg(*[F.sum(f"`{_pair(a, b)}`").alias(_pair(a, b)) for a, b in pairs]).collect()
-    levels = sorted({(r["c"], r["level"]) for r in firsts})
-    at = {n: i for i, n in enumerate([*names, *levels])}
+    features = [*names, *sorted((r["c"], r["a"]) for r in levels.collect())]
+    at = {n: i for i, n in enumerate(features)}
     out = np.zeros((n_blocks, len(at), len(at)))
-    for r in seconds:
-        for a, b in pairs:
-            out[r["_block"], at[a], at[b]] = out[r["_block"], at[b], at[a]] = r[_pair(a, b)]
-    for r in firsts:
-        j = at[r["c"], r["level"]]
-        for a in names:
-            out[r["_block"], at[a], j] = out[r["_block"], j, at[a]] = r[_pair(a, _ONE)]
-        out[r["_block"], j, j] = r[_pair(_ONE, _ONE)]
-    n = _pair(_ONE, _ONE)
-    for i, a in enumerate(keys):
-        for j, b in list(enumerate(keys))[i + 1 :]:
-            for r in by_combination.groupBy("_block", a, b).agg(F.sum(f"`{n}`").alias("n")).collect():
-                x, y = at[i, r[a]], at[j, r[b]]
-                out[r["_block"], x, y] = out[r["_block"], y, x] = r["n"]
-    return Statistics(list(at), out)
+    for block_no, c, a, d, b, value in sums.collect():
+        x, y = at[a if c < 0 else (c, a)], at[b if d < 0 else (d, b)]
+        out[block_no, x, y] = out[block_no, y, x] = value
+    return Statistics(features, out)
 
 
 def descend(second: np.ndarray, first: np.ndarray, l1: float, l2: float, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> np.ndarray:
