@@ -9,7 +9,8 @@ words by IDF weight.
 All of it is expressions on arrays: no shuffle besides the word counts, which are one row for each template word.
 
 Defined cases: null texts are empty; texts without licence words have no labels, null places and score 0; rows are
-judged on their own, so repeated rows give repeated results; alignments that tie all count.
+judged on their own, so repeated rows give repeated results; alignments that tie all count; long texts are scanned whole, and
+their work grows with n log n; columns of the input under the names that are added are replaced; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -119,8 +120,11 @@ class Index:
 
         def proposals(offsets: Column) -> Column:
             """Alignments that as many rare words agree on as their template asks: equal ones stand together."""
-            enough = F.filter(offsets, lambda x, i: F.get(offsets, i + x["need"] - 1)["o"].eqNullSafe(x["o"]) & F.get(offsets, i + x["need"] - 1)["t"].eqNullSafe(x["t"]))
-            return F.array_distinct(enough)
+
+            def same(x: Column, i: Column) -> Column:
+                return F.get(offsets, i)["o"].eqNullSafe(x["o"]) & F.get(offsets, i)["t"].eqNullSafe(x["t"])
+
+            return F.filter(offsets, lambda x, i: same(x, i + x["need"] - 1) & ~same(x, i - 1))
 
         def score(x: Column) -> Column:
             entry = F.get(self.templates, x["t"])
