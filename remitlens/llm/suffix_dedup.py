@@ -11,16 +11,20 @@ steps the neighbours of an interval share s bytes before the anchor; where their
 bytes that begins s bytes before the anchor repeats. Common strings are so derived by increasing s, which stops at 368, where
 the gram would leave the string; intervals of one member are dropped.
 
-Grams with more than ``MOST_ANCHORS`` occurrences never meet. Strings around them are counted by hash, partially before the
-shuffle: first the bytes that all strings of a segment of s have in common, then, where those repeat, the strings themselves.
-Each string is counted at its own anchor, under gram, s and a 64-bit hash.
+Intervals of grams with more than ``MOST_ANCHORS`` occurrences would not fit into a block. They are expanded as rows instead, in
+the same order: an interval is named by a hash of the bytes that its members share, first those that all strings of a segment of s
+have in common, then, inside intervals of two or more members, each string's own. Members are added up in each task first: of
+equal ones one goes on as their representative, the others are known to repeat, so a gram in every text sends one entry for each
+task and string. Which way a gram takes changes the cost, not the result. Tasks are told of at most ``MOST_OFTEN`` grams, those
+with the most anchors; where there are more, the blocks in which anchors meet sort out the rest.
 
 Texts that are equal as a whole are one text with a count, whose bytes all repeat if there are 400. Texts move twice, to
 cut the surroundings of anchors and to cut the repeats out; both are joins by text and never by group. A block holds what a
 bounded number of anchors brings.
 
 Defined cases: null is empty; texts under the length keep everything; matches never cross texts, overlaps count; what is
-repeated is judged on the input; repeated rows are copies; null ids stay.
+repeated is judged on the input; repeated rows are copies; null ids stay; NUL bytes are bytes like others; texts over a step are
+taken in overlapping pieces; only doc_id and text are read, other columns are ignored whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -41,12 +45,16 @@ from remitlens.storage import stored
 LENGTH, GRAM = 400, 32
 REACH = LENGTH - GRAM
 #: Anchors that a block takes, by expectation.
-BLOCK_ANCHORS = 16_384
-#: Occurrences up to which a gram's anchors meet, and values of s that are counted together first for grams with more.
+BLOCK_ANCHORS = 8_192
+#: Occurrences up to which a gram's anchors meet, and values of s that are expanded together first for grams with more.
 MOST_ANCHORS = 8_192
 SEGMENT = 41
-#: Anchors that are added up before they are sent.
-COUNT_ANCHORS = 1 << 20
+#: Grams that tasks are told of (8 bytes each).
+MOST_OFTEN = 1 << 20
+#: Anchors or members that a task adds up before it sends them.
+COUNT_ANCHORS, COUNT_MEMBERS = 1 << 20, 1 << 18
+#: Tasks over which the rows of one text with many copies are spread.
+SALTS = 16
 _BITS = np.uint64(20)
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -144,7 +152,8 @@ def expand(group: np.ndarray, left: np.ndarray, right: np.ndarray, n_left: np.nd
     """
     m = len(group)
     least, most = np.full(m, LENGTH, np.int64), np.full(m, -1, np.int64)
-    order = np.lexsort((np.ascontiguousarray(right).view(f"S{right.shape[1]}").ravel(), group))
+    # Bytes that are not there are zeros; among equal ones a text that ends comes first, so none stands between two that go on.
+    order = np.lexsort((n_right, np.ascontiguousarray(right).view(f"S{right.shape[1]}").ravel(), group))
     # ``lcp[i]`` is that of members i - 1 and i of an interval, -1 at the first member of an interval.
     lcp = np.full(m, -1, np.int64)
     a, b = order[:-1], order[1:]
@@ -232,11 +241,16 @@ def often_grams(texts: DataFrame, n_blocks: int, most: int = MOST_ANCHORS) -> np
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _blocks(batches, kinds):
             gram, where = np.unique(c["gram"], return_inverse=True)
-            n = np.bincount(where, weights=c["n"])
-            yield pa.RecordBatch.from_arrays([pa.array(gram[n > most].astype(np.int64))], names=["gram"])
+            n = np.bincount(where, weights=c["n"]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(gram[n > most].astype(np.int64)), pa.array(n[n > most])], names=["gram", "n"])
 
     sent = texts.select("text_id", "text").mapInArrow(send, "block long, gram binary, n binary")
-    found = _together(sent, n_blocks).mapInArrow(count, "gram long").toArrow().column("gram")
+    counted = stored(_together(sent, n_blocks).mapInArrow(count, "gram long, n long"), "often-grams")
+    by_power = {r["power"]: r["n"] for r in counted.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count("*").alias("n")).collect()}
+    least = 0
+    while sum(n for p, n in by_power.items() if p >= least) > MOST_OFTEN:
+        least += 1
+    found = counted.where(F.floor(F.log2("n")) >= least).select("gram").toArrow().column("gram")
     return np.sort(found.to_numpy().astype(np.uint64))
 
 
@@ -256,75 +270,173 @@ def own_range(places: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarra
     return lo, hi
 
 
-def _again(rows: DataFrame, name: str) -> DataFrame:
-    """Rows whose (gram, key) occurs twice or more. Counts are stored, so that the join can split a hot key."""
-    rows = stored(rows, name)
-    counts = stored(rows.groupBy("gram", "key").agg(F.count("*").alias("n")).where("n > 1").select("gram", "key"), f"{name}-counts")
-    return rows.join(counts, ["gram", "key"])
-
-
-def often_segments(texts: DataFrame, often: np.ndarray) -> DataFrame:
-    """(text_id, marks): places of often grams with ranges of s whose common bytes occur elsewhere too."""
+def often_places(texts: DataFrame, often: np.ndarray) -> DataFrame:
+    """(text_id, often, places): where texts hold often grams as anchors; copies of a text may name theirs again."""
     shared = texts.sparkSession.sparkContext.broadcast(often)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _Once()
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
-            names = batch.column("text_id").to_pylist()
+            names, out = batch.column("text_id").to_pylist(), []
             for row, places, hashes in row_anchors(data, at):
                 here = _is_often(hashes, shared.value)
-                # Copies of a text are removed as a whole; for others it counts once at least.
                 if here.any() and once(names[row]):
-                    text = data[at[row] : at[row + 1]]
-                    lo, hi = (x[here] for x in own_range(places, hashes, len(text)))
-                    place, gram = places[here], hashes[here]
-                    for first in range(0, REACH + 1, SEGMENT):
-                        last = min(first + SEGMENT - 1, REACH)
-                        a, b = np.maximum(lo, first), np.minimum(hi, last)
-                        some = a <= b
-                        if some.any():
-                            p = place[some]
-                            key = mixed(range_hashes(text, p - first, p + LENGTH - last) + np.uint64(first))
-                            columns = (gram[some].astype(np.int64), key.astype(np.int64), np.full(len(p), names[row]), p, a[some], b[some])
-                            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["gram", "key", "text_id", "place", "lo", "hi"])
-
-    found = _again(texts.select("text_id", "text").mapInArrow(send, "gram long, key long, text_id long, place long, lo long, hi long"), "segments")
-    return found.groupBy("text_id").agg(F.collect_set(F.struct("place", "lo", "hi")).alias("marks"))
-
-
-def often_spans(marked: DataFrame) -> DataFrame:
-    """(text_id, start, end) of repeats around often grams; ``marked`` has (text_id, text, marks), each text once."""
+                    out.append((names[row], places[here].tolist()))
+            ids, found = ([r[i] for r in out] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([True] * len(ids), pa.bool_()), pa.array(found, pa.list_(pa.int64()))], names=["text_id", "often", "places"])
+
+    return texts.select("text_id", "text").mapInArrow(find, "text_id long, often boolean, places array<long>").dropDuplicates(["text_id"])
+
+
+def _added_up(rows: DataFrame, n_blocks: int, kinds: dict[str, type], name: str) -> DataFrame:
+    """(text_id, and ``kinds`` as bytes): members whose key occurs twice or more, a row for each text and block.
+
+    ``rows`` come from ``_members``. Known members are ready; representatives meet those of other tasks.
+    """
+    sent = stored(rows, name)
+    every = {"key": np.uint64, "text_id": np.int64, **kinds, "known": np.uint8}
+    schema = "text_id long, " + ", ".join(f"{c} binary" for c in kinds)
+
+    def unpacked(c: dict[str, np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+        return _dealt(c["text_id"][keep], {k: c[k][keep] for k in kinds}).rename_columns(["text_id", *kinds])
+
+    def ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = {k: np.frombuffer(row[k], t) for k, t in every.items()}
+                yield unpacked(c, np.ones(len(c["key"]), bool))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in _blocks(batches, every):
+            order = np.argsort(c["key"], kind="stable")
+            c = {k: v[order] for k, v in c.items()}
+            again = np.zeros(len(order), bool)
+            again[1:] = c["key"][1:] == c["key"][:-1]
+            again[:-1] |= again[1:]
+            yield unpacked(c, again & (c["known"] == 0))
+
+    known = sent.where("block < 0").mapInArrow(ready, schema)
+    return known.unionByName(_together(sent.where("block >= 0"), n_blocks).mapInArrow(meet, schema))
+
+
+class _Members:
+    """Members of intervals in one task, added up: equal ones are known to repeat, and one of them goes on."""
+
+    def __init__(self, kinds: dict[str, type], n_blocks: int):
+        self.kinds, self.n_blocks = {"key": np.uint64, "text_id": np.int64, **kinds}, n_blocks
+        self.parts: list[tuple] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(tuple(c.astype(t) for c, t in zip(columns, self.kinds.values(), strict=True)))
+        self.size += len(columns[0])
+        if self.size >= COUNT_MEMBERS:
+            yield from self.sent()
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        c = dict(zip(self.kinds, (np.concatenate(p) for p in zip(*self.parts, strict=True)), strict=True))
+        self.parts, self.size = [], 0
+        _, first, where, n = np.unique(c["key"], return_index=True, return_inverse=True, return_counts=True)
+        c["known"] = (n > 1)[where].astype(np.uint8)
+        if c["known"].any():
+            yield _dealt(np.full(int(c["known"].sum()), -1), {k: v[c["known"] > 0] for k, v in c.items()})
+        yield _dealt((c["key"][first] % np.uint64(self.n_blocks)).astype(np.int64), {k: v[first] for k, v in c.items()})
+
+    @staticmethod
+    def schema(kinds: dict[str, type]) -> str:
+        return "block long, " + ", ".join(f"{c} binary" for c in ("key", "text_id", *kinds, "known"))
+
+
+_SEGMENTS = {"place": np.uint32, "low": np.uint16, "high": np.uint16}
+
+
+def often_segments(anchored: DataFrame, n_blocks: int) -> DataFrame:
+    """(text_id, place, low, high): anchors with the ranges of s whose common bytes occur elsewhere too.
+
+    ``anchored`` has (text_id, text, places), each text once.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = _Members(_SEGMENTS, n_blocks)
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
-            for row, (name, marks) in enumerate(zip(batch.column("text_id").to_pylist(), batch.column("marks"), strict=True)):
+            wanted = {name: np.unique(np.asarray(own, np.int64)) for name, own in zip(batch.column("text_id").to_pylist(), batch.column("places").to_pylist(), strict=True)}
+            names = batch.column("text_id").to_pylist()
+            for row, places, hashes in row_anchors(data, at):
                 text = data[at[row] : at[row + 1]]
-                place, lo, hi = (marks.values.field(c).to_numpy() for c in ("place", "lo", "hi"))
-                width = hi - lo + 1
-                p = np.repeat(place, width)
-                s = np.arange(len(p)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(lo, width)
-                key = mixed(range_hashes(text, p - s, p - s + LENGTH) + s.astype(np.uint64))
-                gram = range_hashes(text, p, p + GRAM)
-                columns = (gram.astype(np.int64), key.astype(np.int64), np.full(len(p), name), p - s)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["gram", "key", "text_id", "start"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                here = np.isin(places, wanted[names[row]])
+                lo, hi = (x[here] for x in own_range(places, hashes, len(text)))
+                place = places[here]
+                for first in range(0, REACH + 1, SEGMENT):
+                    last = min(first + SEGMENT - 1, REACH)
+                    a, b = np.maximum(lo, first), np.minimum(hi, last)
+                    some = a <= b
+                    if some.any():
+                        p = place[some]
+                        key = mixed(range_hashes(text, p - first, p + LENGTH - last) + np.uint64(first))
+                        yield from members.add(key, np.full(len(p), names[row]), p, a[some], b[some])
+        yield from members.sent()
+
+    return _added_up(anchored.select("text_id", "text", "places").mapInArrow(send, _Members.schema(_SEGMENTS)), n_blocks, _SEGMENTS, "segments")
+
+
+_STARTS = {"start": np.uint32}
+
+
+def often_spans(marked: DataFrame, n_blocks: int) -> DataFrame:
+    """(text_id, start, end) of repeats around often grams, packed; ``marked`` has (text_id, text, place, low, high), each text once."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = _Members(_STARTS, n_blocks)
+        for batch in batches:
+            data, at = bytes_of(batch.column("text"))
+            columns = (batch.column(c).to_pylist() for c in ("text_id", *_SEGMENTS))
+            for row, (name, *packed) in enumerate(zip(*columns, strict=True)):
+                text = data[at[row] : at[row + 1]]
+                place, lo, hi = (np.frombuffer(b"".join(x), t).astype(np.int64) for x, t in zip(packed, _SEGMENTS.values(), strict=True))
+                for some in range(0, len(place), 8192):
+                    low, high = lo[some : some + 8192], hi[some : some + 8192]
+                    width = high - low + 1
+                    p = np.repeat(place[some : some + 8192], width)
+                    s = np.arange(len(p)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low, width)
+                    key = mixed(range_hashes(text, p - s, p - s + LENGTH) + s.astype(np.uint64))
+                    yield from members.add(key, np.full(len(p), name), p - s)
+        yield from members.sent()
+
+    found = _added_up(marked.select("text_id", "text", *_SEGMENTS).mapInArrow(send, _Members.schema(_STARTS)), n_blocks, _STARTS, "strings")
+
+    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text_id, start = (batch.column(c).to_numpy() for c in ("text_id", "start"))
-            if len(start):
-                first = np.r_[True, (text_id[1:] != text_id[:-1]) | (start[1:] > start[:-1] + LENGTH)]
-                last = np.r_[first[1:], True]
-                columns = (text_id[first], start[first], start[last] + LENGTH)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["text_id", "start", "end"])
+            starts, ends = [], []
+            for packed in batch.column("start").to_pylist():
+                a, b = merged(np.frombuffer(packed, np.uint32).astype(np.int64))
+                starts.append(a.astype(np.uint32).tobytes())
+                ends.append(b.astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())], names=["text_id", "start", "end"])
+
+    return found.mapInArrow(ended, _SPANS)
+
 
-    found = _again(marked.select("text_id", "text", "marks").mapInArrow(send, "gram long, key long, text_id long, start long"), "strings")
-    return found.select("text_id", "start").repartition("text_id").sortWithinPartitions("text_id", "start").mapInArrow(merge, "text_id long, start long, end long")
+_SPANS = "text_id long, start binary, end binary"
 
 
-def repeated_anchors(texts: DataFrame, n_blocks: int, often: np.ndarray) -> DataFrame:
-    """(text_id, places): anchors of a text whose gram occurs elsewhere too, without those of often grams."""
+def merged(start: np.ndarray, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs that ranges cover; without ends they are strings of the length."""
+    end = start + LENGTH if end is None else end
+    order = np.argsort(start, kind="stable")
+    start, upto = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.r_[True, start[1:] > upto[:-1]]) if len(start) else np.zeros(0, np.int64)
+    return start[first], upto[np.r_[first[1:] - 1, len(start) - 1]] if len(first) else upto
+
+
+def repeated_anchors(texts: DataFrame, n_blocks: int, often: np.ndarray, most: int = MOST_ANCHORS) -> DataFrame:
+    """(text_id, often, places): anchors of a text whose gram occurs elsewhere too, without those of the grams given as often.
+
+    Those of grams that prove to occur more than ``most`` times are marked as often.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(often)
     kinds = {"gram": np.uint64, "text_id": np.int64, "place": np.uint32}
 
@@ -348,18 +460,21 @@ def repeated_anchors(texts: DataFrame, n_blocks: int, often: np.ndarray) -> Data
             gram, text_id, place = c["gram"][order], c["text_id"][order], c["place"][order]
             fresh = np.r_[True, (gram[1:] != gram[:-1]) | (text_id[1:] != text_id[:-1]) | (place[1:] != place[:-1])]
             gram, text_id, place = gram[fresh], text_id[fresh], place[fresh]
-            again = np.zeros(len(gram), bool)
-            again[1:] = gram[1:] == gram[:-1]
-            again[:-1] |= again[1:]
-            if again.any():
-                yield pa.RecordBatch.from_arrays([pa.array(text_id[again], pa.int64()), pa.array(place[again].astype(np.int64))], names=["text_id", "place"])
+            begin = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            n = np.diff(np.r_[begin, len(gram)])
+            for kind, chosen in ((False, (n > 1) & (n <= most)), (True, n > most)):
+                again = np.repeat(chosen, n)
+                if again.any():
+                    columns = [pa.array(text_id[again], pa.int64()), pa.array(place[again].astype(np.int64)), pa.array(np.full(int(again.sum()), kind))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["text_id", "place", "often"])
 
     sent = texts.select("text_id", "text").mapInArrow(send, "block long, gram binary, text_id binary, place binary")
-    return _together(sent, n_blocks).mapInArrow(meet, "text_id long, place long").groupBy("text_id").agg(F.collect_list("place").alias("places"))
+    found = _together(sent, n_blocks).mapInArrow(meet, "text_id long, place long, often boolean")
+    return found.groupBy("text_id", "often").agg(F.collect_list("place").alias("places"))
 
 
 def repeated_spans(anchored: DataFrame, n_blocks: int) -> DataFrame:
-    """(text_id, start, end) of repeats around anchors; ``anchored`` has (text_id, text, places)."""
+    """(text_id, start, end) of repeats around anchors, packed; ``anchored`` has (text_id, text, places)."""
     kinds = {"gram": np.uint64, "text_id": np.int64, "place": np.uint32, "n_left": np.uint16, "n_right": np.uint16, "bytes": np.uint8}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,28 +510,21 @@ def repeated_spans(anchored: DataFrame, n_blocks: int) -> DataFrame:
             left = np.ascontiguousarray(around[:, REACH - 1 :: -1])
             least, most = expand(c["gram"], left, np.ascontiguousarray(around[:, REACH:]), c["n_left"].astype(np.int64), c["n_right"].astype(np.int64))
             hit = most >= 0
-            place = c["place"].astype(np.int64)[hit]
-            columns = (c["text_id"][hit], place - most[hit], place - least[hit] + LENGTH)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["text_id", "start", "end"])
+            if hit.any():
+                place = c["place"].astype(np.int64)[hit]
+                ranges = {"start": (place - most[hit]).astype(np.uint32), "end": (place - least[hit] + LENGTH).astype(np.uint32)}
+                yield _dealt(c["text_id"][hit], ranges).rename_columns(["text_id", "start", "end"])
 
     sent = anchored.select("text_id", "text", "places").mapInArrow(send, "block long, " + ", ".join(f"{c} binary" for c in kinds))
-    return _together(sent, n_blocks).mapInArrow(meet, "text_id long, start long, end long")
+    return _together(sent, n_blocks).mapInArrow(meet, _SPANS)
 
 
-def cut(data: np.ndarray, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left without the spans, removed bytes, and maximal removed runs."""
-    kept, at, removed, runs, end = [], 0, 0, 0, -1
-    for start, stop in sorted(spans):
-        if start > end:
-            kept.append(data[at:start].tobytes())
-            runs += 1
-            removed += stop - start
-            end = at = stop
-        elif stop > end:
-            removed += stop - end
-            end = at = stop
-    kept.append(data[at:].tobytes())
-    return b"".join(kept), removed, runs
+def cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, int]:
+    """What is left without the ranges, removed bytes, and maximal removed runs."""
+    start, end = merged(start, end)
+    bounds = np.r_[0, np.stack([start, end], axis=1).ravel(), len(data)].tolist()
+    kept = b"".join(data[a:b].tobytes() for a, b in zip(bounds[::2], bounds[1::2], strict=True))
+    return kept, int((end - start).sum()), len(start)
 
 
 def deduplicated(docs: DataFrame, most: int = MOST_ANCHORS) -> DataFrame:
@@ -431,31 +539,46 @@ def deduplicated(docs: DataFrame, most: int = MOST_ANCHORS) -> DataFrame:
     expected = 2 * total / (REACH + 2)
     n_blocks = max(1, math.ceil(expected / (16 * BLOCK_ANCHORS)))
     often = often_grams(texts, n_blocks, most)
-    found = stored(repeated_anchors(texts, n_blocks, often), "anchors")
-    n_found = found.agg(F.sum(F.size("places"))).first()[0] or 0
+    found = stored(repeated_anchors(texts, n_blocks, often, most), "anchors")
+    sizes = {r["often"]: r["n"] for r in found.groupBy("often").agg(F.sum(F.size("places")).alias("n")).collect()}
 
     def one_of_each(keyed: DataFrame) -> DataFrame:
         """Texts with ``keyed``'s columns, from one row of equal texts."""
         wanted = keyed.join(kinds, "text_id")
         return texts.join(wanted, (texts["text_id"] == wanted["text_id"]) & texts["doc_id"].eqNullSafe(wanted["first_id"])).drop(texts["text_id"]).drop("doc_id", "sha", "first_id")
 
-    spans = stored(repeated_spans(one_of_each(found), max(1, math.ceil(n_found / BLOCK_ANCHORS))), "spans")
-    if len(often):
-        spans = spans.unionByName(stored(often_spans(one_of_each(stored(often_segments(texts, often), "marks"))), "often-spans"))
-    by_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    n_anchors = sizes.get(False, 0)
+    spans = stored(repeated_spans(one_of_each(found.where("NOT often")), max(1, math.ceil(n_anchors / BLOCK_ANCHORS))), "spans")
+    if len(often) or True in sizes:
+        places = found.where("often")
+        if len(often):
+            places = places.unionByName(often_places(texts, often))
+        places = stored(places.groupBy("text_id").agg(F.flatten(F.collect_list("places")).alias("places")), "often-places")
+        n_often = places.agg(F.sum(F.size("places"))).first()[0] or 0
+        often_blocks = max(1, math.ceil(9 * n_often / (8 * COUNT_MEMBERS)))
+        segments = often_segments(one_of_each(places), often_blocks)
+        marked = stored(segments.groupBy("text_id").agg(*[F.collect_list(c).alias(c) for c in _SEGMENTS]), "marks")
+        spans = spans.unionByName(stored(often_spans(one_of_each(marked), often_blocks), "often-spans"))
+    by_text = spans.groupBy("text_id").agg(F.collect_list("start").alias("start"), F.collect_list("end").alias("end"))
     partial = one_of_each(by_text).where("copies = 1")
     schema = T.StructType([T.StructField("text_id", LONG), T.StructField("kept", BINARY), T.StructField("removed", LONG), T.StructField("runs", LONG)])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
-            out = [cut(data[at[i] : at[i + 1]], [(s["start"], s["end"]) for s in own]) for i, own in enumerate(batch.column("spans").to_pylist())]
+            packed = zip(*(batch.column(c).to_pylist() for c in ("start", "end")), strict=True)
+            ranges = [[np.frombuffer(b"".join(x), np.uint32).astype(np.int64) for x in pair] for pair in packed]
+            out = [cut(data[at[i] : at[i + 1]], *pair) for i, pair in enumerate(ranges)]
             yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64())], names=schema.names)
 
-    removed = partial.select("text_id", "text", "spans").mapInArrow(remove, schema)
+    removed = partial.select("text_id", "text", "start", "end").mapInArrow(remove, schema)
     removed = removed.withColumn("kept_sha", F.sha2("kept", 256)).dropDuplicates(["text_id"])
-    everything = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    joined = rows.join(kinds.select("text_id", "copies"), "text_id").join(removed, "text_id", "left")
+    # A text with many copies is a hot key: its rows meet their mark under a salt, and go past the join with partial removals.
+    several = kinds.where("copies > 1").select("text_id", F.lit(True).alias("several"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(several, ["text_id", "salt"], "left").drop("salt")
+    everything = F.col("several").isNotNull() & (F.col("n_bytes") >= LENGTH)
+    alone = spread.where("several IS NULL").join(removed, "text_id", "left")
+    joined = alone.unionByName(spread.where("several IS NOT NULL"), allowMissingColumns=True)
     return joined.select(
         "doc_id",
         "n_bytes",

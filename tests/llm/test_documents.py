@@ -134,6 +134,35 @@ def test_long_match_lists(spark):
     assert r.s == ",".join(f"{k}:{a}:{b}" for k, a, b in brute.personal(text))
 
 
+def _masked(text):
+    """Entities replaced by their kind, overlapping ones by that of the first."""
+    out, at = [], 0
+    for start, end, kind in sorted((a, b, k) for k, a, b in brute.personal(text)):
+        if start >= at:
+            out += [text[at:start], f"<{kind}>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_personal_data_of_one_long_text(spark):
+    """Tens of thousands of entities in one text, also overlapping ones and ones beyond a chunk of text."""
+    parts = [f"é mail a{i}.b@host{i}.example.org or +49 {i:05d} 5550123 at 10.{i % 250}.0.1 " + "ü" * (2000 if i % 1000 == 0 else 3) for i in range(4000)]
+    given = [(1, "".join(parts), "en", "a", 1), (2, " ".join(f"u{i}@x.org" for i in range(50_000)), "en", "a", 1)]
+    for r in personal_data.masked(cases.frame(spark, given, clash=False)).collect():
+        assert r.text == _masked(given[r.doc_id - 1][1])
+
+
+def test_license_words_in_one_long_text(spark):
+    """Hundreds of thousands of licence words, with and without alignments at each."""
+    notice = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License. "
+    given = [(1, "license mit " * 150_000, "en", "a", 1), (2, notice * 8_000, "en", "a", 1)]
+    rows = {r.doc_id: r for r in license_scan.scan(cases.frame(spark, given, clash=False)).collect()}
+    for i, text, *_ in given:
+        r = rows[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licenses(text)
+    assert rows[2].labels == "gpl" and rows[2].score == 1.0
+
+
 def test_suffix_dedup(docs, empty):
     given = cases.rows()
     expected = [(i, *e) for (i, *_), e in zip(given, brute.repeats([t for _, t, *_ in given], suffix_dedup.LENGTH), strict=True)]
@@ -141,6 +170,19 @@ def test_suffix_dedup(docs, empty):
     assert suffix_dedup.deduplicated(empty).count() == 0
 
 
+def test_suffix_dedup_with_nul_bytes(spark):
+    """A text that ends between two that go on with NUL bytes does not part them."""
+    r = random.Random(8)
+    base = "".join(r.choice("abcdefgh") for _ in range(330))
+    texts = [base + "\0" * n + end for n in (0, 1, 40, 70, 71, 200) for end in ("", "\0", "x", "y", "\0z", "z" * 40)]
+    texts += [head + base[k:] + "\0" * 90 + tail for k, head in enumerate(["q", "\0", "\0\0w", ""]) for tail in ("1", "2", "")]
+    given = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    expected = [(i, *e) for (i, *_), e in zip(given, brute.repeats(texts, suffix_dedup.LENGTH), strict=True)]
+    assert sum(e[2] > 0 for e in expected) > 12
+    for most in (3, suffix_dedup.MOST_ANCHORS):
+        same(suffix_dedup.deduplicated(cases.frame(spark, given), most), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], expected)
+
+
 def test_suffix_dedup_beyond_a_step(spark):
     """A text longer than what is taken at a time, with repeats across the cut."""
     size = suffix_dedup.STEP_BYTES
@@ -152,8 +194,8 @@ def test_suffix_dedup_beyond_a_step(spark):
     assert got[3][1] >= 1 and got[3][0] == min(size - 200, len(noise))
 
 
-def test_suffix_dedup_counts_often_grams(spark):
-    """A passage in many texts: its anchors are counted and never meet, with the same result as plain Python."""
+def test_suffix_dedup_of_often_grams(spark, monkeypatch):
+    """A passage in many texts: its anchors never meet in a block, with the same result as plain Python."""
     passage = cases.prose(50, 110)
     given = [(i, cases.prose(100 + i, 50 + i) + passage[i % 3 :] + cases.prose(200 + i, 70), "en", "a", 1) for i in range(24)]
     given += [(30, given[0][1], "en", "a", 1), (31, passage, "en", "a", 1), (32, passage + passage, "en", "a", 1), (33, passage[:450], "en", "a", 1)] + cases.rows()
@@ -163,6 +205,11 @@ def test_suffix_dedup_counts_often_grams(spark):
         same(suffix_dedup.deduplicated(df, most), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], expected)
     texts = suffix_dedup._texts(df)
     often = suffix_dedup.often_grams(texts, 1, 10)
+    # Blocks sort out the often grams that tasks are not told of, and members are added up in small portions.
+    monkeypatch.setattr(suffix_dedup, "MOST_OFTEN", len(often) // 2)
+    monkeypatch.setattr(suffix_dedup, "COUNT_MEMBERS", 50)
+    assert 0 <= len(suffix_dedup.often_grams(texts, 1, 10)) <= len(often) // 2
+    same(suffix_dedup.deduplicated(df, 10), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], expected)
     met = suffix_dedup.repeated_anchors(texts, 1, often).join(texts.dropDuplicates(["text_id"]), "text_id").select("text_id", F.explode("places").alias("p"), "text").collect()
     grams = Counter(r.text.encode()[r.p : r.p + suffix_dedup.GRAM] for r in met)
     assert len(often) and max(grams.values()) <= 10
