@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 #: Words as the contracts define them: by white space, and by ASCII letters and digits after lower-casing A-Z.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 #: The second kind on text that still has its capitals; lower-casing a word afterwards gives the contract's words.
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -17,7 +17,8 @@ How often each token occurs is counted over all documents, in blocks by hash; th
 most ``MOST_FREQUENT``, those with the highest counts. Any set of frequent tokens gives the same result.
 
 Defined cases: A-Z in lower case, words by ASCII white space; fewer than five words are one shingle; no words or null: no
-shingles, no links, component of its own; repeated rows are copies; null ids are no component names unless nothing else is.
+shingles, no links, component of its own; repeated rows are copies; null ids are no component names unless nothing else is; long
+texts are one set each, made in one step; for ``unique`` every column stays under its name; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.llm.arrow import LOWER, SPACED, appended, bytes_of, mixed, range_hashes, steps, words
-from remitlens.llm.common import LONG, shielded, without
+from remitlens.llm.common import LONG, SPACES, shielded, without
 from remitlens.llm.components import components
 from remitlens.storage import stored
 
@@ -43,8 +44,10 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Tokens in so many texts count as frequent; with more of them than tasks may hold, the limit doubles.
 FREQUENT = 8
 MOST_FREQUENT = 1 << 20
-#: Shingles that a block of the count and of the index holds.
-BLOCK_TOKENS = 2_000_000
+#: Shingles that a block of the count and of the index holds, entries that a task sends at a time, and bytes of text it takes.
+BLOCK_TOKENS = 1_000_000
+SENT_ENTRIES = 1 << 18
+STEP = 1 << 19
 #: Bits of the filter that keeps sets without candidates out of the verification shuffle.
 FILTER_BITS = 24
 VERIFY_ROWS = 1024
@@ -83,7 +86,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     data, at = bytes_of(batch.column("text"))
     row = 0
-    for lo, hi in steps(at):
+    for lo, hi in steps(at, STEP):
         for found in shingle_sets(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]):
             yield row, found
             row += 1
@@ -293,7 +296,7 @@ def candidate_groups(docs: DataFrame, frequent: np.ndarray, n_blocks: int) -> Da
                 keys, bounds = signatures(found, is_frequent(found, often, n_blocks))
                 parts.append((keys, np.full(len(keys), node), np.full(len(keys), len(found), np.uint32), bounds.astype(np.uint32)))
                 size += len(keys)
-                if size > 1 << 20:
+                if size > SENT_ENTRIES:
                     yield entries(parts)
                     parts, size = [], 0
             if parts:
@@ -365,10 +368,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         mine = _EMPTY
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for a, b, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "tokens")), strict=True):
-                found = np.frombuffer(tokens, np.uint64)
+            sets = batch.column("tokens")
+            for i, (a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b")), strict=True)):
+                found = np.frombuffer(sets[i].as_buffer(), np.uint64)
                 if b is None:
-                    mine = found
+                    mine = found.copy()
                     continue
                 small, large = (mine, found) if len(mine) < len(found) else (found, mine)
                 both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
@@ -489,8 +493,11 @@ def links(docs: DataFrame, n_blocks: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, comp, component_id) of every row of ``docs``; comp tells components apart."""
-    rows = stored(with_nodes(docs.select("doc_id", "text")).drop("text"), "nodes")
+    """(doc_id, digest, n_shingles, node, comp, component_id) of every row of ``docs``; comp tells components apart.
+
+    ``digest`` is that of the text, to find the row again.
+    """
+    rows = stored(with_nodes(docs.select("doc_id", "text", _digest().alias("digest"))).drop("text"), "nodes")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     n_blocks = max(1, math.ceil(total / BLOCK_TOKENS))
     comps = components(links(docs, n_blocks))
@@ -499,18 +506,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     names = nodes.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = nodes.join(names, "comp").select("node", "comp", "component_id")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(named, "node", "left").select("doc_id", "n_shingles", "node", "comp", own.alias("component_id"))
+    return rows.join(named, "node", "left").select("doc_id", "digest", "n_shingles", "node", "comp", own.alias("component_id"))
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
 
 
 def unique(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the least id, with its own columns; documents without words stay."""
+    """One document of each component, the one with the least id, with its own columns; documents without words stay.
+
+    Kept documents are found again by id and digest of their text.
+    """
     members = stored(near_duplicates(docs), "members").where("comp IS NOT NULL")
-    chosen = members.groupBy("comp").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("comp", F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_node"))
-    rows = members.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
-    chosen = stored(chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == F.col("node"))).select("_id", "_node", F.col("comp").alias("_comp"), F.col("n").alias("_n")), "chosen")
-    rows, restored = shielded(docs, "n_shingles", "node", "_id", "_node", "_comp", "_n")
-    kept = with_nodes(rows).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node")), "left")
-    single = kept.where(F.col("node").isNull() | (F.col("_n") == 1))
+    chosen = members.groupBy("comp").agg(F.min(F.struct("doc_id", "digest")).alias("k")).select("comp", F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest"))
+    rows = members.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    chosen = chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_digest") == F.col("digest")))
+    chosen = stored(chosen.select("_id", "_digest", F.col("comp").alias("_comp"), F.col("n").alias("_n")), "chosen")
+    rows, restored = shielded(docs, "_id", "_digest", "_comp", "_n")
+    kept = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (_digest() == F.col("_digest")), "left")
+    empty = F.coalesce(F.trim(F.col("text"), F.lit(SPACES)), F.lit("")) == ""
+    single = kept.where(empty | (F.col("_n") == 1))
     if chosen.where("_n > 1").limit(1).count():  # repeated rows of a chosen document
         single = single.unionByName(kept.where("_n > 1").dropDuplicates(["_comp"]))
     return restored(single)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from remitlens.llm.common import LONG, STRING
+from remitlens.llm.common import LONG, SPACES, STRING
 from remitlens.storage import stored
 
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
@@ -53,8 +53,6 @@ GONE = "x"
 LEGAL = ("su", "ua", "au")
 SEGMENT = 512
 SALTS = 16
-#: White space at the end of a text.
-_SPACES = " \t\n\x0b\x0c\r"
 
 
 def _edges(i: int, q: int, kinds: str, tail: bool) -> Iterator[tuple[int, int, int, str]]:
@@ -215,7 +213,7 @@ def _turns(keyed: DataFrame) -> DataFrame:
     Duplicates are those of an earlier turn number; equal rows of one number come next to each other later on. A digest
     in many turns of one conversation is counted with partial sums and joined under a salt.
     """
-    end = F.rtrim(F.col("text"), F.lit(_SPACES))
+    end = F.rtrim(F.col("text"), F.lit(SPACES))
     blank = end == ""
     first = F.substring("role", 1, 1)
     initial = F.when(first.isin("s", "u", "a"), first).otherwise("o")
