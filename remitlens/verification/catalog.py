@@ -238,7 +238,7 @@ def _report_as_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "csv_row_order",
-    "SELECT * FROM report",
+    'SELECT * REPLACE (nullif("Primary Financial Class", \'\') AS "Primary Financial Class") FROM report',  # CSV has no empty texts
     "report",
 )
 def csv_row_order(spark, folder):
