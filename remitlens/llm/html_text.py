@@ -12,11 +12,17 @@ by element, role, id and class) and without block texts that are template themse
 template (a single page, or none that the template fits) fall back to their own ``article`` or ``main`` element, else to
 the whole body without furniture.
 
-Class words never make html, body, main or article furniture. Where furniture would leave less than a tenth of a page's text,
-elements that hold most of it are none, such as a form around everything; if still nothing is left, only hidden ones are.
+What is furniture is decided by structure. Class words never make html, body, main or article furniture, and an element that they,
+or a form, do mark is a wrapper instead if it holds the page's heading and other blocks; navigation, asides, headers and footers by
+element or role never are. Only where nothing at all would be left, forms, then elements around other furniture, then all that is
+not hidden count as text.
+
+Pages are read in linear time and memory: a ``<`` that nothing closes costs one search, a page whose quotes do not close is read
+without them, elements are numbered nodes, and as in browsers nesting counts up to a depth (deeper elements belong to the one above).
 
 Defined cases: null html gives an empty text; a null or odd url counts as host ''; repeated rows are pages of their own;
-unclosed and misnested elements close with their ancestors; a ``<`` that begins no tag is text; ``br`` is white space.
+unclosed and misnested elements close with their ancestors; a ``<`` that begins no tag is text; ``br`` is white space; long pages are
+read whole; columns of the input under the names that are added are replaced, all but html stay; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import hashlib
 import html as entities
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,7 +41,8 @@ from pyspark.sql import types as T
 from remitlens.llm.common import LONG, STRING, without
 from remitlens.storage import stored
 
-_TAG = re.compile(r"""<!--(?:.*?-->|.*)|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""", re.S)
+_OPEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*+)")
+_ATTRIBUTES = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""([A-Za-z][\w:-]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+""")
 _SPACE = re.compile(r"\s+")
 #: Elements whose content is not text of the page: those that HTML reads up to their end tag, and those that hold elements.
@@ -66,11 +73,16 @@ _FURNITURE_WORDS = frozenset(
     "masthead cookie cookies consent gdpr notice notices disclaimer comment comments reply replies respond discussion disqus share sharing social newsletter subscribe "
     "signup login related recommended recommendations popup modal overlay widget toolbar pager pagination skip copyright topbar".split()
 )
-_OWN_MAIN = re.compile(r"(?:^|>)(?:article|main)\b")
+_COMMENT_WORDS = frozenset("comment comments reply replies respond discussion disqus".split())
+#: Furniture elements that may be wrappers around everything.
+_FORMS = frozenset(("form", "fieldset", "label", "dialog"))
 LEAST_SHARE = 0.5
-#: Elements that class words never make furniture, and the share of a page's text that furniture leaves at least.
+#: Elements that class words never make furniture.
 _NEVER_FURNITURE = frozenset(("html", "body", "main", "article"))
-LEAST_LEFT = 0.1
+#: Blocks that a wrapper holds at least, the heading included.
+WRAPPED = 3
+#: Nesting that paths spell out, and characters of ids and classes that they show before they are shortened to a digest.
+MOST_DEEP, MOST_NAMED = 512, 64
 #: Block texts count as template if so many of the pages with the main slot have them, and enough of the slot varies.
 FIXED_SHARE = 0.9
 #: Main slots are elements that hold blocks, not blocks of text; ones around the innermost may hold this much of its text.
@@ -79,30 +91,168 @@ _ARTICLE, _PAGE = r"(?:^|>)(?:article|main)(?:[.#][^>]*)?$", r"(?:^|>)(?:html|bo
 MORE = 1.15
 
 
-def _words(attributes: str) -> tuple[str, bool, bool]:
-    """Suffix of the element's name for paths, whether id, class or role call it furniture, and whether it is hidden."""
-    suffix, furniture, hidden = "", False, False
+#: Kinds of furniture marks.
+_NONE, _STRONG, _FORM, _WORD, _COMMENT = range(5)
+
+
+def _words(attributes: str) -> tuple[str, int, bool]:
+    """Suffix of the element's name for paths, what kind of furniture id, class or role call it, and whether it is hidden."""
+    suffix, kind, hidden = "", _NONE, False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             parts = value.split()
             # Names with digits tend to be numbered; they do not tell elements of a template apart.
             suffix += "".join(("." if name == "class" else "#") + p for p in parts if not any(c.isdigit() for c in p))
-            furniture |= any(w in _FURNITURE_WORDS for p in parts for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", p).lower()))
-        elif name == "role":
-            furniture |= value.strip().lower() in _FURNITURE_ROLES
+            words = {w for p in parts for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", p).lower())}
+            if kind != _STRONG and words & _FURNITURE_WORDS:
+                kind = _COMMENT if kind == _COMMENT or words & _COMMENT_WORDS else _WORD
+        elif name == "role" and value.strip().lower() in _FURNITURE_ROLES:
+            kind = _STRONG
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             hidden = True
-    return suffix, furniture, hidden
-
-
-def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
-    """Texts of a page as (path, furniture, text), and its block elements by path with how often each occurs."""
-    elements: dict[str, int] = defaultdict(int)
-    # Of each text, the furniture elements around it; -1 stands for hidden ones and the head.
-    stack: list[tuple[str, str, tuple[int, ...], bool]] = [("", "", (), False)]
-    marked: list[tuple[str, tuple[int, ...], str]] = []
-    n_marks = 0
+    suffix = suffix.replace(">", "")
+    return (suffix if len(suffix) <= MOST_NAMED else f".{_digest(suffix):x}"), kind, hidden
+
+
+class _Scanner:
+    """Finds tags and comments in order, in time linear in the page."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.quotes = page, page.rfind(">"), True
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """(begin, end, element or '', whether it is an end tag, attributes) of the next one; the element is '' for comments."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), "", False, ""
+            if at > self.last:  # nothing ends a tag any more
+                at = page.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            if m := _OPEN.match(page, at):
+                rest = _ATTRIBUTES.match(page, m.end()) if self.quotes else None
+                if rest is None:  # quotes that do not close; they are not searched for again
+                    self.quotes = False
+                end = rest.end() if rest else page.find(">", m.end()) + 1
+                return at, end, m[2].lower(), bool(m[1]), page[m.end() : end - 1]
+            if page[at + 1 : at + 2] in ("!", "?"):
+                return at, page.find(">", at) + 1, "", False, ""
+            at += 1
+        return None
+
+
+class Nodes:
+    """Block elements of a page by path: node 0 is the page itself, parents come before their children."""
+
+    def __init__(self) -> None:
+        self.paths, self.parents, self.elements, self.depths, self.counts = [""], [0], [""], [0], [0]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def child(self, parent: int, element: str, suffix: str) -> int:
+        if self.depths[parent] >= MOST_DEEP:
+            return parent
+        name = element + suffix
+        node = self.known.get((parent, name))
+        if node is None:
+            node = self.known[parent, name] = len(self.paths)
+            self.paths.append(f"{self.paths[parent]}>{name}" if parent else name)
+            self.parents.append(parent)
+            self.elements.append(element)
+            self.depths.append(self.depths[parent] + 1)
+            self.counts.append(0)
+        self.counts[node] += 1
+        return node
+
+    def inherited(self, holds: Callable[[int], bool]) -> list[bool]:
+        """Of each node, whether it or one around it ``holds``."""
+        out = [False] * len(self.paths)
+        for node in range(1, len(out)):
+            out[node] = out[self.parents[node]] or holds(node)
+        return out
+
+
+_HIDDEN = -1
+
+
+class _Marks:
+    """Furniture elements of a page. Mark 0 is none; a mark knows the one around it."""
+
+    def __init__(self) -> None:
+        self.kinds, self.around = [_NONE], [0]
+        self.heading, self.by_article = -1, False
+        self.headings: list[int] = []
+
+    def new(self, around: int, kind: int) -> int:
+        self.kinds.append(kind)
+        self.around.append(around)
+        return len(self.kinds) - 1
+
+    def begins(self, element: str, mark: int) -> None:
+        """Take note of headings: the page's is its first h1, else its first article."""
+        if mark == _HIDDEN:
+            return
+        if element == "h1" and (self.heading < 0 or self.by_article):
+            self.heading, self.by_article = mark, False
+        elif element in ("main", "article") and self.heading < 0:
+            self.heading, self.by_article = mark, True
+        if element in ("h1", "h2", "h3"):
+            self.headings.append(mark)
+
+    def closed(self, texts: list[int]) -> list[bool]:
+        """Of each mark, whether texts inside are furniture; ``texts`` are the innermost marks of the page's texts."""
+        n = len(self.kinds)
+        blocks, holds, titled, nests = [0] * n, [False] * n, [False] * n, [False] * n
+        for mark in texts:
+            if mark != _HIDDEN:
+                blocks[mark] += 1
+        if self.heading > 0:
+            holds[self.heading] = True
+        for mark in self.headings:
+            titled[mark] = True
+        for mark in range(n - 1, 0, -1):
+            up, kind = self.around[mark], self.kinds[mark]
+            nests[up] = True
+            if kind != _STRONG:
+                blocks[up] += blocks[mark]
+                titled[up] |= titled[mark]
+                holds[up] |= holds[mark] and not (kind == _COMMENT and self.by_article)
+
+        def wrapper(mark: int) -> bool:
+            kind = self.kinds[mark]
+            if kind == _STRONG or blocks[mark] < WRAPPED:
+                return False
+            if kind == _FORM:
+                return holds[mark] or titled[mark]
+            return holds[mark] and not (kind == _COMMENT and self.by_article)
+
+        open_marks = [not mark or wrapper(mark) for mark in range(n)]
+
+        def inside() -> list[bool]:
+            out = [False] * n
+            for mark in range(1, n):
+                out[mark] = out[self.around[mark]] or not open_marks[mark]
+            return out
+
+        found = inside()
+        for also in (lambda m: self.kinds[m] == _FORM, lambda m: self.kinds[m] in (_WORD, _COMMENT) and nests[m], lambda m: True):
+            if any(mark != _HIDDEN and not found[mark] for mark in texts):
+                break
+            open_marks = [now or also(mark) for mark, now in enumerate(open_marks)]
+            found = inside()
+        return found
+
+
+def blocks(page: str) -> tuple[list[tuple[int, bool, str]], Nodes]:
+    """Texts of a page as (node, furniture, text), and its block elements."""
+    scanner, nodes, marks = _Scanner(page), Nodes(), _Marks()
+    # Open elements: name, node, innermost mark, whether it is skipped; and where on the stack each name is.
+    stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+    places: dict[str, list[int]] = defaultdict(list)
+    marked: list[tuple[int, int, str]] = []
     parts: list[str] = []
     last_end: dict[str, int] = {}
     lower = page.lower() if page.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), page)
@@ -115,101 +265,89 @@ def blocks(page: str) -> tuple[list[tuple[str, bool, str]], dict[str, int]]:
             if text:
                 marked.append((stack[-1][1], stack[-1][2], text))
 
+    def push(name: str, node: int, mark: int, skipped: bool) -> None:
+        places[name].append(len(stack))
+        stack.append((name, node, mark, skipped))
+
+    def pop() -> None:
+        places[stack.pop()[0]].pop()
+
     def close(name: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] == name:
-                del stack[depth:]
-                return
-
-    while m := _TAG.search(page, at):
-        if m.start() > at and not stack[-1][3]:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        if m["name"] is None:
-            continue
-        name = m["name"].lower()
+        if places[name]:
+            depth = places[name][-1]
+            while len(stack) > depth:
+                pop()
+
+    while found := scanner.next(at):
+        begin, end, name, closing, attributes = found
+        if begin > at and not stack[-1][3]:
+            parts.append(page[at:begin])
+        at = end
         if name in _RAW:
-            if not m["end"] and not m["attrs"].endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*+>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not closing and not attributes.endswith("/"):
+                stop = re.compile(rf"</{name}\b", re.I).search(page, at)
+                at = page.find(">", stop.end()) + 1 if stop else 0
+                at = at or len(page)
         elif name == "br":
             parts.append("\n")
         elif name in _SKIPPED:
-            if m["end"]:
+            if closing:
                 if stack[-1][3]:
                     close(name)
-            elif not m["attrs"].endswith("/"):
+            elif not attributes.endswith("/"):
                 if name not in last_end:
                     last_end[name] = lower.rfind(f"</{name}")
                 if at <= last_end[name]:  # one without an end tag further on holds nothing
-                    stack.append((name, stack[-1][1], stack[-1][2], True))
+                    push(name, stack[-1][1], stack[-1][2], True)
         elif name in _BLOCK:
             if stack[-1][3]:
-                same = next((s for s in reversed(stack) if s[0] == name), None) if m["end"] else None
-                if same and same[3]:
-                    close(name)
-                    continue
-                if m["end"] and not same:
-                    continue
-                if not m["end"] and name not in _OUTSIDE:
+                if closing:
+                    if not places[name]:
+                        continue
+                    if stack[places[name][-1]][3]:
+                        close(name)
+                        continue
+                elif name not in _OUTSIDE:
                     if name not in _VOID:
-                        stack.append((name, stack[-1][1], stack[-1][2], True))
+                        push(name, stack[-1][1], stack[-1][2], True)
                     continue
-                while not m["end"] and stack[-1][3]:
-                    stack.pop()
+                while not closing and stack[-1][3]:
+                    pop()
             flush()
-            if m["end"]:
+            if closing:
                 close(name)
             else:
                 while name in _ENDS.get(stack[-1][0], ()):
-                    stack.pop()
-                suffix, furniture, hidden = _words(m["attrs"])
-                path = f"{stack[-1][1]}>{name}{suffix}" if stack[-1][1] else name + suffix
-                elements[path] += 1
+                    pop()
+                suffix, kind, hidden = _words(attributes)
+                node = nodes.child(stack[-1][1], name, suffix)
                 if name not in _VOID:
                     # The header of an article is its own, a page's is furniture.
-                    own = name == "header" and any(s[0] in ("article", "main") for s in stack)
-                    marks = stack[-1][2]
+                    own = name == "header" and (places["article"] or places["main"])
+                    mark = stack[-1][2]
                     if name == "head" or (hidden and name not in ("html", "body")):
-                        marks = (-1,)
-                    elif marks != (-1,) and ((furniture and name not in _NEVER_FURNITURE) or (name in _FURNITURE and not own)):
-                        marks, n_marks = (*marks, n_marks), n_marks + 1
-                    stack.append((name, path, marks, False))
+                        mark = _HIDDEN
+                    elif mark != _HIDDEN:
+                        if name in _FURNITURE and not own:
+                            kind = _FORM if name in _FORMS and kind == _NONE else kind if name in _FORMS else _STRONG
+                        elif name in _NEVER_FURNITURE and kind != _STRONG:
+                            kind = _NONE
+                        mark = marks.new(mark, kind) if kind else mark
+                    marks.begins(name, mark)
+                    push(name, node, mark, False)
     if at < len(page) and not stack[-1][3]:
         parts.append(page[at:])
     flush()
-    void = _wrappers(marked)
-    return [(path, any(x not in void for x in marks), text) for path, marks, text in marked], dict(elements)
-
-
-def _wrappers(marked: list[tuple[str, tuple[int, ...], str]]) -> set[int]:
-    """Furniture elements that are none, because without them next to nothing would be left of the page.
-
-    Those are wrappers that hold most of its text; if that is not enough, all that are not hidden.
-    """
-    shown = [(marks, len(text)) for _, marks, text in marked if marks != (-1,)]
-    total = sum(n for _, n in shown)
-    below: dict[int, int] = defaultdict(int)
-    for marks, n in shown:
-        for x in marks:
-            below[x] += n
-
-    def left(void: set[int]) -> int:
-        return sum(n for marks, n in shown if all(x in void for x in marks))
-
-    if left(set()) >= LEAST_LEFT * total:
-        return set()
-    void = {x for x, n in below.items() if 2 * n > total}
-    return void if left(void) else set(below)
+    closed = marks.closed([mark for _, mark, _ in marked])
+    return [(node, mark == _HIDDEN or closed[mark], text) for node, mark, text in marked], nodes
 
 
 def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def host(url: str | None) -> str:
-    m = re.match(r"\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+def _host() -> Column:
+    return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 _TOKENS = "host string, path string, text long, n_pages long, total long, vector long, chars long"
@@ -233,30 +371,29 @@ def tokens(pages: DataFrame) -> DataFrame:
                 entry[2] = (entry[2] + _digest(f"{page}:{count}") + (1 << 63)) % (1 << 64) - (1 << 63)
                 entry[3] += chars
 
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                name, number = host(url), _digest(f"{url}\n{page}")
-                texts, elements = blocks(page or "")
-                below: dict[str, int] = defaultdict(int)
-                times: dict[tuple[str, str], int] = defaultdict(int)
-                clean: set[tuple[str, str]] = set()
-                for path, furniture, text in texts:
-                    times[path, text] += 1
+            for name, url, page in zip(*(batch.column(c).to_pylist() for c in ("host", "url", "html")), strict=True):
+                number = _digest(f"{url}\n{page}")
+                texts, nodes = blocks(page or "")
+                times: dict[tuple[int, str], int] = defaultdict(int)
+                clean: set[tuple[int, str]] = set()
+                below = [0] * len(nodes.paths)
+                for node, furniture, text in texts:
+                    times[node, text] += 1
                     if not furniture:
-                        clean.add((path, text))
-                        cut = len(path)
-                        while cut > 0:
-                            below[path[:cut]] += len(text)
-                            cut = path.rfind(">", 0, cut)
-                add((name, "", None), number, 1, sum(len(t) for _, furniture, t in texts if not furniture))
-                for path, count in elements.items():
-                    add((name, path, None), number, count, below.get(path, 0))
-                for (path, text), count in times.items():
-                    add((name, path, _digest(text)), number, count, len(text) if (path, text) in clean else 0)
+                        clean.add((node, text))
+                        below[node] += len(text)
+                for node in range(len(below) - 1, 0, -1):
+                    below[nodes.parents[node]] += below[node]
+                add((name, "", None), number, 1, below[0])
+                for node in range(1, len(below)):
+                    add((name, nodes.paths[node], None), number, nodes.counts[node], below[node])
+                for (node, text), count in times.items():
+                    add((name, nodes.paths[node], _digest(text)), number, count, len(text) if (node, text) in clean else 0)
             columns = [[k[0] for k in sums], [k[1] for k in sums], [k[2] for k in sums], *([v[i] for v in sums.values()] for i in range(4))]
             kinds = (pa.string(), pa.string(), *[pa.int64()] * 5)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "path", "text", "n_pages", "total", "vector", "chars"])
 
-    return pages.select("url", "html").mapInArrow(run, _TOKENS)
+    return pages.select(_host().alias("host"), "url", "html").mapInArrow(run, _TOKENS)
 
 
 def _main_slot(chain: Column) -> Column:
@@ -303,19 +440,21 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str | None, main: str | None, fixed: frozenset[int]) -> str:
-    texts, _ = blocks(page or "")
-    clean = [(path, text) for path, furniture, text in texts if not furniture]
-    if main is not None and (inside := [(p, t) for p, t in clean if p == main or p.startswith(main + ">")]):
-        return "\n".join(t for _, t in inside if not fixed or _digest(t) not in fixed)
-    own = [t for p, t in clean if _OWN_MAIN.search(p)]
-    return "\n".join(own or [t for _, t in clean])
+    texts, nodes = blocks(page or "")
+    clean = [(node, text) for node, furniture, text in texts if not furniture]
+    if main is not None:
+        slot = nodes.inherited(lambda node: nodes.paths[node] == main)
+        if inside := [t for node, t in clean if slot[node]]:
+            return "\n".join(t for t in inside if not fixed or _digest(t) not in fixed)
+    article = nodes.inherited(lambda node: nodes.elements[node] in ("article", "main"))
+    return "\n".join([t for node, t in clean if article[node]] or [t for _, t in clean])
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """``pages`` without html, with text and n_chars (columns of these names are replaced)."""
     found = stored(templates(pages), "templates")
     source = without(pages, "text", "n_chars", "_host", "_main", "_fixed")
-    named = source.withColumn("_host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)))
+    named = source.withColumn("_host", _host())
     joined = named.join(found.select(F.col("host").alias("_host"), F.col("main").alias("_main"), F.col("fixed").alias("_fixed")), "_host", "left").drop("_host")
     rest = [f for f in joined.schema if f.name not in ("html", "_main", "_fixed")]
     schema = T.StructType([*rest, T.StructField("text", STRING), T.StructField("n_chars", LONG)])
