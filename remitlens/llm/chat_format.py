@@ -134,14 +134,15 @@ class _Digest:
         self.turns = self.loss = self.chars = 0
         self.all_sha, self.loss_sha = hashlib.sha256(), hashlib.sha256()
 
-    def feed(self, piece: str) -> None:
+    def feed(self, piece: str, loss_start: int | None, loss_end: int | None) -> None:
         self.chars += len(piece)
         for role, text, _, _ in self.parser.feed(piece):
             self.turns += 1
             self.all_sha.update(f"{role}\n{text}\n".encode())
-            if role == LOSS_ROLE:
-                self.loss += len(text)
-                self.loss_sha.update(text.encode())
+        if loss_start is not None:  # what the mask covers, whatever the parser read
+            text = unescaped(piece[loss_start:loss_end])
+            self.loss += len(text)
+            self.loss_sha.update(text.encode())
 
     def row(self) -> tuple:
         if self.parser.rest:
@@ -150,7 +151,10 @@ class _Digest:
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
-    """Digests of each formatted conversation, from its pieces as ``formatted`` leaves them: together and in order."""
+    """Digests of each formatted conversation, from its pieces as ``formatted`` leaves them: together and in order.
+
+    Turns are what the parser reads; the loss text is what the loss mask covers, unescaped.
+    """
     key = pieces.schema["conv_id"].dataType
     fields = (("n_turns", LONG), ("turns_sha256", STRING), ("loss_chars", LONG), ("loss_sha256", STRING), ("formatted_chars", LONG))
     schema = T.StructType([T.StructField("conv_id", key), *(T.StructField(n, t) for n, t in fields)])
@@ -160,13 +164,13 @@ def read_back(pieces: DataFrame) -> DataFrame:
         before, digest = None, None
         for batch in batches:
             keys, rows = [], []
-            for key, piece in zip(batch.column("conv_id").to_pylist(), batch.column("piece").to_pylist(), strict=True):
+            for key, *piece in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "piece", "loss_start", "loss_end")), strict=True):
                 if digest is None or key != before:
                     if digest is not None:
                         keys.append(before)
                         rows.append(digest.row())
                     before, digest = key, _Digest()
-                digest.feed(piece)
+                digest.feed(*piece)
             kind = batch.schema.field("conv_id").type
             yield pa.RecordBatch.from_arrays([pa.array(keys, kind), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=schema.names)
         if digest is not None:

@@ -120,7 +120,23 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *license_scan.ADDED)
 
 
-@query("op1_chat_format")
+_ROLE_OUT = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
+
+
+@query(
+    "op1_chat_format",
+    rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, CASE WHEN regexp_matches(text, '\\(###|</turn>)') OR regexp_matches(text || chr(10), '(^|[^\\])</turn>\n')
+  THEN regexp_replace(text, '(\\*)(###|</turn>)', '\\\1\2', 'g') ELSE text END AS body FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(15 + length({_ROLE_OUT}) + length(body))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+""",
+)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     probe = r"\### Assistant: </turn> ok"

@@ -1,6 +1,7 @@
 """Conversations, token files and pages: round trips and small fixtures."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -172,6 +173,48 @@ def test_furniture_words_of_wrappers():
     assert html_text.main_text("<body><div class='sidebar'>One</div><div class='widget'>Two</div><p hidden>no</p>", None, frozenset()) == "One\nTwo"
 
 
+def test_comments_are_no_article():
+    """A short story under many comments, wherever they stand; wrappers that hold the heading are none of them."""
+    story = "<h1>Title</h1><p>A short story of a few words.</p>"
+    comments = "".join(f"<article class='comment-body'><h3>User {i}</h3><p>Comment {i}, much longer than the story is.</p><p>And more.</p></article>" for i in range(40))
+    want = ["Title", "A short story of a few words."]
+    for section in ("<div id='comments'>{}</div>", "<section class='comments'>{}</section>", "<div class='discussion'><form>{}</form></div>"):
+        mine = section.format(comments)
+        assert texts_of(f"<body><article>{story}{mine}</article></body>") == want
+        assert texts_of(f"<body><div class='story'>{story}</div>{mine}</body>") == want
+        assert texts_of(f"<body><div class='page with-sidebar comments-open'><nav>Menu</nav>{story}<p>End.</p>{mine}</div></body>") == [*want, "End."]
+        assert texts_of(f"<body><form id='aspnetForm'><nav>Menu</nav>{story}<p>End.</p>{mine}</form></body>") == [*want, "End."]
+        assert texts_of(f"<body><div class='story'><p>No heading here.</p></div>{mine}</body>") == ["No heading here."]
+    assert texts_of(f"<body><header><h1>Site</h1><p>a</p><p>b</p></header><main>{story}</main></body>") == want
+
+
+def test_long_pages_take_linear_time():
+    """What nothing closes: tags, quotes, comments, elements, furniture; each page within seconds."""
+    big = 500_000
+    pages = {
+        "<a": "<a" * (big // 2),
+        '<a ">"': "<p>x</p>" + '<a ">"' * (big // 6),
+        "<!": "<!" * (big // 2),
+        "div": "<div>" * (big // 5) + "deep",
+        "div texts": "<div>t " * (big // 7),
+        "forms": "<form><nav>" * (big // 11) + "x",
+        "ends": "<div>" * (big // 20) + "</p></section>" * (big // 20) + "y",
+        "scripts": "<script>" + "</script" * (big // 8),
+        "classes": "<div class='" + "k" * 5000 + "'>" * 1 + "<div class='" * 1 + "w " * 2000 + "'>" + "z",
+    }
+    started = time.perf_counter()
+    found = {name: html_text.blocks(page) for name, page in pages.items()}
+    assert time.perf_counter() - started < 60
+    assert found["<a"][0][0][2] == pages["<a"] and found["div"][0][-1][2] == "deep" and found["ends"][0][-1][2] == "y"
+    assert len(found["div texts"][0]) == big // 7
+    assert sum(len(p) for _, nodes in found.values() for p in nodes.paths) < 20_000_000
+
+
+def test_depth_beyond_the_limit_stays_whole():
+    inner = "<div>" * (html_text.MOST_DEEP + 50) + "<p>one</p><p>two</p>"
+    assert html_text.main_text(f"<article>{inner}</article>", None, frozenset()) == "one\ntwo"
+
+
 def test_template_texts_on_hosts_of_few_pages(spark):
     """One rule at every size; copies of an article, also nearly equal ones, are no template."""
     notice = "<p>Read more on host</p>"
