@@ -53,10 +53,10 @@ def words(data: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarra
 
 
 def powers(n: int, base: int) -> np.ndarray:
-    """``base`` to 0, 1, ..., n - 1 and more, modulo 2**64."""
+    """``base`` to 0, 1, ..., n - 1 and up to twice as many, modulo 2**64."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        grown = np.full(max(n, 2 * STEP_BYTES), base, np.uint64)
+        grown = np.full(1 << max(n - 1, 0).bit_length(), base, np.uint64)
         grown[0] = 1
         have = np.multiply.accumulate(grown)
         if n <= 4 * STEP_BYTES:

@@ -47,7 +47,7 @@ MOST_FREQUENT = 1 << 20
 #: Shingles that a block of the count and of the index holds, entries that a task sends at a time, and bytes of text it takes.
 BLOCK_TOKENS = 1_000_000
 SENT_ENTRIES = 1 << 18
-STEP = 1 << 19
+STEP = 1 << 18
 #: Bits of the filter that keeps sets without candidates out of the verification shuffle.
 FILTER_BITS = 24
 VERIFY_ROWS = 1024

@@ -38,10 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from remitlens.llm.arrow import STEP_BYTES, bytes_of, mixed, range_hashes, steps
+from remitlens.llm.arrow import bytes_of, mixed, range_hashes, steps
 from remitlens.llm.common import BINARY, LONG
 from remitlens.storage import stored
 
+#: Bytes of text that anchors are looked for in at a time, at most 2**20.
+STEP_BYTES = 1 << 18
 LENGTH, GRAM = 400, 32
 REACH = LENGTH - GRAM
 #: Anchors that a block takes, by expectation.
@@ -52,7 +54,7 @@ SEGMENT = 41
 #: Grams that tasks are told of (8 bytes each).
 MOST_OFTEN = 1 << 20
 #: Anchors or members that a task adds up before it sends them.
-COUNT_ANCHORS, COUNT_MEMBERS = 1 << 20, 1 << 18
+COUNT_ANCHORS, COUNT_MEMBERS = 1 << 18, 1 << 18
 #: Tasks over which the rows of one text with many copies are spread.
 SALTS = 16
 _BITS = np.uint64(20)
@@ -85,7 +87,7 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def row_anchors(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, places in the row, hashes) of rows with any. Rows over a step are taken in overlapping pieces."""
-    for lo, hi in steps(at):
+    for lo, hi in steps(at, STEP_BYTES):
         if at[hi] - at[lo] <= STEP_BYTES:
             places, hashes = anchors(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
             places = places + at[lo]
