@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.contracts import BASELINE_METRICS, DEFAULT_THRESHOLDS, DIMS, Thresholds
 from remitlens.functions.numbers import div_or_null, is_true, performance_label
 from remitlens.operators.joins import null_safe_join
-from remitlens.operators.weekly import baselines
 
 
 def expected_fallback(df: DataFrame) -> DataFrame:
@@ -67,12 +66,16 @@ def diagnostics_base(
 ) -> DataFrame:
     """Variances, labels and baseline averages on the weekly group table.
 
+    The baselines are averages over the weeks of a payer and its groups, so a window bounded by the calendar adds them
+    and the table is computed once; ``attach_baselines`` is for baselines that were stored apart.
+
     ``fallback=False`` skips ``expected_fallback``, which reads the table once more; tables made by
     ``weekly_aggregated`` do not need it.
     """
     metrics = [m for m in BASELINE_METRICS if m in weekly.columns]
     df = label_lenses(two_lens_variance(expected_fallback(weekly) if fallback else weekly), thresholds)
-    return attach_baselines(df, baselines(weekly, metrics))
+    same_dims = Window.partitionBy(*DIMS)
+    return df.withColumns({f"{m}_avg": F.avg(m).over(same_dims) for m in metrics})
 
 
 def label_flags(df: DataFrame) -> DataFrame:

@@ -43,8 +43,8 @@ PRIORITY_PAYERS = [
 TOP_SENTENCES = 6
 
 
-def metric_sentences(df: DataFrame) -> DataFrame:
-    """One row per week, group and metric that differs from its baseline: side, relative change and sentence.
+def metric_changes(df: DataFrame) -> DataFrame:
+    """One row per week, group and metric that differs from its baseline: side, relative change, subject and both values.
 
     No change at all counts as a decrease on the bad side. A negative baseline of the collection-adjusted balance has
     its own rule: nothing left is good, a positive balance is bad.
@@ -86,7 +86,8 @@ def metric_sentences(df: DataFrame) -> DataFrame:
         F.when(good, "good").otherwise("bad").alias("side"),
         (F.abs(F.try_divide(act - avg, avg)) * 100.0).alias("pct"),
         subject.alias("subject"),
-        F.concat(subject, F.lit(" from avg "), fixed2(avg), F.lit(" to "), fixed2(act)).alias("text"),
+        "act",
+        "avg",
     )
 
 
@@ -96,22 +97,29 @@ def _priority(subject: Column) -> Column:
     return F.when(position > 0, position - 1).otherwise(len(PRIORITY_PAYERS))
 
 
-def top_sentences(sentences: DataFrame, k: int = TOP_SENTENCES) -> DataFrame:
+def top_sentences(changes: DataFrame, k: int = TOP_SENTENCES) -> DataFrame:
     """The ``k`` leading sentences per week and side: priority payers first, then the largest relative change.
 
-    Sentences on one subject collapse to the one with the largest change; ties go by text.
+    Sentences on one subject collapse to the one with the largest change; ties go by text. The cut is made on numbers:
+    of each subject its largest change, of these the first k, with those that tie. Only what is left is put into words, to
+    settle the ties. ``changes`` are read twice, so hand in stored ones where they cost something.
     """
-    best = sentences.groupBy(*TIME, "side", "subject").agg(F.min(F.struct((-F.col("pct")).alias("p"), "text")).alias("_best"))
-    best = best.select(*TIME, "side", _priority(F.col("subject")).alias("_prio"), "_best.p", "_best.text")
-    order = Window.partitionBy(*TIME, "side").orderBy("_prio", "p", "text")
-    # The rank filter lets Spark keep k rows per week and task before the shuffle.
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    subject = [*TIME, "side", "subject"]
+    largest = changes.groupBy(*subject).agg(F.max("pct").alias("_largest")).withColumn("_prio", _priority(F.col("subject")))
+    order = Window.partitionBy(*TIME, "side").orderBy("_prio", F.desc("_largest"))
+    # The rank filter lets Spark keep k ranks per week and task before the shuffle.
+    leading = largest.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") <= k).drop("_rank")
+    tied = null_safe_join(changes, leading, subject, "inner").filter(F.col("pct") == F.col("_largest"))
+    text = F.concat("subject", F.lit(" from avg "), fixed2(F.col("avg")), F.lit(" to "), fixed2(F.col("act")))
+    best = tied.groupBy(*subject, "_prio", "_largest").agg(F.min(text).alias("text"))
+    final = Window.partitionBy(*TIME, "side").orderBy("_prio", F.desc("_largest"), "text")
+    ranked = best.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
     return ranked.select(*TIME, "side", "rank", "text")
 
 
 def revenue_cycle(df: DataFrame, k: int = TOP_SENTENCES) -> DataFrame:
     """Both texts per week; empty when there is nothing to say."""
-    top = top_sentences(metric_sentences(df), k)
+    top = top_sentences(metric_changes(df), k)
 
     def joined(side: str) -> Column:
         entries = F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("rank", "text"))))

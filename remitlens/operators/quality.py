@@ -1,11 +1,13 @@
 """Data checks. Each gives rows (check, status, issue); status is ok, warn or fail.
 
-A suite's checks on one table share a single aggregation where they can.
+A check states what it counts and how it judges the counts; ``run`` folds all checks on one table into one aggregation, that
+for duplicate keys included, so a suite reads each table once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def check_columns(df: DataFrame, required: Sequence[str], subset_ok: bool = Fals
     listed = ", ".join(missing)
     if subset_ok and len(missing) < len(required):
         return "warn", f"absent, but not required: {listed}"
-    return "fail", f"Missing required columns: {listed}"
+    return "fail", f"columns that have to be there are absent: {listed}"
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -49,68 +51,107 @@ def _entry(check: str, bad: Column, status: str, issue: Column) -> Column:
     )
 
 
-def _report(aggregated: DataFrame, entries: Sequence[Column]) -> DataFrame:
-    return aggregated.select(F.inline(F.array(*entries)))
+def _known(check: str, status: str, issue: str | None) -> Column:
+    """An entry known from the schema alone."""
+    return F.struct(F.lit(check).alias("check"), F.lit(status).alias("status"), F.lit(issue).cast("string").alias("issue"))
 
 
-def check_all_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Check:
+    """``counts`` names conditions on rows; ``entries`` are judgements of the numbers of rows that meet them.
+
+    The number of all rows is ``_rows``, and with ``keys`` that of rows which share their key is ``_repeated``. A check that
+    is known from the schema alone does not read the table.
+    """
+
+    entries: tuple[Column, ...]
+    counts: Mapping[str, Column] = field(default_factory=dict)
+    keys: tuple[str, ...] = ()
+    reads: bool = True
+
+
+def run(df: DataFrame, *checks: Check) -> DataFrame:
+    """All checks on ``df`` with one aggregation, or one for each set of keys where there are several.
+
+    Keys are counted first, with the other counts added up beside them; missing keys equal each other.
+    """
+    if not any(c.reads for c in checks):
+        return df.sparkSession.range(1).select(F.inline(F.array(*[e for c in checks for e in c.entries])))
+    key_sets = list(dict.fromkeys(c.keys for c in checks if c.keys))
+    parts = []
+    for keys in key_sets or [()]:
+        mine = [c for c in checks if c.keys == keys or (not c.keys and keys == (key_sets or [()])[0])]
+        counts = {"_rows": F.lit(1), **{n: F.when(cond, 1) for c in mine for n, cond in c.counts.items()}}
+        if keys:
+            by_key = df.groupBy(*keys).agg(*[F.count(c).alias(n) for n, c in counts.items()])
+            repeated = F.sum(F.when(F.col("_rows") > 1, F.col("_rows")))
+            sums = by_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts], F.coalesce(repeated, F.lit(0)).alias("_repeated"))
+        else:
+            sums = df.agg(*[F.count(c).alias(n) for n, c in counts.items()])
+        parts.append(sums.select(F.inline(F.array(*[e for c in mine for e in c.entries]))))
+    return _union(parts)
+
+
+def columns_check(df: DataFrame, required: Sequence[str], subset_ok: bool = False, label: str = "columns") -> Check:
+    return Check((_known(label, *check_columns(df, required, subset_ok)),), reads=False)
+
+
+def all_null(df: DataFrame, cols: Sequence[str] | None = None) -> Check:
     """Warn for each column without any value."""
     cols = [c for c in (cols or df.columns) if c in df.columns]
-    counts = df.agg(*[F.count(c).alias(c) for c in cols])
-    return _report(
-        counts,
-        [_entry(f"all_null:{c}", F.col(c) == 0, "warn", F.lit(f"no value in {c}")) for c in cols],
-    )
+    entries = [_entry(f"all_null:{c}", F.col(f"_some_{c}") == 0, "warn", F.lit(f"no value in {c}")) for c in cols]
+    return Check(tuple(entries), {f"_some_{c}": F.col(c).isNotNull() for c in cols})
 
 
-def check_row_count(df: DataFrame, n: int = 1) -> DataFrame:
+def row_count(n: int = 1) -> Check:
     """Fail below ``n`` rows."""
-    rows = df.agg(F.count(F.lit(1)).alias("n"))
-    issue = F.concat(F.col("n").cast("string"), F.lit(f" rows where at least {n} are expected"))
-    return _report(rows, [_entry("row_count", F.col("n") < n, "fail", issue)])
+    issue = F.concat(F.col("_rows").cast("string"), F.lit(f" rows where at least {n} are expected"))
+    return Check((_entry("row_count", F.col("_rows") < n, "fail", issue),))
 
 
-def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unique(df: DataFrame, keys: Sequence[str]) -> Check:
     """Warn about rows that share their key with another row (missing equals missing)."""
-    status, _ = check_columns(df, keys)
-    if status == "fail":
+    if check_columns(df, keys)[0] == "fail":
         issue = f"cannot compare keys, of which some are absent: {', '.join(keys)}"
-        return _static(df, [("unique_keys", "fail", issue)])
-    repeated = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(repeated), F.lit(0)).alias("n"))
-    issue = F.concat(F.col("n").cast("string"), F.lit(f" rows share their ({', '.join(keys)})"))
-    return _report(counts, [_entry("unique_keys", F.col("n") > 0, "warn", issue)])
+        return Check((_known("unique_keys", "fail", issue),), reads=False)
+    issue = F.concat(F.col("_repeated").cast("string"), F.lit(f" rows share their ({', '.join(keys)})"))
+    return Check((_entry("unique_keys", F.col("_repeated") > 0, "warn", issue),), keys=tuple(keys))
 
 
-def check_numeric(
-    df: DataFrame, cols: Sequence[str], non_negative: bool = True, finite: bool = True
-) -> DataFrame:
+def numeric(df: DataFrame, cols: Sequence[str], non_negative: bool = True, finite: bool = True) -> Check:
     """Warn about values that are missing, unreadable or infinite, about negative ones, and about absent columns."""
-    present = [c for c in cols if c in df.columns]
-    aggregates, entries = [], []
     floats = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
-    for c in present:
+    counts, entries = {}, []
+    for c in [c for c in cols if c in df.columns]:
         v = F.col(c) if c in floats else to_number(F.col(c))
         good = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-        aggregates += [
-            F.count(F.when(~F.coalesce(good, F.lit(False)), 1)).alias(f"_bad_{c}"),
-            F.count(F.when(v < 0, 1)).alias(f"_neg_{c}"),
-        ]
-        for on, name, text in (
-            (finite, "bad", "without a finite number"),
-            (non_negative, "neg", "below zero"),
-        ):
-            if on:
-                count = F.col(f"_{name}_{c}")
-                check = "finite" if name == "bad" else "non_negative"
-                issue = F.concat(F.lit(f"{c}: "), count.cast("string"), F.lit(f" {text}"))
-                entries.append(_entry(f"{check}:{c}", count > 0, "warn", issue))
-    absent = [(f"numeric:{c}", "warn", f"no column {c} to check") for c in cols if c not in df.columns]
-    parts = [_static(df, absent)] if absent else []
-    if entries:
-        parts.insert(0, _report(df.agg(*aggregates), entries))
-    report = parts[0]
-    return report.unionByName(parts[1]) if len(parts) > 1 else report
+        judged = []
+        if finite:
+            judged.append(("finite", f"_bad_{c}", ~F.coalesce(good, F.lit(False)), "without a finite number"))
+        if non_negative:
+            judged.append(("non_negative", f"_neg_{c}", v < 0, "below zero"))
+        for check, name, condition, text in judged:
+            counts[name] = condition
+            issue = F.concat(F.lit(f"{c}: "), F.col(name).cast("string"), F.lit(f" {text}"))
+            entries.append(_entry(f"{check}:{c}", F.col(name) > 0, "warn", issue))
+    absent = [_known(f"numeric:{c}", "warn", f"no column {c} to check") for c in cols if c not in df.columns]
+    return Check((*entries, *absent), counts, reads=bool(counts))
+
+
+def check_all_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    return run(df, all_null(df, cols))
+
+
+def check_row_count(df: DataFrame, n: int = 1) -> DataFrame:
+    return run(df, row_count(n))
+
+
+def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return run(df, unique(df, keys))
+
+
+def check_numeric(df: DataFrame, cols: Sequence[str], non_negative: bool = True, finite: bool = True) -> DataFrame:
+    return run(df, numeric(df, cols, non_negative, finite))
 
 
 # Columns and row minimums each stage must deliver.
@@ -145,21 +186,17 @@ def _union(reports: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _columns_report(df: DataFrame, stage: str, subset_ok: bool = False, label: str = "columns") -> DataFrame:
-    return _static(df, [(label, *check_columns(df, _STAGE_COLUMNS[stage], subset_ok))])
-
-
 def suite_preprocess(tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables["lines"]
-    columns = _columns_report(df, "preprocess")
-    if check_columns(df, _STAGE_COLUMNS["preprocess"])[0] == "fail":
-        return columns
-    return _union([columns, check_row_count(df, _MIN_ROWS["preprocess"]), check_unique(df, ["invoice_number", "cpt_code"])])
+    df, required = tables["lines"], _STAGE_COLUMNS["preprocess"]
+    columns = columns_check(df, required)
+    if check_columns(df, required)[0] == "fail":
+        return run(df, columns)
+    return run(df, columns, row_count(_MIN_ROWS["preprocess"]), unique(df, ["invoice_number", "cpt_code"]))
 
 
 def suite_enhance(tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables["lines"]
-    return _union([_columns_report(df, "enhance"), check_numeric(df, ["payment_amount", "expected_85em"])])
+    return run(df, columns_check(df, _STAGE_COLUMNS["enhance"]), numeric(df, ["payment_amount", "expected_85em"]))
 
 
 def suite_weekly(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -169,21 +206,22 @@ def suite_weekly(tables: Mapping[str, DataFrame]) -> DataFrame:
         if name not in tables:
             raise ValueError(f"The weekly checks need the {name} table")
         df = tables[name]
-        report = _columns_report(df, "weekly").unionByName(check_row_count(df, _MIN_ROWS["weekly"]))
+        report = run(df, columns_check(df, _STAGE_COLUMNS["weekly"]), row_count(_MIN_ROWS["weekly"]))
         softened = F.when(F.col("status") == "fail", "warn").otherwise(F.col("status"))
         reports.append(report.select(F.concat(F.lit(f"{name}:"), "check").alias("check"), softened.alias("status"), "issue"))
     return _union(reports)
 
 
 def suite_diag_base(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _columns_report(tables["diagnostics"], "diag_base", subset_ok=True)
+    df = tables["diagnostics"]
+    return run(df, columns_check(df, _STAGE_COLUMNS["diag_base"], subset_ok=True))
 
 
 def suite_ml_agg(tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables["scored"]
     found = any(all(f"{p}_{c}" in df.columns for c in _ML_COLUMNS) for p in _ML_FAMILIES)
-    issue = None if found else "No model columns of either kind"
-    return _columns_report(df, "ml_agg").unionByName(_static(df, [("ml_columns", "ok" if found else "warn", issue)]))
+    families = _known("ml_columns", "ok" if found else "warn", None if found else "No model columns of either kind")
+    return run(df, columns_check(df, _STAGE_COLUMNS["ml_agg"]), Check((families,), reads=False))
 
 
 def suite_narratives(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Recompute benchmarks from source lines and compare them with processed lines, in full and on a sample."""
+"""Recompute benchmarks from source lines and compare them with processed lines, in full and on a sample.
+
+The checks share one layer of invoice facts, so the source's lines are added up once for all of them.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 from remitlens.functions.numbers import is_close, sum0
 from remitlens.operators.joins import null_safe_join
-from remitlens.operators.keys import benchmark_avg, expected_rate, invoice_totals, mean_payment
+from remitlens.storage import stored
 
 INVOICE = ["benchmark_key", "invoice_number"]
 PASSTHROUGH = {
@@ -27,24 +30,42 @@ RECOMPUTED = {
 }
 
 
-def recompute_key(source: DataFrame) -> DataFrame:
-    """Per key: mean expected amount and payment per line, and mean invoice total.
+def invoice_facts(source: DataFrame) -> DataFrame:
+    """Sums and counts of each invoice within a key, in one pass: all that the checks recompute derives from them.
 
-    Lines are added up per invoice, then per key; sums and counts give the line means, so one pass is enough.
+    Worth storing where several checks run on the same lines; each takes the stored facts.
     """
-    per_invoice = source.groupBy(*INVOICE).agg(
+    return source.groupBy(*INVOICE).agg(
         sum0(F.col("payment_amount")).alias("total"),
         F.count("payment_amount").alias("n_payment"),
         F.sum("expected_85em").alias("expected"),
         F.count("expected_85em").alias("n_expected"),
     )
-    return per_invoice.groupBy("benchmark_key").agg(
-        F.try_divide(F.sum("expected"), F.sum("n_expected")).alias("expected_amount_85_em_recalc"),
+
+
+def fact_totals(facts: DataFrame) -> DataFrame:
+    """Total payment of each invoice within a key."""
+    return facts.select(*INVOICE, F.col("total").alias("invoice_total_payment"))
+
+
+def _mean_expected() -> Column:
+    return F.try_divide(F.sum("expected"), F.sum("n_expected"))
+
+
+def fact_means(facts: DataFrame) -> DataFrame:
+    """Per key: mean expected amount and payment per line, and mean invoice total."""
+    return facts.groupBy("benchmark_key").agg(
+        _mean_expected().alias("expected_amount_85_em_recalc"),
         F.try_divide(F.sum("total"), F.sum("n_payment")).alias("benchmark_payment_amount_recalc"),
         F.avg("total").alias("benchmark_avg_payment_recalc"),
     )
 
 
+def recompute_key(source: DataFrame) -> DataFrame:
+    """``fact_means`` of lines. Sums and counts of invoices give the line means, so one pass is enough."""
+    return fact_means(invoice_facts(source))
+
+
 def merge_recalc(*tables: DataFrame) -> DataFrame:
     """Per-key tables computed apart, side by side; a key of any of them is kept."""
     return reduce(lambda a, b: null_safe_join(a, b, ["benchmark_key"], "full"), tables)
@@ -63,9 +84,13 @@ def compare(processed: DataFrame, recalc: DataFrame, totals: DataFrame, rtol: fl
     return df.withColumns(out)
 
 
-def recompute_compare(source: DataFrame, processed: DataFrame) -> DataFrame:
-    """Processed lines with recomputed benchmarks, differences and match flags."""
-    return compare(processed, recompute_key(source), invoice_totals(source))
+def recompute_compare(source: DataFrame, processed: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Processed lines with recomputed benchmarks, differences and match flags.
+
+    ``facts`` are stored ones of ``source``; without them they are made and stored here, so its lines are read once.
+    """
+    facts = stored(invoice_facts(source), "invoice-facts") if facts is None else facts
+    return compare(processed, fact_means(facts), fact_totals(facts))
 
 
 def row_passthrough(source: DataFrame, processed: DataFrame, order: str = "row_id") -> DataFrame:
@@ -127,19 +152,21 @@ def check_rows(df: DataFrame, checks: Sequence[tuple[str, str, float]]) -> DataF
     return df.select(*INVOICE, F.inline(F.array(*entries)))
 
 
-def sample_validation(source: DataFrame, processed: DataFrame, n: int = 30, seed: int = 42) -> DataFrame:
+def sample_validation(source: DataFrame, processed: DataFrame, n: int = 30, seed: int = 42, facts: DataFrame | None = None) -> DataFrame:
     """Checks on the lines of sampled invoices.
 
-    Invoice totals and the expected rate are recomputed within the sample, the benchmark average from all lines.
+    Invoice totals and the expected rate are recomputed within the sample, the benchmark average from all lines. Sample and
+    recomputation read invoice facts (stored ones of ``source``, or made and stored here), not lines.
     """
-    invoices = sample_invoices(source, n, seed)
-    drawn = sample_rows(source, invoices)
-    totals = invoice_totals(drawn).withColumnRenamed("invoice_total_payment", "invoice_total_payment_recalc")
-    rates = expected_rate(drawn).withColumnRenamed("expected_amount_85_em_invoice_level", "expected_amount_85_em_recalc")
+    facts = stored(invoice_facts(source), "invoice-facts") if facts is None else facts
+    invoices = stored(sample_invoices(facts, n, seed), "sampled-invoices")
+    drawn = sample_rows(facts, invoices)
+    totals = drawn.select(*INVOICE, F.col("total").alias("invoice_total_payment_recalc"))
+    rates = drawn.groupBy("benchmark_key").agg(_mean_expected().alias("expected_amount_85_em_recalc"))
     # Only keys in the sample need a full-data average.
     keys = drawn.select("benchmark_key").distinct()
-    peers = null_safe_join(source, keys, ["benchmark_key"], "left_semi")
-    average = benchmark_avg(invoice_totals(peers)).withColumnRenamed("benchmark_avg_payment", "_key_average")
+    peers = null_safe_join(facts, keys, ["benchmark_key"], "left_semi")
+    average = peers.groupBy("benchmark_key").agg(F.avg("total").alias("_key_average"))
     again = null_safe_join(null_safe_join(totals, rates, ["benchmark_key"]), average, ["benchmark_key"])
     again = again.withColumn(
         "variance_against_benchmark_recalc", F.col("invoice_total_payment_recalc") - F.col("_key_average")
@@ -157,7 +184,8 @@ def check_summary(details: DataFrame) -> DataFrame:
     )
 
 
-def with_key_columns(keyed: DataFrame) -> DataFrame:
-    """Processed form of keyed lines: per-key means on every line."""
-    means = merge_recalc(expected_rate(keyed), mean_payment(keyed))
-    return null_safe_join(keyed, means, ["benchmark_key"])
+def with_key_columns(keyed: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Processed form of keyed lines: per-key means on every line, from the lines' invoice facts."""
+    means = fact_means(invoice_facts(keyed) if facts is None else facts)
+    names = {"expected_amount_85_em_recalc": "expected_amount_85_em_invoice_level", "benchmark_payment_amount_recalc": "benchmark_payment_amount"}
+    return null_safe_join(keyed, means.select("benchmark_key", *names).withColumnsRenamed(names), ["benchmark_key"])

@@ -2,7 +2,8 @@
 
 One pass serves them all. Lines are first added up per (week, group, invoice), which shrinks them before the join
 with the code sets and makes a visit (distinct invoice) a plain count; then per (week, group, key). Sums and counts
-travel together, so means at any coarser grain are exact.
+travel together, so means at any coarser grain are exact. The tables per key and per group are roll-ups of that one
+(``key_weeks``), which is worth storing where both are wanted.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from remitlens.functions.numbers import div_or_null, is_true, sum0
 from remitlens.functions.text import cpt_count
 from remitlens.operators.joins import null_safe_join
 from remitlens.operators.keys import benchmark_keys, cpt_sets
+from remitlens.storage import stored
 
 # Measures carried as a sum and a count, by rollup name.
 _RATIOS = {**MEAN_MEASURES, "expected": "expected_85em"}
@@ -36,7 +38,7 @@ def invoice_weeks(lines: DataFrame) -> DataFrame:
     return benchmark_keys(null_safe_join(facts.drop("cpt_count"), cpt_sets(lines), ["invoice_number"])).withColumn("cpt_count", F.size("cpt_list"))
 
 
-def _key_weeks(lines: DataFrame) -> DataFrame:
+def key_weeks(lines: DataFrame) -> DataFrame:
     """Per (week, group, key): visits, sums and counts, and the historical rates of the key on every row.
 
     A key determines its group, so a key's rows here are its weeks; the window over a key is bounded by the calendar.
@@ -69,9 +71,9 @@ def _means() -> dict:
 _KEY_RATES = ["expected_amount_85_em_invoice_level", "benchmark_invoice_count", "benchmark_payment_rate_per_visit"]
 
 
-def granular_base(lines: DataFrame) -> DataFrame:
+def granular_base(weeks: DataFrame) -> DataFrame:
     """Weekly rows per key with their measures, the key's historical rates and number of procedure codes."""
-    return _key_weeks(lines).withColumns(_means()).select(*KEY_KEYS, *WEEKLY_MEASURES, *_KEY_RATES, "cpt_count")
+    return weeks.withColumns(_means()).select(*KEY_KEYS, *WEEKLY_MEASURES, *_KEY_RATES, "cpt_count")
 
 
 def attach_key_benchmarks(weekly: DataFrame, *benchmarks: DataFrame) -> DataFrame:
@@ -105,7 +107,12 @@ def granular_metrics(weekly: DataFrame) -> DataFrame:
 
 def weekly_granular(lines: DataFrame) -> DataFrame:
     """Weekly table per key, with derived metrics."""
-    return granular_metrics(granular_base(lines))
+    return granular_of(key_weeks(lines))
+
+
+def granular_of(weeks: DataFrame) -> DataFrame:
+    """``weekly_granular`` from key weeks."""
+    return granular_metrics(granular_base(weeks))
 
 
 def weighting_diff(df: DataFrame, materiality: float = DEFAULT_THRESHOLDS.weighting_materiality_pct) -> DataFrame:
@@ -151,9 +158,14 @@ def weekly_granular_diag(
     """Weekly table per key with group diagnostics.
 
     An invoice has one code set, so within a group it has one key, and the group's distinct invoices are the sum of
-    its keys' visits.
+    its keys' visits. The key weeks are stored, as their rows and their groups' sums meet again.
     """
-    granular = weekly_granular(lines)
+    return granular_diag_of(stored(key_weeks(lines), "key-weeks"), materiality)
+
+
+def granular_diag_of(weeks: DataFrame, materiality: float = DEFAULT_THRESHOLDS.weighting_materiality_pct) -> DataFrame:
+    """``weekly_granular_diag`` from key weeks."""
+    granular = granular_of(weeks)
     groups = group_weighting(granular, materiality)
     groups = groups.withColumn("group_benchmark_invoice_count", F.col("group_total_visits"))
     return null_safe_join(granular, groups, GROUP_KEYS)
@@ -166,18 +178,19 @@ def weekly_aggregated(lines: DataFrame) -> DataFrame:
     group's keys; the expected rate is the mean over lines. No table of this grain is written by the scripts this
     models, so its definition follows what the later steps read.
     """
+    return aggregated_of(key_weeks(lines))
+
+
+def aggregated_of(weeks: DataFrame) -> DataFrame:
+    """``weekly_aggregated`` from key weeks."""
     visits = F.col("visit_count")
-    groups = (
-        _key_weeks(lines)
-        .groupBy(*GROUP_KEYS)
-        .agg(
-            F.sum(visits).alias("visit_count"),
-            F.sum("group_size").alias("group_size"),
-            *[F.sum(c).alias(c) for c in SUM_MEASURES],
-            *[F.sum(f"_{part}_{name}").alias(f"_{part}_{name}") for name in _RATIOS for part in ("sum", "n")],
-            F.sum(F.col("expected_amount_85_em_invoice_level") * visits).alias("expected_payment"),
-            F.sum(F.col("benchmark_payment_rate_per_visit") * visits).alias("benchmark_payment"),
-        )
+    groups = weeks.groupBy(*GROUP_KEYS).agg(
+        F.sum(visits).alias("visit_count"),
+        F.sum("group_size").alias("group_size"),
+        *[F.sum(c).alias(c) for c in SUM_MEASURES],
+        *[F.sum(f"_{part}_{name}").alias(f"_{part}_{name}") for name in _RATIOS for part in ("sum", "n")],
+        F.sum(F.col("expected_amount_85_em_invoice_level") * visits).alias("expected_payment"),
+        F.sum(F.col("benchmark_payment_rate_per_visit") * visits).alias("benchmark_payment"),
     )
     rate = div_or_null(F.col("_sum_expected"), F.col("_n_expected"))
     groups = groups.withColumns({**_means(), "expected_amount_85_em_invoice_level": rate})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from remitlens.contracts import DEFAULT_THRESHOLDS, Thresholds
+from remitlens.contracts import DEFAULT_THRESHOLDS, TIME, Thresholds
 from remitlens.operators import clean, diagnostics, drivers, enhance, ml, narratives, weekly
 from remitlens.sources.columns import complete_lines
 from remitlens.storage import stored
@@ -19,26 +19,34 @@ def full_model(
 ) -> dict[str, DataFrame]:
     """Every table of the full model from cleaned invoice lines.
 
-    The weekly tables are far smaller than the lines and feed all later steps, so they are stored once; what remains is
-    lazy. ``fit`` (for instance ``ml.fit_boosted``) adds model scores.
+    The lines are added up to key weeks once; the weekly tables are roll-ups of these. They are far smaller than the lines
+    and feed all later steps, so they are stored; what remains is lazy. ``fit`` (for instance ``ml.fit_boosted``) adds
+    model scores.
     """
     lines = complete_lines(clean.drop_total_rows(lines))
-    granular = stored(weekly.weekly_granular(lines), "weekly_granular")
-    groups = stored(weekly.weekly_aggregated(lines), "weekly_aggregated")
+    weeks = stored(weekly.key_weeks(lines), "key_weeks")
+    granular = stored(weekly.granular_of(weeks), "weekly_granular")
+    groups = stored(weekly.aggregated_of(weeks), "weekly_aggregated")
     base = diagnostics.diagnostics_base(groups, thresholds, fallback=False)
     if fit is not None:
         base = ml.score(base, fit)
     base = stored(base, "diagnostics_base")
+    underpaid = drivers.underpayment_summary(weekly.weekly_by_key_variance(granular))
+    by_cpt = drivers.cpt_drivers(weekly.weekly_by_cpt(lines))
     return {
         "enhanced_lines": enhance.enhance(lines),
         "weekly_granular": granular,
         "weekly_aggregated": groups,
         "diagnostics_base": base,
-        "underpayment_summary": drivers.underpayment_summary(weekly.weekly_by_key_variance(granular)),
+        "weekly_granular_diag": weekly.granular_diag_of(weeks),
+        "underpayment_summary": underpaid,
+        "top5_underpaid": drivers.top_underpaid(underpaid, "85em"),
+        "top5_underpaid_benchmark": drivers.top_underpaid(underpaid, "benchmark"),
         "drivers_payer": drivers.drivers_payer(groups),
         "drivers_key": drivers.drivers_key(granular),
-        "drivers_time": drivers.drivers_time(groups),
-        "cpt_rate_drivers": drivers.cpt_drivers(weekly.weekly_by_cpt(lines)),
+        "drivers_time": drivers.by_time(drivers.drivers_time(groups), TIME),
+        "cpt_rate_drivers": by_cpt,
+        "top5_cpt": drivers.top_cpt(by_cpt),
         "narratives": narratives.narratives(base, thresholds),
     }
 

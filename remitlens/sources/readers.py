@@ -7,7 +7,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -55,6 +55,25 @@ def load(spark: SparkSession, path: str, schema: StructType | str | None = None,
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+#: Folder of the commit records of deliveries, and their columns.
+COMMITS = "commits"
+COMMIT = "number bigint, version string, tables array<string>"
+
+
+def commits(spark: SparkSession, folder: str) -> list[Row]:
+    """Commit records of deliveries in a folder, one for each complete one (number, version, tables)."""
+    path = f"{folder.rstrip('/')}/{COMMITS}/*"
+    return [] if _files(spark, path) is None else spark.read.schema(COMMIT).json(path).collect()
+
+
+def published(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
+    """A table of the newest complete delivery that ``publish`` made; ``FileNotFoundError`` if there is none."""
+    newest = max(commits(spark, folder), key=lambda r: (r["number"], r["version"]), default=None)
+    if newest is None or name not in newest["tables"]:
+        raise FileNotFoundError(f"No delivery of {name} in {folder}")
+    return read_csv(spark, f"{folder.rstrip('/')}/{newest['version']}/{name}", schema)
+
+
 def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
     """The first path (or glob) that is present; ``FileNotFoundError`` when none is."""
     for path in paths:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from remitlens.functions.text import list_repr
 from remitlens.operators.clean import split_required
+from remitlens.sources.columns import present
+from remitlens.sources.readers import COMMIT, COMMITS, commits
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -40,6 +43,25 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, compression: str
         write_csv(df, f"{folder.rstrip('/')}/{name}", compression)
 
 
+def publish(tables: Mapping[str, DataFrame], folder: str, compression: str | None = None, display: bool = True) -> str:
+    """Several tables delivered at once: readers see all of them, or those of the delivery before.
+
+    Tables are written as CSV to a folder of their own, in delivery form unless ``display`` is off. The last step writes
+    the delivery's commit record, a JSON table of one file that Spark's committer makes visible as a whole; ``published``
+    follows the newest record only. A writer that dies between tables leaves a folder that nothing points to. Returns the
+    name of the delivery.
+    """
+    some = next(iter(tables.values()))
+    root = folder.rstrip("/")
+    number = max((r["number"] for r in commits(some.sparkSession, root)), default=0) + 1
+    version = f"{number:09d}-{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        write_csv(present(df) if display else df, f"{root}/{version}/{name}", compression)
+    record = some.sparkSession.createDataFrame([(number, version, sorted(tables))], COMMIT).coalesce(1)
+    record.write.mode("errorifexists").json(f"{root}/{COMMITS}/{version}")
+    return version
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Records such as run summaries and model metrics."""
     df.write.mode("overwrite").json(path)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from remitlens.contracts import BASELINE_METRICS, DIMS, GROUP_KEYS, HEADER_FIELDS, KEY_KEYS, MEAN_MEASURES, ML_NUMERIC, SUM_MEASURES, TIME
+from remitlens.contracts import BASELINE_METRICS, DIMS, DISPLAY_NAMES, GROUP_KEYS, HEADER_FIELDS, KEY_KEYS, MEAN_MEASURES, ML_NUMERIC, PERCENT_COLUMNS, SUM_MEASURES, TIME
 from remitlens.functions import numbers, text
 from remitlens.operators import (
     clean,
@@ -33,7 +33,7 @@ from remitlens.operators import (
 from remitlens.operators.joins import null_safe_join
 from remitlens.sources import columns, readers
 from remitlens.sources.claims_adapter import invoice_lines, raw_report
-from remitlens.sources.sinks import write_parquet
+from remitlens.sources.sinks import publish, write_parquet
 from remitlens.storage import shared_folder, stored
 from remitlens.verification import sql as q
 
@@ -450,6 +450,30 @@ def nrv_passthrough(spark, folder):
     return table.select("invoice_number", "invoice_payment_diff_vs_benchmark_invoice_level", *_NRV.split())
 
 
+_POSITIVE = "sp_positive_balance insurance_positive_balance"
+_ENHANCED = f"payment_amount {_AGAINST} revenue_variance_85em_dollar revenue_variance_85em_pct overpayment_dollar underpayment_pct {_POSITIVE} invoice_payment_diff_vs_benchmark_invoice_level"
+
+
+@query(
+    "enhanced_lines",
+    f"""SELECT invoice_number, cpt_code, benchmark_key, {", ".join(_AGAINST.split())}, {_VAR85}, payment_amount,
+  CASE WHEN payment_amount > expected_85em THEN payment_amount - expected_85em ELSE 0.0 END AS overpayment_dollar,
+  {q.div0("CASE WHEN payment_amount < expected_85em THEN expected_85em - payment_amount ELSE 0.0 END", "expected_85em")} AS underpayment_pct,
+  coalesce(open_invoice_count = 0 AND zero_balance_collection_rate < collection_rate, false) AS open_invoice_anomaly_flag,
+  greatest(coalesce(sp_balance, 0), 0) AS sp_positive_balance, greatest(coalesce(insurance_balance, 0), 0) AS insurance_positive_balance,
+  payment_amount - benchmark_payment_invoice_level AS invoice_payment_diff_vs_benchmark_invoice_level
+FROM keyed JOIN (SELECT benchmark_key, invoice_number, invoice_total_payment, benchmark_avg_payment,
+    invoice_total_payment - benchmark_avg_payment AS revenue_variance_benchmark_dollar,
+    {q.div0("invoice_total_payment - benchmark_avg_payment", "benchmark_avg_payment")} AS revenue_variance_benchmark_pct
+  FROM totals JOIN averages USING (benchmark_key)) USING (benchmark_key, invoice_number)""",
+    "keyed totals averages",
+    _ENHANCED,
+)
+def enhanced_lines(spark, folder):
+    lines = invoice_lines(spark, folder).withColumn("Revenue_Variance_$", F.lit(0.0))  # of an earlier version, to be dropped
+    return enhance.enhance(lines).select("invoice_number", "cpt_code", "benchmark_key", *_ENHANCED.split(), "open_invoice_anomaly_flag")
+
+
 # --- Weekly tables ------------------------------------------------------------------------------------------------------
 @query("granular_metrics", f"SELECT {q.KEYS}, {', '.join(q.GRANULAR_METRICS.split())} FROM granular", "granular", q.GRANULAR_METRICS)
 def granular_metrics(spark, folder):
@@ -524,6 +548,31 @@ def format_percent(spark, folder):
     return _weekly(spark, folder).select(*GROUP_KEYS, *[text.percent_text(F.col(c)).alias(c) for c in _PERCENTS])
 
 
+def _shown(c: str) -> str:
+    """A weekly column as it is delivered: percent texts and display names."""
+    value = f"coalesce(CAST(CAST(round_even({c} * 100, 0) AS BIGINT) AS VARCHAR), '<NA>') || '%'" if c in PERCENT_COLUMNS else c
+    return f'{value} AS "{DISPLAY_NAMES.get(c, c)}"'
+
+
+_DELIVERED = [*GROUP_KEYS, "visit_count", "payment_amount", "collection_rate", "denial_percent", "expected_payment", "revenue_variance_pct"]
+
+
+@query(
+    "delivered_weekly",
+    f"SELECT {', '.join(_shown(c) for c in _DELIVERED)} FROM weekly",
+    "weekly",
+    f"{DISPLAY_NAMES['payment_amount']} {DISPLAY_NAMES['expected_payment']}",
+)
+def delivered_weekly(spark, folder):
+    """The weekly table as readers of the delivery folder get it, beside another table of the same delivery."""
+    at = f"{shared_folder(spark)}/delivery-{uuid.uuid4().hex}"
+    table = stored(_weekly(spark, folder), "weekly").select(*_DELIVERED)
+    publish({"weekly_aggregated": table, "by_payer": table.groupBy("payer").count()}, at, compression="gzip")
+    texts = readers.published(spark, at, "weekly_aggregated")
+    kinds = {DISPLAY_NAMES.get(f.name, f.name): f.dataType for f in table.schema if f.name not in PERCENT_COLUMNS}
+    return texts.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})
+
+
 # --- Diagnostics ----------------------------------------------------------------------------------------------------------
 @query(
     "expected_fallback",
@@ -606,7 +655,7 @@ def drivers_key(spark, folder):
 
 @query("drivers_time", f"SELECT year, week, {q.SHORT_SUMS} FROM short_weekly GROUP BY year, week", "short_weekly", q.SHORT_DOUBLES, 4)
 def drivers_time(spark, folder):
-    return drivers.drivers_time(_weekly(spark, folder))
+    return drivers.by_time(drivers.drivers_time(_weekly(spark, folder)), TIME)
 
 
 _UNDER = (
@@ -754,7 +803,7 @@ def _diagnostics(spark, folder):
 
 @query("narrative_top6", "SELECT year, week, side, CAST(rank AS INTEGER) AS rank, text FROM top_sentences", "top_sentences")
 def narrative_top6(spark, folder):
-    return narratives.top_sentences(narratives.metric_sentences(diagnostics_base(spark, folder)))
+    return narratives.top_sentences(narratives.metric_changes(_diagnostics(spark, folder)))
 
 
 @query("revenue_cycle_narrative", "SELECT * FROM revenue_cycle", "revenue_cycle")
@@ -929,9 +978,10 @@ def latest_window(spark, folder):
 # --- Validation ---------------------------------------------------------------------------------------------------------------
 def _processed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Keyed lines, and their processed form with some wrong values so that the checks have something to find."""
-    source = keys.keyed_lines(invoice_lines(spark, folder, row_id=True))
-    totals = keys.invoice_totals(source)
-    table = enhance.attach_benchmark(validation.with_key_columns(source), totals, keys.benchmark_avg(totals))
+    source = stored(keys.keyed_lines(invoice_lines(spark, folder, row_id=True)), "keyed-lines")
+    facts = stored(validation.invoice_facts(source), "invoice-facts")
+    totals = validation.fact_totals(facts)
+    table = enhance.attach_benchmark(validation.with_key_columns(source, facts), totals, keys.benchmark_avg(totals))
     total, average, row = F.col("invoice_total_payment"), F.col("benchmark_avg_payment"), F.col("row_id")
     table = enhance.nrv_passthrough(table).withColumn("revenue_variance_benchmark_dollar", total - average)
     rate, gap = "expected_amount_85_em_invoice_level", "nrv_gap_dollar_invoice_level"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitlens.contracts import GROUP_KEYS
-from remitlens.operators import keys, ml, narratives, weekly
+from remitlens.operators import diagnostics, keys, ml, narratives, weekly
 from remitlens.plans.compact_model import compact_model
 from remitlens.plans.full_model import from_report, full_model
 from remitlens.sources.claims_adapter import invoice_lines, raw_report
@@ -84,8 +84,13 @@ def test_scans_read_only_what_a_query_needs(spark, tables):
 
 
 def test_rank_is_limited_before_the_shuffle(spark, tables):
-    plan = physical(narratives.top_sentences(narratives.metric_sentences(stored(QUERIES["diagnostics_base"](spark, tables), "t"))))
+    plan = physical(narratives.top_sentences(narratives.metric_changes(stored(QUERIES["diagnostics_base"](spark, tables), "t"))))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+    # Sentences are put into words above the join with the leading subjects only.
+    lines = plan.splitlines()
+    worded = [i for i, line in enumerate(lines) if "format_string" in line]
+    joins = [i for i, line in enumerate(lines) if "Join" in line]
+    assert worded and joins and max(worded) <= min(joins)
 
 
 def test_hot_invoice_is_split_across_tasks(spark, conf):
@@ -109,6 +114,19 @@ def test_hot_invoice_is_split_across_tasks(spark, conf):
     assert facts <= lines.select(*GROUP_KEYS).distinct().count()
 
 
+def test_weekly_tables_are_roll_ups_of_stored_key_weeks(spark, tables):
+    """Once key weeks are stored no line is read again, and the diagnostics read the weekly table once."""
+    weeks = stored(weekly.key_weeks(invoice_lines(spark, tables)), "weeks")
+    groups = weekly.aggregated_of(weeks)
+    for df, reads in ((groups, 1), (weekly.granular_of(weeks), 1), (diagnostics.diagnostics_base(groups, fallback=False), 1), (weekly.granular_diag_of(weeks), 2)):
+        plan = physical(df)
+        assert plan.count("FileScan") == reads and "l_orderkey" not in plan
+    apart = diagnostics.attach_baselines(groups, weekly.baselines(groups, ["payment_amount", "collection_rate"]))
+    names = ["payment_amount_avg", "collection_rate_avg"]
+    got, want = ({tuple(r[c] for c in GROUP_KEYS): [r[n] for n in names] for r in df.collect()} for df in (diagnostics.diagnostics_base(groups, fallback=False), apart))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+
+
 def test_stored_tables_are_read_back_with_pruned_columns(spark):
     table = stored(spark.range(10).select("id", (F.col("id") * 2).alias("x")), "t")
     assert table.count() == 10

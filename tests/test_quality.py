@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from remitlens.operators import enhance, keys, quality, validation
+from remitlens.storage import stored
 from tests.samples import random_lines, to_spark
 
 
@@ -12,7 +15,7 @@ def report(df):
 def test_columns(spark):
     df = spark.createDataFrame([(1, 2)], ["a", "b"])
     assert quality.check_columns(df, ["a", "b"]) == ("ok", None)
-    assert quality.check_columns(df, ["a", "c"]) == ("fail", "Missing required columns: c")
+    assert quality.check_columns(df, ["a", "c"]) == ("fail", "columns that have to be there are absent: c")
     assert quality.check_columns(df, ["a", "c"], subset_ok=True)[0] == "warn"
     assert quality.check_columns(df, ["c"], subset_ok=True)[0] == "fail"
     with pytest.raises(ValueError, match="c"):
@@ -40,7 +43,7 @@ def test_stages(spark):
     lines = to_spark(spark, random_lines(50))
     assert {r.stage for r in quality.run_checkpoint("preprocess", {"lines": lines}).collect()} == {"preprocess"}
     assert report(quality.run_checkpoint("preprocess", {"lines": lines.limit(3)}))["row_count"][0] == "fail"
-    assert report(quality.run_checkpoint("preprocess", {"lines": lines.drop("payer")})) == {"columns": ("fail", "Missing required columns: payer")}
+    assert report(quality.run_checkpoint("preprocess", {"lines": lines.drop("payer")})) == {"columns": ("fail", "columns that have to be there are absent: payer")}
     assert report(quality.run_checkpoint("weekly", {"granular": lines, "aggregated": lines.limit(1)}))["aggregated:row_count"][0] == "warn"
     assert report(quality.run_checkpoint("nope", {"x": lines})) == {"stage": ("fail", "Unknown stage: nope")}
     assert report(quality.run_checkpoint("ml_agg", {"scored": lines}))["ml_columns"][0] == "warn"
@@ -49,6 +52,38 @@ def test_stages(spark):
         quality.run_checkpoint("weekly", {"granular": lines})
 
 
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_suites_read_each_table_once(spark):
+    lines = stored(keys.keyed_lines(to_spark(spark, random_lines(200))), "checked")
+    assert scans(quality.run_checkpoint("preprocess", {"lines": lines})) == 1
+    assert scans(quality.run_checkpoint("enhance", {"lines": lines})) == 1
+    assert scans(quality.run_checkpoint("weekly", {"granular": lines, "aggregated": lines})) == 2
+    assert scans(quality.run_checkpoint("ml_agg", {"scored": lines})) == 0
+    every = quality.run(lines, quality.row_count(10), quality.unique(lines, ["invoice_number"]), quality.numeric(lines, ["payment_amount"]), quality.all_null(lines, ["payer"]))
+    assert scans(every) == 1
+    apart = [quality.check_row_count(lines, 10), quality.check_unique(lines, ["invoice_number"]), quality.check_numeric(lines, ["payment_amount"]), quality.check_all_null(lines, ["payer"])]
+    assert report(every) == {k: v for df in apart for k, v in report(df).items()}
+    two = quality.run(lines, quality.unique(lines, ["invoice_number"]), quality.unique(lines, ["cpt_code"]), quality.row_count(10))
+    assert two.count() == 3
+
+
+def test_checks_read_invoice_facts(spark, monkeypatch):
+    """Comparison and sample read the source's lines once, the processed lines once."""
+    source = stored(keys.keyed_lines(to_spark(spark, random_lines(300, seed=4))), "source")
+    facts = stored(validation.invoice_facts(source), "facts")
+    totals = validation.fact_totals(facts)
+    table = stored(enhance.attach_benchmark(validation.with_key_columns(source, facts), totals, keys.benchmark_avg(totals)), "processed")
+    plan = validation.recompute_compare(source, table, facts)._jdf.queryExecution().executedPlan().toString()
+    folders = [f.split("/")[-1].split("-")[0] for f in re.findall(r"InMemoryFileIndex\([^)]*\)\[([^\],]*)", plan)]
+    assert folders.count("processed") == 1 and folders.count("source") == 0
+    plan = validation.sample_validation(source, table.withColumn("revenue_variance_benchmark_dollar", F.lit(0.0)), 5, 1, facts)._jdf.queryExecution().executedPlan().toString()
+    folders = [f.split("/")[-1].split("-")[0] for f in re.findall(r"InMemoryFileIndex\([^)]*\)\[([^\],]*)", plan)]
+    assert folders.count("processed") == 1 and folders.count("source") == 0
+
+
 @pytest.fixture(scope="module")
 def processed(spark):
     source = keys.keyed_lines(to_spark(spark, random_lines(400, seed=4))).cache()

@@ -165,6 +165,27 @@ def test_deliverables(spark, tmp_path):
     assert readers.read_csv(spark, str(tmp_path / "bad")).count() == 1
 
 
+def test_deliveries_are_seen_whole(spark, tmp_path):
+    """A writer that dies between tables, or before its commit record, changes nothing for readers."""
+    folder = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        readers.published(spark, folder, "one")
+    first = spark.createDataFrame([(0.25, "a")], "collection_rate double, payer string")
+    sinks.publish({"one": first, "two": first}, folder, compression="gzip")
+    broken = first.select(F.raise_error(F.lit("the writer dies")).cast("double").alias("collection_rate"), "payer")
+    with pytest.raises(Exception, match="the writer dies"):
+        sinks.publish({"one": first.withColumn("payer", F.lit("b")), "two": broken}, folder)
+    (tmp_path / "out" / "commits" / "000000009-dead" / "_temporary").mkdir(parents=True)
+    for name in ("one", "two"):
+        got = readers.published(spark, folder, name)
+        assert got.columns == ["Collection_Rate", "Payer"] and [tuple(r) for r in got.collect()] == [("25%", "a")]
+    sinks.publish({"one": first.withColumn("payer", F.lit("c"))}, folder, display=False)
+    assert [tuple(r) for r in readers.published(spark, folder, "one", "collection_rate double, payer string").collect()] == [(0.25, "c")]
+    assert [r["number"] for r in sorted(readers.commits(spark, folder))] == [1, 2]
+    with pytest.raises(FileNotFoundError):
+        readers.published(spark, folder, "two")
+
+
 def test_orphan_lines_stay(spark, tables, tmp_path):
     for name in ("orders", "customer", "part"):
         spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
