@@ -30,7 +30,7 @@ taken in overlapping pieces; only doc_id and text are read, other columns are ig
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -291,17 +291,16 @@ def often_places(texts: DataFrame, often: np.ndarray) -> DataFrame:
     return texts.select("text_id", "text").mapInArrow(find, "text_id long, often boolean, places array<long>").dropDuplicates(["text_id"])
 
 
-def _added_up(rows: DataFrame, n_blocks: int, kinds: dict[str, type], name: str) -> DataFrame:
-    """(text_id, and ``kinds`` as bytes): members whose key occurs twice or more, a row for each text and block.
+def _added_up(rows: DataFrame, n_blocks: int, kinds: dict[str, type], name: str, schema: str, finished: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """(text_id, and what ``finished`` makes of the kinds as bytes): members whose key occurs twice or more, a row for each text and block.
 
-    ``rows`` come from ``_members``. Known members are ready; representatives meet those of other tasks.
+    ``rows`` come from ``_Members``. Known members are ready; representatives meet those of other tasks.
     """
     sent = stored(rows, name)
     every = {"key": np.uint64, "text_id": np.int64, **kinds, "known": np.uint8}
-    schema = "text_id long, " + ", ".join(f"{c} binary" for c in kinds)
 
     def unpacked(c: dict[str, np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
-        return _dealt(c["text_id"][keep], {k: c[k][keep] for k in kinds}).rename_columns(["text_id", *kinds])
+        return finished(_dealt(c["text_id"][keep], {k: c[k][keep] for k in kinds}).rename_columns(["text_id", *kinds]))
 
     def ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -382,7 +381,8 @@ def often_segments(anchored: DataFrame, n_blocks: int) -> DataFrame:
                         yield from members.add(key, np.full(len(p), names[row]), p, a[some], b[some])
         yield from members.sent()
 
-    return _added_up(anchored.select("text_id", "text", "places").mapInArrow(send, _Members.schema(_SEGMENTS)), n_blocks, _SEGMENTS, "segments")
+    sent = anchored.select("text_id", "text", "places").mapInArrow(send, _Members.schema(_SEGMENTS))
+    return _added_up(sent, n_blocks, _SEGMENTS, "segments", "text_id long, " + ", ".join(f"{c} binary" for c in _SEGMENTS), lambda batch: batch)
 
 
 _STARTS = {"start": np.uint32}
@@ -408,18 +408,16 @@ def often_spans(marked: DataFrame, n_blocks: int) -> DataFrame:
                     yield from members.add(key, np.full(len(p), name), p - s)
         yield from members.sent()
 
-    found = _added_up(marked.select("text_id", "text", *_SEGMENTS).mapInArrow(send, _Members.schema(_STARTS)), n_blocks, _STARTS, "strings")
+    def ended(batch: pa.RecordBatch) -> pa.RecordBatch:
+        starts, ends = [], []
+        for packed in batch.column("start").to_pylist():
+            a, b = merged(np.frombuffer(packed, np.uint32).astype(np.int64))
+            starts.append(a.astype(np.uint32).tobytes())
+            ends.append(b.astype(np.uint32).tobytes())
+        return pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())], names=["text_id", "start", "end"])
 
-    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            starts, ends = [], []
-            for packed in batch.column("start").to_pylist():
-                a, b = merged(np.frombuffer(packed, np.uint32).astype(np.int64))
-                starts.append(a.astype(np.uint32).tobytes())
-                ends.append(b.astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())], names=["text_id", "start", "end"])
-
-    return found.mapInArrow(ended, _SPANS)
+    sent = marked.select("text_id", "text", *_SEGMENTS).mapInArrow(send, _Members.schema(_STARTS))
+    return _added_up(sent, n_blocks, _STARTS, "strings", _SPANS, ended)
 
 
 _SPANS = "text_id long, start binary, end binary"
