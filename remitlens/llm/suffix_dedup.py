@@ -324,8 +324,8 @@ def _added_up(rows: DataFrame, n_blocks: int, kinds: dict[str, type], name: str,
 class _Members:
     """Members of intervals in one task, added up: equal ones are known to repeat, and one of them goes on."""
 
-    def __init__(self, kinds: dict[str, type], n_blocks: int):
-        self.kinds, self.n_blocks = {"key": np.uint64, "text_id": np.int64, **kinds}, n_blocks
+    def __init__(self, kinds: dict[str, type], n_blocks: int, needed: Callable[[dict[str, np.ndarray]], np.ndarray] | None = None):
+        self.kinds, self.n_blocks, self.needed = {"key": np.uint64, "text_id": np.int64, **kinds}, n_blocks, needed
         self.parts: list[tuple] = []
         self.size = 0
 
@@ -342,8 +342,12 @@ class _Members:
         self.parts, self.size = [], 0
         _, first, where, n = np.unique(c["key"], return_index=True, return_inverse=True, return_counts=True)
         c["known"] = (n > 1)[where].astype(np.uint8)
-        if c["known"].any():
-            yield _dealt(np.full(int(c["known"].sum()), -1), {k: v[c["known"] > 0] for k, v in c.items()})
+        known = {k: v[c["known"] > 0] for k, v in c.items()}
+        if len(known["key"]):
+            if self.needed:
+                keep = self.needed(known)
+                known = {k: v[keep] for k, v in known.items()}
+            yield _dealt(np.full(len(known["key"]), -1), known)
         yield _dealt((c["key"][first] % np.uint64(self.n_blocks)).astype(np.int64), {k: v[first] for k, v in c.items()})
 
     @staticmethod
@@ -388,11 +392,21 @@ def often_segments(anchored: DataFrame, n_blocks: int) -> DataFrame:
 _STARTS = {"start": np.uint32}
 
 
+def covering(strings: dict[str, np.ndarray]) -> np.ndarray:
+    """Which strings of (text_id, start) are enough to cover the bytes of all: of a chain of neighbouring starts the first, the
+    last, and every one a length further on."""
+    order = np.lexsort((strings["start"], strings["text_id"]))
+    text_id, start = strings["text_id"][order], strings["start"][order].astype(np.int64)
+    first = np.r_[True, (text_id[1:] != text_id[:-1]) | (start[1:] > start[:-1] + 1)]
+    begin = start[np.maximum.accumulate(np.where(first, np.arange(len(start)), 0))]
+    return order[first | np.r_[first[1:], True] | ((start - begin) % LENGTH == 0)]
+
+
 def often_spans(marked: DataFrame, n_blocks: int) -> DataFrame:
     """(text_id, start, end) of repeats around often grams, packed; ``marked`` has (text_id, text, place, low, high), each text once."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members = _Members(_STARTS, n_blocks)
+        members = _Members(_STARTS, n_blocks, covering)
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
             columns = (batch.column(c).to_pylist() for c in ("text_id", *_SEGMENTS))
