@@ -130,20 +130,23 @@ def _offsets(rows: DataFrame, headers: bool) -> DataFrame:
     return joined.select("_file", "_block", "_first", "_in_file", before.alias("_before"))
 
 
-def _numbered(rows: DataFrame, name: str, headers: bool) -> DataFrame:
+def _beside(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``rows`` with the offsets of their byte range."""
+    small = offsets.count() <= BROADCAST_RANGES
+    return rows.join(F.broadcast(offsets) if small else offsets, ["_file", "_block"])
+
+
+def _numbered(rows: DataFrame, offsets: DataFrame, name: str, headers: bool) -> DataFrame:
     """``rows`` with their positions, without headers and helper columns."""
-    offsets = stored(_offsets(rows, headers), "row-offsets")
-    if offsets.count() <= BROADCAST_RANGES:
-        offsets = F.broadcast(offsets)
-    placed = rows.join(offsets, ["_file", "_block"])
+    placed = _beside(rows, offsets)
     if headers:
         placed = placed.where((F.col("_in_file") > 0) | (F.col("_at") > F.col("_first")))
     return placed.withColumn(name, F.col("_before") + F.col("_at")).drop("_file", "_block", "_at", "_first", "_in_file", "_before")
 
 
-def _header(lines: DataFrame) -> list[str]:
-    """Column names of the files' first lines, which must agree."""
-    first = lines.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_at")).alias("value"))
+def _header(lines: DataFrame, offsets: DataFrame) -> list[str]:
+    """Column names of the files' first lines, which must agree. The offsets tell where these lines are, so none is sorted."""
+    first = _beside(lines, offsets.where("_in_file = 0")).where("_at = _first")
     found = [r.value for r in first.select(F.regexp_replace("value", "^\\x{FEFF}", "").alias("value")).distinct().limit(2).collect()]
     if len(found) != 1:
         raise ValueError("The files have no common header" if found else "The files hold no lines")
@@ -172,11 +175,13 @@ def read_csv_in_order(
         reader = spark.read.options(header=True, multiLine=True, escape='"', enforceSchema=False)
         table = (reader.schema(schema) if schema is not None else reader).csv(path)
         rows = table.select("*", source, F.lit(0).cast("bigint").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-        return _numbered(stored(rows, "csv-rows"), name, headers=False)
+        rows = stored(rows, "csv-rows")
+        return _numbered(rows, stored(_offsets(rows, headers=False), "row-offsets"), name, headers=False)
     filled = spark.read.text(path).where(F.trim("value") != "")
     lines = filled.select("value", source, F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
     lines = stored(lines, "csv-lines")
-    names = _header(lines)
+    offsets = stored(_offsets(lines, headers=True), "row-offsets")
+    names = _header(lines, offsets)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     broken = lines.where(quotes % 2 == 1).select("_file", "value").first()
     if broken is not None:
@@ -187,7 +192,7 @@ def read_csv_in_order(
         raise ValueError(f"The header {names} is not that of the schema {schema.fieldNames()}")
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
     parsed = F.from_csv("value", fields, {"escape": '"'}).alias("_record")
-    return _numbered(lines, name, headers=True).select(parsed, name).select("_record.*", name)
+    return _numbered(lines, offsets, name, headers=True).select(parsed, name).select("_record.*", name)
 
 
 def with_file_order(df: DataFrame, name: str = "row_id") -> DataFrame:

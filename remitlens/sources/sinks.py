@@ -32,6 +32,21 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     (writer.option("compression", compression) if compression else writer).csv(path)
 
 
+#: Rows that one task of ``write_csv_in_order`` sorts and writes, about.
+ROWS_PER_FILE = 250_000
+
+
+def write_csv_in_order(df: DataFrame, path: str, order: str, rows: int, least: int = 1) -> None:
+    """CSV files with headers whose rows, files in path order, follow ``order``, which is not written; outer blanks stay.
+
+    ``rows`` says about how many there are. The number of files grows with it, so a task sorts some ``ROWS_PER_FILE`` of
+    a table of any size; there are ``least`` at least.
+    """
+    files = max(least, -(-rows // ROWS_PER_FILE))
+    blocks = df.repartitionByRange(files, order).sortWithinPartitions(order).drop(order)
+    blocks.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"').csv(path)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Hand-off table for later steps, partitioned by low-cardinality columns such as ``year``."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -33,7 +33,7 @@ from remitlens.operators import (
 from remitlens.operators.joins import null_safe_join
 from remitlens.sources import columns, readers
 from remitlens.sources.claims_adapter import invoice_lines, raw_report
-from remitlens.sources.sinks import publish, write_parquet
+from remitlens.sources.sinks import publish, write_csv_in_order, write_parquet
 from remitlens.storage import shared_folder, stored
 from remitlens.verification import sql as q
 
@@ -231,8 +231,8 @@ def clean_report(spark, folder):
 def _report_as_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The report as it is delivered: text files with headers, blanks kept, in the order of its rows; read back with positions."""
     at = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
-    blocks = raw_report(spark, folder).repartitionByRange(6, "row_id").sortWithinPartitions("row_id").drop("row_id")
-    blocks.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"').csv(at)
+    rows = readers.load(spark, f"{folder}/lineitem.parquet").count()
+    write_csv_in_order(raw_report(spark, folder), at, "row_id", rows, least=6)
     return readers.read_csv_in_order(spark, at)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from remitlens.sources import readers, sinks
 from remitlens.sources.claims_adapter import invoice_lines
+from remitlens.storage import shared_folder
+from remitlens.verification import catalog
 
 
 def test_load_by_suffix(spark, tmp_path):
@@ -149,6 +151,34 @@ def test_csv_order_refuses_what_it_cannot_number(spark, tmp_path, small_ranges):
             readers.read_csv_in_order(spark, _csv_folder(tmp_path / str(len(list(tmp_path.iterdir()))), files))
 
 
+def test_csv_files_follow_the_number_of_rows(spark, tmp_path, monkeypatch):
+    """No task sorts more than some rows, however many there are; the reader finds the same order again."""
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 50)
+    df = spark.range(0, 1000, 1, 3).select((F.col("id") * 617 % 1000).alias("row_id"))
+    df = df.withColumn("text", F.concat(F.lit(' "'), F.col("row_id").cast("string"), F.lit('", ')))
+    at = str(tmp_path / "in")
+    sinks.write_csv_in_order(df, at, "row_id", 1000, least=6)
+    sizes = [r["count"] for r in spark.read.option("header", True).csv(at).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 100
+    got = sorted(tuple(r) for r in readers.read_csv_in_order(spark, at, name="at").select("at", "text").collect())
+    assert got == [(i, f' "{i}", ') for i in range(1000)]
+    sinks.write_csv_in_order(df, str(tmp_path / "few"), "row_id", 1, least=6)
+    assert len(list((tmp_path / "few").glob("*.csv"))) == 6
+
+
+def test_csv_report_is_not_sorted_in_a_fixed_number_of_tasks(spark, tables, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 300)
+    rows = catalog._report_as_csv(spark, tables)
+    assert len(rows.select("row_id").distinct().collect()) == rows.count() == 6000
+    (at,) = [f for f in os.listdir(shared_folder(spark)) if f.startswith("report-") and len([x for x in os.listdir(f"{shared_folder(spark)}/{f}") if x.endswith(".csv")]) > 15]
+
+
+def test_csv_header_is_found_by_offsets(spark, tmp_path):
+    lines = spark.createDataFrame([("f", 0, k, v) for k, v in ((3, "a,b"), (4, "1,2"))], "_file string, _block long, _at long, value string")
+    offsets = readers._offsets(lines, headers=True)
+    assert readers._header(lines, offsets) == ["a", "b"]
+
+
 def test_deliverables(spark, tmp_path):
     df = spark.createDataFrame([(["a", "b"], 1.5)], "cpt_list array<string>, x double").coalesce(1)
     sinks.write_tables({"one": df, "two": df.withColumn("x", F.lit(2))}, str(tmp_path / "out"), compression="gzip")
