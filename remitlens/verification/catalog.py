@@ -995,6 +995,14 @@ def _processed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return source, processed
 
 
+def _passed_through(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Lines with their gap columns, and their processed form with some wrong gaps. No key or benchmark takes part in this."""
+    source = stored(invoice_lines(spark, folder, row_id=True).select("row_id", *validation.PASSTHROUGH), "gap-lines")
+    gap = F.col("nrv_gap_dollar_invoice_level")
+    wrong = F.when(F.col("row_id") % 40 == 0, gap + 1).otherwise(gap)
+    return source, enhance.nrv_passthrough(source).withColumn("nrv_gap_dollar_invoice_level", wrong)
+
+
 @query(
     "is_close",
     f"SELECT invoice_number, {q.close('payment_amount', 'expected_85em', '0.05')} AS near FROM lines",
@@ -1076,7 +1084,7 @@ _MATCHES = [f"{c}_row_match" for c in validation.PASSTHROUGH.values()]
     "processed",
 )
 def row_passthrough(spark, folder):
-    return validation.row_passthrough(*_processed(spark, folder)).select("row_id", *_MATCHES)
+    return validation.row_passthrough(*_passed_through(spark, folder)).select("row_id", *_MATCHES)
 
 
 @query("sample_invoices", "SELECT * FROM sample", "sample")

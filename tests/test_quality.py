@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from remitlens.operators import enhance, keys, quality, validation
 from remitlens.storage import stored
+from remitlens.verification import catalog
 from tests.samples import random_lines, to_spark
 
 
@@ -84,6 +85,13 @@ def test_checks_read_invoice_facts(spark, monkeypatch):
     assert folders.count("processed") == 1 and folders.count("source") == 0
 
 
+def test_row_passthrough_stores_what_it_reads(spark, tables, monkeypatch):
+    kept = []
+    monkeypatch.setattr(catalog, "stored", lambda df, name: kept.append((name, set(df.columns))) or stored(df, name))
+    catalog.QUERIES["row_passthrough"](spark, tables)
+    assert kept == [("gap-lines", {"row_id", *validation.PASSTHROUGH})]
+
+
 @pytest.fixture(scope="module")
 def processed(spark):
     source = keys.keyed_lines(to_spark(spark, random_lines(400, seed=4))).cache()
