@@ -61,6 +61,19 @@ def fact_means(facts: DataFrame) -> DataFrame:
     )
 
 
+def invoice_benchmarks(facts: DataFrame) -> DataFrame:
+    """``fact_totals`` and ``fact_means`` side by side: all that lines of an invoice within a key are compared with.
+
+    Worth storing where lines get these columns and are compared with them later.
+    """
+    return null_safe_join(fact_totals(facts), fact_means(facts), ["benchmark_key"])
+
+
+def with_benchmarks(keyed: DataFrame, benchmarks: DataFrame) -> DataFrame:
+    """Processed form of keyed lines, from ``invoice_benchmarks``; the lines move once."""
+    return null_safe_join(keyed, benchmarks.withColumnsRenamed({again: c for c, again in RECOMPUTED.items()}), INVOICE)
+
+
 def recompute_key(source: DataFrame) -> DataFrame:
     """``fact_means`` of lines. Sums and counts of invoices give the line means, so one pass is enough."""
     return fact_means(invoice_facts(source))

@@ -976,23 +976,26 @@ def latest_window(spark, folder):
 
 
 # --- Validation ---------------------------------------------------------------------------------------------------------------
-def _processed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Keyed lines, and their processed form with some wrong values so that the checks have something to find."""
-    source = stored(keys.keyed_lines(invoice_lines(spark, folder, row_id=True)), "keyed-lines")
+def _processed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Keyed lines, their processed form with some wrong values so that the checks have something to find, and invoice facts.
+
+    Of the lines only what benchmarks are recomputed from is kept: keys and two amounts.
+    """
+    amounts = ["payment_amount", "expected_85em"]
+    lines = invoice_lines(spark, folder, row_id=True).select("row_id", *DIMS, "invoice_number", "cpt_code", *amounts)
+    source = stored(keys.keyed_lines(lines).select("row_id", *validation.INVOICE, *amounts), "keyed-lines")
     facts = stored(validation.invoice_facts(source), "invoice-facts")
-    totals = validation.fact_totals(facts)
-    table = enhance.attach_benchmark(validation.with_key_columns(source, facts), totals, keys.benchmark_avg(totals))
+    table = validation.with_benchmarks(source, validation.invoice_benchmarks(facts))
     total, average, row = F.col("invoice_total_payment"), F.col("benchmark_avg_payment"), F.col("row_id")
-    table = enhance.nrv_passthrough(table).withColumn("revenue_variance_benchmark_dollar", total - average)
-    rate, gap = "expected_amount_85_em_invoice_level", "nrv_gap_dollar_invoice_level"
+    table = table.withColumn("revenue_variance_benchmark_dollar", total - average)
+    rate = "expected_amount_85_em_invoice_level"
     processed = table.withColumns(
         {
             "invoice_total_payment": F.when(row % 20 == 0, total + 5).otherwise(total),
             rate: F.when(row % 30 != 0, F.col(rate)),
-            gap: F.when(row % 40 == 0, F.col(gap) + 1).otherwise(F.col(gap)),
         }
     )
-    return source, processed
+    return source, processed, facts
 
 
 def _passed_through(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -1097,7 +1100,8 @@ _SAMPLE = "processed_value recalc_value delta"
 
 @query("sample_validation", "SELECT * FROM sample_details", "sample_details", _SAMPLE)
 def sample_validation(spark, folder):
-    return validation.sample_validation(*_processed(spark, folder))
+    source, processed, facts = _processed(spark, folder)
+    return validation.sample_validation(source, processed, facts=facts)
 
 
 @query(

@@ -85,6 +85,29 @@ def test_checks_read_invoice_facts(spark, monkeypatch):
     assert folders.count("processed") == 1 and folders.count("source") == 0
 
 
+def test_benchmarks_of_lines_in_one_join(spark):
+    source = stored(keys.keyed_lines(to_spark(spark, random_lines(300, seed=4))), "source")
+    totals = keys.invoice_totals(source)
+    apart = enhance.attach_benchmark(validation.with_key_columns(source), totals, keys.benchmark_avg(totals))
+    at_once = validation.with_benchmarks(source, validation.invoice_benchmarks(validation.invoice_facts(source)))
+    names = ["row_id", *validation.RECOMPUTED]
+    assert sorted(apart.select(names).collect()) == sorted(at_once.select(names).collect()) and set(apart.columns) == set(at_once.columns)
+    plan = at_once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # the means meet the invoices, both meet the lines
+
+
+def test_checks_store_what_they_read(spark, tables, monkeypatch):
+    """Lines are stored without the columns that no check reads, and the facts of a query's lines once."""
+    kept = []
+    for module in (catalog, validation):
+        monkeypatch.setattr(module, "stored", lambda df, name: kept.append((name, set(df.columns))) or stored(df, name))
+    facts = {*validation.INVOICE, "total", "n_payment", "expected", "n_expected"}
+    lines = ("keyed-lines", {"row_id", *validation.INVOICE, "payment_amount", "expected_85em"})
+    for name in ("recompute_compare", "discrepancies", "sample_validation", "sample_validation_summary", "sample_mismatches"):
+        kept.clear()
+        catalog.QUERIES[name](spark, tables)
+        assert [k for k in kept if k[0] != "sampled-invoices"] == [lines, ("invoice-facts", facts)]
+
 def test_row_passthrough_stores_what_it_reads(spark, tables, monkeypatch):
     kept = []
     monkeypatch.setattr(catalog, "stored", lambda df, name: kept.append((name, set(df.columns))) or stored(df, name))
