@@ -3,12 +3,15 @@
 One pass serves them all. Lines are first added up per (week, group, invoice), which shrinks them before the join
 with the code sets and makes a visit (distinct invoice) a plain count; then per (week, group, key). Sums and counts
 travel together, so means at any coarser grain are exact. The tables per key and per group are roll-ups of that one
-(``key_weeks``), which is worth storing where both are wanted.
+(``key_weeks``), which is worth storing where both are wanted. Where only the table per group is, the measures are
+added up per group at once, and invoices and keys carry no more than the rates of keys are made of.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.contracts import DEFAULT_THRESHOLDS, DIMS, GROUP_KEYS, KEY_KEYS, MEAN_MEASURES, SUM_MEASURES, WEEKLY_MEASURES
@@ -20,16 +23,24 @@ from remitlens.storage import stored
 
 # Measures carried as a sum and a count, by rollup name.
 _RATIOS = {**MEAN_MEASURES, "expected": "expected_85em"}
+# The measures that the rates of keys are made of.
+_RATE_SUMS = {"payment_amount": SUM_MEASURES["payment_amount"]}
+_RATE_RATIOS = {"expected": _RATIOS["expected"]}
+
+
+def _added_up(sums: Mapping[str, str], ratios: Mapping[str, str]) -> list[Column]:
+    """Aggregates of lines: the sums, and a sum and a count for each ratio."""
+    out = [F.sum(src).alias(name) for name, src in sums.items()]
+    for name, src in ratios.items():
+        out += [F.sum(src).alias(f"_sum_{name}"), F.count(src).alias(f"_n_{name}")]
+    return out
 
 
 def invoice_weeks(lines: DataFrame) -> DataFrame:
     """Lines added up per week, group, invoice and, when present, key."""
     given = [c for c in ("benchmark_key", "cpt_list", "cpt_list_str") if c in lines.columns]
     keys = [*GROUP_KEYS, "invoice_number", *(["benchmark_key"] if "benchmark_key" in given else [])]
-    aggregates = [F.count("invoice_number").alias("group_size")]
-    aggregates += [F.sum(src).alias(name) for name, src in SUM_MEASURES.items()]
-    for name, src in _RATIOS.items():
-        aggregates += [F.sum(src).alias(f"_sum_{name}"), F.count(src).alias(f"_n_{name}")]
+    aggregates = [F.count("invoice_number").alias("group_size"), *_added_up(SUM_MEASURES, _RATIOS)]
     if "cpt_list" in given:
         aggregates.append(F.max(F.size("cpt_list")).alias("cpt_count"))
     facts = lines.groupBy(*keys).agg(*aggregates)
@@ -43,12 +54,17 @@ def key_weeks(lines: DataFrame) -> DataFrame:
 
     A key determines its group, so a key's rows here are its weeks; the window over a key is bounded by the calendar.
     """
-    carried = [f"_{part}_{name}" for name in _RATIOS for part in ("sum", "n")]
-    base = invoice_weeks(lines).groupBy(*KEY_KEYS).agg(
+    totals = [F.sum("group_size").alias("group_size"), F.max("cpt_count").alias("cpt_count")]
+    return _weeks_of_keys(invoice_weeks(lines), totals, SUM_MEASURES, _RATIOS)
+
+
+def _weeks_of_keys(invoices: DataFrame, totals: list[Column], sums: Mapping[str, str], ratios: Mapping[str, str]) -> DataFrame:
+    """``key_weeks`` of keyed ``invoice_weeks`` with these measures."""
+    carried = [f"_{part}_{name}" for name in ratios for part in ("sum", "n")]
+    base = invoices.groupBy(*KEY_KEYS).agg(
         F.count("invoice_number").alias("visit_count"),
-        F.sum("group_size").alias("group_size"),
-        F.max("cpt_count").alias("cpt_count"),
-        *[sum0(F.col(c)).alias(c) for c in SUM_MEASURES],
+        *totals,
+        *[sum0(F.col(c)).alias(c) for c in sums],
         *[F.sum(c).alias(c) for c in carried],
     )
     key = Window.partitionBy("benchmark_key")
@@ -64,6 +80,22 @@ def key_weeks(lines: DataFrame) -> DataFrame:
     )
 
 
+def group_parts(lines: DataFrame) -> DataFrame:
+    """Lines added up in one pass at two grains, told apart by ``of_invoice``.
+
+    Per week and group with every measure; and per invoice of these (and key, when present) with only the measures that
+    the rates of keys are made of. A line counts in both. The first are few before they are sent.
+    """
+    ids = ["invoice_number", *(c for c in ("benchmark_key",) if c in lines.columns)]
+    twice = lines.withColumn("of_invoice", F.explode(F.array(F.lit(False), F.lit(True))))
+    in_group = ~F.col("of_invoice")
+    both = {*_RATE_SUMS.values(), *_RATE_RATIOS.values()}
+    wide = [c for c in dict.fromkeys([*SUM_MEASURES.values(), *_RATIOS.values()]) if c not in both]
+    twice = twice.withColumns({c: F.when(in_group, F.col(c)) for c in wide})
+    parts = twice.groupBy("of_invoice", *GROUP_KEYS, *[F.when(~in_group, F.col(c)).alias(c) for c in ids])
+    return parts.agg(F.count(F.when(in_group, F.col("invoice_number"))).alias("group_size"), *_added_up(SUM_MEASURES, _RATIOS))
+
+
 def _means() -> dict:
     return {name: div_or_null(F.col(f"_sum_{name}"), F.col(f"_n_{name}")) for name in MEAN_MEASURES}
 
@@ -177,21 +209,39 @@ def weekly_aggregated(lines: DataFrame) -> DataFrame:
     Measures are those of the granular table at group grain. Expected and benchmark payment are the sums over the
     group's keys; the expected rate is the mean over lines. No table of this grain is written by the scripts this
     models, so its definition follows what the later steps read.
+
+    The ``group_parts`` of the lines are stored, since groups and invoices are read from them.
     """
-    return aggregated_of(key_weeks(lines))
+    parts = stored(group_parts(lines), "group-parts")
+    rate_parts = [*_RATE_SUMS, *[f"_{part}_{name}" for name in _RATE_RATIOS for part in ("sum", "n")]]
+    ids = ["invoice_number", *(c for c in ("benchmark_key",) if c in lines.columns)]
+    invoices = parts.where("of_invoice").select(*GROUP_KEYS, *ids, *rate_parts)
+    if "benchmark_key" not in ids:
+        invoices = benchmark_keys(null_safe_join(invoices, cpt_sets(lines), ["invoice_number"]))
+    paid = _payments(_weeks_of_keys(invoices, [], _RATE_SUMS, _RATE_RATIOS))
+    groups = parts.where("NOT of_invoice").drop("of_invoice", *ids).withColumns({c: F.coalesce(c, F.lit(0.0)) for c in SUM_MEASURES})
+    return _of_groups(null_safe_join(groups, paid, GROUP_KEYS))
 
 
 def aggregated_of(weeks: DataFrame) -> DataFrame:
     """``weekly_aggregated`` from key weeks."""
+    carried = [f"_{part}_{name}" for name in _RATIOS for part in ("sum", "n")]
+    return _of_groups(_payments(weeks, [F.sum(c).alias(c) for c in ("group_size", *SUM_MEASURES, *carried)]))
+
+
+def _payments(weeks: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """Visits, expected and benchmark payment of each week's group, from the weeks of its keys."""
     visits = F.col("visit_count")
-    groups = weeks.groupBy(*GROUP_KEYS).agg(
+    return weeks.groupBy(*GROUP_KEYS).agg(
         F.sum(visits).alias("visit_count"),
-        F.sum("group_size").alias("group_size"),
-        *[F.sum(c).alias(c) for c in SUM_MEASURES],
-        *[F.sum(f"_{part}_{name}").alias(f"_{part}_{name}") for name in _RATIOS for part in ("sum", "n")],
+        *more,
         F.sum(F.col("expected_amount_85_em_invoice_level") * visits).alias("expected_payment"),
         F.sum(F.col("benchmark_payment_rate_per_visit") * visits).alias("benchmark_payment"),
     )
+
+
+def _of_groups(groups: DataFrame) -> DataFrame:
+    """The weekly table from sums and counts of its groups."""
     rate = div_or_null(F.col("_sum_expected"), F.col("_n_expected"))
     groups = groups.withColumns({**_means(), "expected_amount_85_em_invoice_level": rate})
     paid, expected = F.col("payment_amount"), F.col("expected_payment")
@@ -201,7 +251,7 @@ def aggregated_of(weeks: DataFrame) -> DataFrame:
         "expected_amount_85_em_invoice_level",
         "expected_payment",
         "benchmark_payment",
-        div_or_null(paid, visits).alias("actual_rate_per_visit"),
+        div_or_null(paid, F.col("visit_count")).alias("actual_rate_per_visit"),
         (paid - expected).alias("revenue_variance"),
         div_or_null(paid - expected, expected).alias("revenue_variance_pct"),
         (expected - F.col("benchmark_payment")).alias("expected_vs_benchmark_payment_variance"),

@@ -37,11 +37,12 @@ def invoice_lines(spark: SparkSession, folder: str, row_id: bool = False) -> Dat
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     part = spark.read.parquet(f"{folder}/part.parquet")
-    # Orders meet customers first, so that the long table takes part in two joins rather than three.
+    # Orders meet customers first, so that the long table takes part in two joins rather than three. That with orders
+    # is the last, which leaves the lines of an invoice in one task: sums per invoice then combine before they are sent.
     # A line whose order, customer or part is absent stays, without their values.
     headers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    rows = item.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
-        part, F.col("l_partkey") == F.col("p_partkey"), "left"
+    rows = item.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").join(
+        headers, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     rows = rows.withColumns(

@@ -11,6 +11,7 @@ from remitlens.plans.compact_model import compact_model
 from remitlens.plans.full_model import from_report, full_model
 from remitlens.sources.claims_adapter import invoice_lines, raw_report
 from remitlens.storage import stored
+from remitlens.verification import catalog
 from remitlens.verification.catalog import ORACLE, QUERIES
 from tests.samples import random_lines, to_spark
 
@@ -127,6 +128,35 @@ def test_weekly_tables_are_roll_ups_of_stored_key_weeks(spark, tables):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+def test_code_sets_do_not_read_orders(spark, tables, conf):
+    """Orders join lines last, so what needs none of their columns leaves them out."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = physical(keys.cpt_sets(invoice_lines(spark, tables)))
+    assert plan.count("FileScan") == 2 and "o_orderkey" not in plan and "l_partkey" in plan
+
+
+def test_sums_per_invoice_follow_the_join_with_orders(spark, tables, conf):
+    """The join that deals lines out by invoice stands right below the first sums, which therefore combine before they are sent."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = physical(weekly.group_parts(invoice_lines(spark, tables))).splitlines()
+    joins = [line for line in plan if "Join" in line]
+    assert "l_orderkey" in joins[0]
+    between = plan[: plan.index(joins[0])]
+    assert sum("Exchange" in line for line in between) == 1  # that of the sums themselves
+
+
+@pytest.mark.parametrize("name", ["ml_elasticnet", "ml_fitted_hotspots", "ml_time_cv", "ml_metrics"])
+def test_models_read_narrow_invoices(spark, tables, monkeypatch, name):
+    """Weekly rows of a model come from stored parts; what is read per invoice has the measures of rates alone."""
+    plans = []
+    for module in (weekly, catalog, ml):
+        monkeypatch.setattr(module, "stored", lambda df, what: plans.append((what, physical(df))) or stored(df, what))
+    QUERIES[name](spark, tables)
+    assert [what for what, _ in plans][:2] == ["group-parts", "weekly"]
+    reads = [{re.sub(r"#\d+L?", "", c) for c in line.split(",")} for line in re.findall(r"FileScan parquet \[(of_invoice[^\]]*)\]", dict(plans)["weekly"])]
+    assert {"of_invoice", *GROUP_KEYS, "invoice_number", "payment_amount", "_sum_expected", "_n_expected"} in reads
+
+
 def test_stored_tables_are_read_back_with_pruned_columns(spark):
     table = stored(spark.range(10).select("id", (F.col("id") * 2).alias("x")), "t")
     assert table.count() == 10

@@ -64,6 +64,40 @@ def test_aggregated_is_the_sum_of_granular(frame, lines):
             assert groups[key][c] == (pytest.approx(sum(present)) if present else None)
 
 
+def odd_lines(spark):
+    """Lines without invoice or measures, with NaN, and invoices of several groups."""
+    frame = random_lines(400, seed=5, hot=True)
+    rows = to_spark(spark, frame)
+    rows = rows.withColumn("invoice_number", F.when(F.col("row_id") % 13 != 0, F.col("invoice_number")))
+    rows = rows.withColumns({c: F.when(F.col("row_id") % 41 == 0, F.lit(float("nan"))).otherwise(F.col(c)) for c in ("payment_amount", "collection_rate")})
+    empty = F.col("payer").isNull() & (F.col("week") == 2)
+    return rows.withColumns({c: F.when(~empty, F.col(c)) for c in ("payment_amount", "expected_85em", "denial_pct")}).repartition(5)
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_aggregated_at_once_equals_roll_up_of_key_weeks(spark, keyed):
+    lines = odd_lines(spark)
+    if keyed:
+        lines = keys.keyed_lines(lines).withColumn("benchmark_key", F.when(F.col("row_id") % 7 != 0, F.col("benchmark_key")))
+    at_once, rolled_up = weekly.weekly_aggregated(lines), weekly.aggregated_of(weekly.key_weeks(lines))
+    assert at_once.dtypes == rolled_up.dtypes
+    got, want = plain(at_once, GROUP_KEYS, 6), plain(rolled_up, GROUP_KEYS, 6)
+    assert str(sorted(got.items(), key=str)) == str(sorted(want.items(), key=str))  # as texts, NaN equals itself
+    assert {r["denial_percent"] is None for r in got.values()} == {True, False} and any(r["payment_amount"] == 0.0 for r in got.values())
+
+
+def test_invoices_carry_only_what_rates_are_made_of(spark):
+    """Measures are added up per group before they are sent; what moves by invoice and by key has no others."""
+    lines = odd_lines(spark)
+    parts = weekly.group_parts(lines)
+    rate = {"payment_amount", "_sum_expected", "_n_expected"}
+    others = [c for c in parts.columns if c not in {*rate, "of_invoice", "invoice_number", *GROUP_KEYS}]
+    per_invoice = parts.where("of_invoice").agg(*[F.max(F.abs(c)).alias(c) for c in others]).first()
+    assert all(not v for v in per_invoice)
+    assert parts.where("NOT of_invoice").count() == lines.select(*GROUP_KEYS).distinct().count()
+    assert parts.where("of_invoice").count() == lines.select(*GROUP_KEYS, "invoice_number").distinct().count()
+
+
 def test_given_keys_give_the_same_tables(lines):
     keyed = keys.keyed_lines(lines)
     for build, by in ((weekly.weekly_granular, KEY_KEYS), (weekly.weekly_aggregated, GROUP_KEYS)):
